@@ -1,40 +1,5 @@
-"""Column expressions. All of them are built-in Spark expressions, no Python UDF."""
+"""Expressions over columns. All of them are built-in Spark expressions, no Python UDF.
 
-from freightlens.functions.aggregates import (
-    distinct_rows,
-    exact_quantile,
-    mean_days,
-    money_sum,
-    ratio,
-    total_days,
-)
-from freightlens.functions.geo import centroid_lat, centroid_lng, great_circle_metres, unit_vector
-from freightlens.functions.keys import canonical_key, is_missing, numbers_match, without_nan
-from freightlens.functions.labels import rank_of, relabel
-from freightlens.functions.status import delivery_status, is_late, is_on_time
-from freightlens.functions.timing import days_between, hours_between, month_of
-
-__all__ = [
-    "canonical_key",
-    "centroid_lat",
-    "centroid_lng",
-    "days_between",
-    "delivery_status",
-    "distinct_rows",
-    "exact_quantile",
-    "great_circle_metres",
-    "hours_between",
-    "is_late",
-    "is_missing",
-    "is_on_time",
-    "mean_days",
-    "money_sum",
-    "month_of",
-    "numbers_match",
-    "rank_of",
-    "ratio",
-    "relabel",
-    "total_days",
-    "unit_vector",
-    "without_nan",
-]
+Where an expression is longer than a call or two it is written as SQL text. The
+functions that end in ``_sql`` return such text, the others a Column.
+"""

@@ -2,46 +2,66 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+
+def cents_sql(amount: str) -> str:
+    """An amount of money in whole cents.
+
+    Integers add up exactly and in generated code. They are used per order and
+    per seller of an order; larger groups add them up as decimals, which do not
+    overflow.
+    """
+    return f"CAST(rint({amount} * 100) AS BIGINT)"
+
+
+def wide_sum_sql(whole: str, where: str = "true") -> str:
+    """Sum of whole numbers with 38 digits; rows outside ``where`` add zero."""
+    return f"sum(CAST(if({where}, {whole}, 0) AS DECIMAL(28,0)))"
 
 
-def money(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast(MONEY)
+def amount_sql(cents: str) -> str:
+    return f"CAST({cents} AS DOUBLE) / 100D"
 
 
-def money_sum(c: str | Column, where: Column | None = None) -> Column:
-    """Exact sum of cents as a double; rows outside ``where`` add zero (A-8, A-9)."""
-    cents = money(c)
-    if where is not None:
-        cents = F.when(where, cents).otherwise(F.lit(0).cast(MONEY))
-    return F.sum(cents).cast("double")
+def money_sum(amount: str, where: str = "true") -> Column:
+    """Exact sum of an amount as a double (A-8, A-9)."""
+    return F.expr(amount_sql(wide_sum_sql(cents_sql(amount), where)))
 
 
-def ratio(a: Column, b: Column) -> Column:
+def cents_sum(cents: str, where: str = "true") -> Column:
+    """Like ``money_sum`` for a column that is in cents already."""
+    return F.expr(amount_sql(wide_sum_sql(cents, where)))
+
+
+def ratio_sql(a: str, b: str) -> str:
     """a / b as a double, NULL when b is zero (A-14, F-16)."""
-    return F.try_divide(a.cast("double"), b.cast("double"))
+    return f"try_divide(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))"
+
 
+def ratio(a: str, b: str) -> Column:
+    return F.expr(ratio_sql(a, b))
 
-def whole_hours(days: str) -> Column:
+
+def hours_of_sql(days: str) -> str:
     """The whole hours that ``days_between`` made a duration from."""
-    return F.round(F.col(days) * 24).cast("bigint")
+    return f"CAST(rint({days} * 24) AS BIGINT)"
 
 
-def total_days(days: str) -> Column:
+def total_days(days: str, where: str = "true") -> Column:
     """Sum of a duration; hours are summed as integers, so it is exact."""
-    return F.sum(whole_hours(days)) / F.lit(24.0)
+    return F.expr(f"sum({hours_of_sql(days)}) FILTER (WHERE {where}) / 24D")
 
 
 def mean_days(days: str, weight: str | None = None) -> Column:
     """Mean of a duration, with the same bits whatever the partitioning."""
-    hours = whole_hours(days)
+    hours = hours_of_sql(days)
     if weight is None:
-        return ratio(F.sum(hours), F.count(days) * 24)
-    rows = F.sum(F.when(F.col(days).isNotNull(), F.col(weight)))
-    return ratio(F.sum(hours * F.col(weight)), rows * 24)
+        return ratio(f"sum({hours})", f"count({days}) * 24")
+    return ratio(f"sum({hours} * {weight})", f"sum(if({days} IS NULL, 0, {weight})) * 24")
 
 
 def exact_quantile(c: str, p: float) -> Column:
@@ -54,6 +74,11 @@ def exact_quantile(c: str, p: float) -> Column:
     return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {c})")
 
 
-def distinct_rows(*keys: Column) -> Column:
+def distinct_rows(*keys: str) -> Column:
     """Distinct composite keys; a key with a null part counts too (A-20)."""
-    return F.countDistinct(F.struct(*keys))
+    return F.expr(f"count(DISTINCT struct({', '.join(keys)}))")
+
+
+def measures(named: Mapping[str, str | Column]) -> list[Column]:
+    """Named aggregates, each a Column or SQL text."""
+    return [(F.expr(m) if isinstance(m, str) else m).alias(name) for name, m in named.items()]

@@ -10,25 +10,23 @@ EARTH_RADIUS_M = 6_371_010.0
 
 def great_circle_metres(lng_a: str, lat_a: str, lng_b: str, lat_b: str) -> Column:
     """Haversine distance in metres."""
-    phi_a, phi_b = F.radians(lat_a), F.radians(lat_b)
-    half_dphi = (phi_b - phi_a) / 2
-    half_dlambda = (F.radians(lng_b) - F.radians(lng_a)) / 2
-    h = F.pow(F.sin(half_dphi), F.lit(2.0)) + F.cos(phi_a) * F.cos(phi_b) * F.pow(
-        F.sin(half_dlambda), F.lit(2.0)
-    )
+    rise = f"sin(radians({lat_b} - {lat_a}) / 2)"
+    turn = f"sin(radians({lng_b} - {lng_a}) / 2)"
+    h = f"{rise} * {rise} + cos(radians({lat_a})) * cos(radians({lat_b})) * {turn} * {turn}"
     # Rounding may lift h a hair above 1 for antipodes.
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return F.expr(f"{2 * EARTH_RADIUS_M}D * asin(sqrt(least({h}, 1D)))")
 
 
-def unit_vector(lng: str, lat: str) -> list[Column]:
-    """Cartesian x, y, z of a point on the unit sphere."""
-    lam, phi = F.radians(lng), F.radians(lat)
-    return [F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)]
+def unit_vector(lng: str, lat: str) -> list[str]:
+    """Cartesian x, y, z of a point on the unit sphere, as SQL."""
+    phi, lam = f"radians({lat})", f"radians({lng})"
+    return [f"cos({phi}) * cos({lam})", f"cos({phi}) * sin({lam})", f"sin({phi})"]
 
 
-def centroid_lng(x: Column, y: Column) -> Column:
-    return F.degrees(F.atan2(y, x))
+def direction_lng(x: str, y: str) -> Column:
+    """Longitude of the direction of a vector of any length."""
+    return F.expr(f"degrees(atan2({y}, {x}))")
 
 
-def centroid_lat(x: Column, y: Column, z: Column) -> Column:
-    return F.degrees(F.atan2(z, F.sqrt(x * x + y * y)))
+def direction_lat(x: str, y: str, z: str) -> Column:
+    return F.expr(f"degrees(atan2({z}, sqrt({x} * {x} + {y} * {y})))")

@@ -8,17 +8,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _literal_map(pairs: Mapping[str, object]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs.items() for x in pair])
+def text_sql(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def relabel(c: str, labels: Mapping[str, str], keep_unknown: bool = True) -> Column:
-    """The label of a value; an unknown value stays as it is, or becomes NULL."""
-    found = F.try_element_at(_literal_map(labels), F.col(c))
-    return F.coalesce(found, F.col(c)) if keep_unknown else found
+def _found_sql(c: str, pairs: Mapping[str, str]) -> str:
+    entries = ", ".join(f"{text_sql(value)}, {shown}" for value, shown in pairs.items())
+    return f"try_element_at(map({entries}), {c})"
+
+
+def relabel(c: str, labels: Mapping[str, str], otherwise: str = "keep") -> Column:
+    """The label of a value.
+
+    A value without a label stays as it is (``keep``), becomes NULL (``null``),
+    or gets any other given label.
+    """
+    found = _found_sql(c, {value: text_sql(label) for value, label in labels.items()})
+    if otherwise == "null":
+        return F.expr(found)
+    return F.expr(f"coalesce({found}, {c if otherwise == 'keep' else text_sql(otherwise)})")
 
 
 def rank_of(c: str, order: Sequence[str]) -> Column:
     """1-based place of a value in a fixed order; unknown values come last."""
-    places = {value: place for place, value in enumerate(order, start=1)}
-    return F.coalesce(F.try_element_at(_literal_map(places), F.col(c)), F.lit(len(order) + 1))
+    places = {value: str(place) for place, value in enumerate(order, start=1)}
+    return F.expr(f"coalesce({_found_sql(c, places)}, {len(order) + 1})")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from freightlens.functions.timing import whole_days
+from freightlens.functions.timing import whole_days_sql
 
 # The outcomes in business order, with their display labels.
 STATUS_LABELS = {
@@ -17,31 +17,26 @@ STATUS_LABELS = {
     "not_delivered": "Not delivered",
 }
 
+# A prefix test, so that a new late class is late as well.
+LATE = "startswith(delivery_status, 'late')"
+ON_TIME = "delivery_status IN ('early', 'on_time')"
+NOT_DELIVERED = "delivery_status = 'not_delivered'"
 
-def delivery_status(delivered: str, promised: str) -> Column:
+
+def delivery_status(arrived: str, due: str) -> Column:
     """Outcome of one order from its delivery and promise timestamps.
 
     ``slack`` counts whole days and is truncated toward zero, so two hours late
     is zero days late, which is still late. A missing promise compares as
     unknown everywhere and ends in the last class.
     """
-    arrived, due = F.col(delivered), F.col(promised)
-    in_time = arrived <= due
-    slack = whole_days(arrived, due)
-    return (
-        F.when(arrived.isNull(), "not_delivered")
-        .when(in_time & (slack >= 1), "early")
-        .when(in_time, "on_time")
-        .when(slack >= -3, "late_1_3_days")
-        .when(slack >= -7, "late_4_7_days")
-        .otherwise("late_8_plus_days")
+    slack = whole_days_sql(arrived, due)
+    return F.expr(
+        f"""CASE
+            WHEN {arrived} IS NULL THEN 'not_delivered'
+            WHEN {slack} >= 1 THEN 'early'
+            WHEN {arrived} <= {due} THEN 'on_time'
+            WHEN {slack} >= -3 THEN 'late_1_3_days'
+            WHEN {slack} >= -7 THEN 'late_4_7_days'
+            ELSE 'late_8_plus_days' END"""
     )
-
-
-def is_late(status: str = "delivery_status") -> Column:
-    """A prefix test, so that a new late class is late as well."""
-    return F.col(status).startswith("late")
-
-
-def is_on_time(status: str = "delivery_status") -> Column:
-    return F.col(status).isin("early", "on_time")

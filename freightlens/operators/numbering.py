@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -16,7 +16,7 @@ def number_rows(
     df: DataFrame,
     key: str,
     order_by: Sequence[str],
-    position: Column,
+    position: str,
     name: str,
     hot_rows: int = 1_000_000,
     max_hot_keys: int = 1_000,
@@ -29,8 +29,8 @@ def number_rows(
     then starts where the slices before it end. All other keys use the window.
     Both ways give the same numbers.
 
-    ``position`` is a number that never falls along ``order_by``; it is what a
-    hot key is cut by.
+    ``position`` is a numeric SQL expression that never falls along ``order_by``;
+    it is what a hot key is cut by.
     """
     sizes = df.groupBy(key).agg(F.count("*").alias("_rows"))
     hot = (
@@ -48,16 +48,16 @@ def number_rows(
 
 
 def _number_sliced(
-    df: DataFrame, key: str, order_by: Sequence[str], position: Column, name: str
+    df: DataFrame, key: str, order_by: Sequence[str], position: str, name: str
 ) -> DataFrame:
     columns = df.columns
     # Identical rows become one row with a count before anything is shuffled.
     distinct = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    placed = distinct.withColumn("_position", position.cast("double"))
-    shares = F.array(*[F.lit(i / _SLICES) for i in range(1, _SLICES)])
-    cuts = placed.groupBy(key).agg(F.percentile_approx("_position", shares).alias("_cuts"))
-    sliced = placed.join(cuts, key).withColumn(
-        "_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col("_position")))
+    placed = distinct.selectExpr("*", f"CAST({position} AS DOUBLE) AS _position")
+    shares = f"array({', '.join(f'{i / _SLICES}D' for i in range(1, _SLICES))})"
+    cuts = placed.groupBy(key).agg(F.expr(f"percentile_approx(_position, {shares})").alias("_cuts"))
+    sliced = placed.join(cuts, key).selectExpr(
+        "*", "size(filter(_cuts, cut -> cut < _position)) AS _slice"
     )
 
     before_in_slice = (
@@ -74,17 +74,14 @@ def _number_sliced(
         key, "_slice", F.coalesce(F.sum("_size").over(before_slice), F.lit(0)).alias("_start")
     )
     first = F.col("_start") + F.coalesce(F.sum("_copies").over(before_in_slice), F.lit(0))
-    numbered = sliced.join(starts, [key, "_slice"]).withColumn("_first", first)
+    numbered = sliced.join(starts, [key, "_slice"]).select("*", first.alias("_first"))
 
     # Give the copies back in steps, so that no single array or task holds them all.
-    steps = numbered.withColumn(
-        "_step",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {_COPIES_PER_STEP}"))),
+    steps = numbered.selectExpr(
+        "*", f"explode(sequence(0L, (_copies - 1) div {_COPIES_PER_STEP})) AS _step"
     ).repartition(key, "_slice", "_first", "_step")
-    begin = F.col("_step") * _COPIES_PER_STEP
-    end = F.least(begin + _COPIES_PER_STEP, F.col("_copies")) - 1
-    return (
-        steps.withColumn("_copy", F.explode(F.sequence(begin, end)))
-        .withColumn(name, (F.col("_first") + F.col("_copy") + 1).cast("int"))
-        .select(*columns, name)
+    begin = f"_step * {_COPIES_PER_STEP}"
+    end = f"least({begin} + {_COPIES_PER_STEP}, _copies) - 1"
+    return steps.selectExpr("*", f"explode(sequence({begin}, {end})) AS _copy").selectExpr(
+        *columns, f"CAST(_first + _copy + 1 AS INT) AS {name}"
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.functions import centroid_lat, centroid_lng, unit_vector
-from freightlens.plans.intermediate import order_rollup
+from freightlens.functions.geo import direction_lat, direction_lng, unit_vector
+from freightlens.plans.intermediate import order_rollup, order_totals
 
 STAGE_COLUMNS = [
     "approval_delay_days",
@@ -34,25 +34,28 @@ ROLLUP_COLUMNS = [
 ]
 
 
-def order_facts(stages: DataFrame, items: DataFrame, reviews: DataFrame) -> DataFrame:
+def order_facts(
+    stages: DataFrame, items: DataFrame, reviews: DataFrame, with_sellers: bool = True
+) -> DataFrame:
     """Everything that is a fact of the order, one row per order (J-2).
 
     Items and reviews are rolled up before they are joined, so nothing fans out
     and every join is between unique keys. The order-level marts read this
-    instead of collapsing the item-grain fact again.
+    instead of collapsing the item-grain fact again. Most of them need no seller
+    columns and save a shuffle without them.
     """
+    rollup = order_rollup(items) if with_sellers else order_totals(items)
     scores = reviews.groupBy("order_id").agg(
         F.avg("review_score").alias("avg_review_score"),
         F.count("*").alias("review_count"),
     )
-    zero = {
-        "item_count": F.lit(0).cast("bigint"),
-        "distinct_seller_count": F.lit(0).cast("bigint"),
-        "order_revenue": F.lit(0.0),
-        "order_freight": F.lit(0.0),
-    }
-    joined = stages.join(order_rollup(items), "order_id", "left").join(scores, "order_id", "left")
-    return joined.withColumns({name: F.coalesce(name, none) for name, none in zero.items()})
+    counted = [
+        c
+        for c in ("item_count", "distinct_seller_count", "order_revenue", "order_freight")
+        if c in rollup.columns
+    ]
+    joined = stages.join(rollup, "order_id", "left").join(scores, "order_id", "left")
+    return joined.fillna(0, counted)
 
 
 def item_facts(items: DataFrame, stages: DataFrame) -> DataFrame:
@@ -61,12 +64,12 @@ def item_facts(items: DataFrame, stages: DataFrame) -> DataFrame:
     Item-grain marts need no more than this. Items are the left side, which AQE
     can split when one order is very large.
     """
-    return items.select(
+    return items.selectExpr(
         "order_id",
         "seller_id",
         "product_id",
-        F.col("price").alias("item_price"),
-        F.col("freight_value").alias("item_freight"),
+        "price AS item_price",
+        "freight_value AS item_freight",
     ).join(stages, "order_id")
 
 
@@ -80,28 +83,28 @@ def fact_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
     lowest item id, which the rollup already knows; (order_id, order_item_id) is
     the declared key of the items and is checked as such.
     """
-    lines = items.select(
+    lines = items.selectExpr(
         "order_id",
         "order_item_id",
         "seller_id",
         "product_id",
-        F.col("shipping_limit_date").alias("item_shipping_limit_at"),
-        F.col("price").alias("item_price"),
-        F.col("freight_value").alias("item_freight"),
-        F.lit(False).alias("_empty"),
+        "shipping_limit_date AS item_shipping_limit_at",
+        "price AS item_price",
+        "freight_value AS item_freight",
+        "false AS _empty",
     )
-    empty = orders.select("order_id", F.lit(True).alias("_empty"))
+    empty = orders.selectExpr("order_id", "true AS _empty")
     return (
         lines.unionByName(empty, allowMissingColumns=True)
         .join(orders, "order_id")
-        .filter(~F.col("_empty") | (F.col("item_count") == 0))
-        .select(
+        .filter("NOT _empty OR item_count = 0")
+        .selectExpr(
             "order_id",
             "order_item_id",
             "customer_id",
             "seller_id",
             "product_id",
-            F.col("order_item_id").eqNullSafe(F.col("first_item_id")).alias("is_order_header_row"),
+            "order_item_id <=> first_item_id AS is_order_header_row",
             *ORDER_COLUMNS,
             "item_shipping_limit_at",
             "item_price",
@@ -133,43 +136,36 @@ def dim_seller(sellers: DataFrame) -> DataFrame:
 
 def dim_products(products: DataFrame) -> DataFrame:
     """Products with the sum and the product of their three sides, as bigint (P-4)."""
-    sides = [F.col(f"product_{side}_cm").cast("bigint") for side in ("length", "height", "width")]
-    return products.select(
-        "*",
-        (sides[0] + sides[1] + sides[2]).alias("product_dimension"),
-        (sides[0] * sides[1] * sides[2]).alias("product_volume"),
+    sides = [f"CAST(product_{side}_cm AS BIGINT)" for side in ("length", "height", "width")]
+    return products.selectExpr(
+        "*", f"{' + '.join(sides)} AS product_dimension", f"{' * '.join(sides)} AS product_volume"
     )
 
 
 def fixed_span(spark: SparkSession, start: str = "2016-01-01", end: str = "2019-01-01") -> DataFrame:
     """One row (start, end) of dates."""
-    return spark.range(1).select(
-        F.lit(start).cast("date").alias("start"), F.lit(end).cast("date").alias("end")
-    )
+    return spark.range(1).selectExpr(f"DATE '{start}' AS start", f"DATE '{end}' AS end")
 
 
 def order_span(orders: DataFrame) -> DataFrame:
     """One row (start, end) that covers the calendar years of all purchases."""
-    day = F.to_date("order_purchase_at")
     return orders.agg(
-        F.trunc(F.min(day), "YEAR").alias("start"),
-        F.trunc(F.add_months(F.max(day), 12), "YEAR").alias("end"),
+        F.expr("trunc(CAST(min(order_purchase_at) AS DATE), 'YEAR')").alias("start"),
+        F.expr("trunc(add_months(CAST(max(order_purchase_at) AS DATE), 12), 'YEAR')").alias("end"),
     )
 
 
 def dim_date(span: DataFrame) -> DataFrame:
     """One row per day from start to the day before end (D-16, F-5 … F-8)."""
-    days = F.sequence("start", F.date_sub("end", 1))
-    d = F.col("date_key")
-    return span.select(F.explode(days).alias("date_key")).select(
-        d,
-        F.year(d).alias("year"),
-        F.month(d).alias("month"),
-        F.date_format(d, "yyyy-MM").alias("year_month"),
-        F.date_format(d, "MMMM").alias("month_name"),
-        F.dayofmonth(d).alias("day_of_month"),
-        F.dayofweek(d).alias("day_of_week"),
-        F.dayofweek(d).isin(1, 7).alias("is_weekend"),
+    return span.selectExpr("explode(sequence(start, date_sub(end, 1))) AS date_key").selectExpr(
+        "date_key",
+        "year(date_key) AS year",
+        "month(date_key) AS month",
+        "date_format(date_key, 'yyyy-MM') AS year_month",
+        "date_format(date_key, 'MMMM') AS month_name",
+        "dayofmonth(date_key) AS day_of_month",
+        "dayofweek(date_key) AS day_of_week",
+        "dayofweek(date_key) IN (1, 7) AS is_weekend",
     )
 
 
@@ -179,25 +175,24 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     Both halves are plain two-step aggregates: a zip with a third of all rows
     shrinks to its distinct names and points before the second shuffle. Equal
     counts are decided by city and state. A point counts once however often it
-    is recorded.
+    is recorded; the centroid is the direction of the sum of its unit vectors.
     """
     zip_code = "zip_code_prefix"
     names = geolocation.groupBy(zip_code, "city", "state").agg(F.count("*").alias("n"))
-    usual = names.groupBy(zip_code).agg(
-        F.min(F.struct(-F.col("n"), F.col("city"), F.col("state"))).alias("name")
-    )
+    usual = names.groupBy(zip_code).agg(F.expr("min(struct(-n, city, state))").alias("name"))
     points = (
         geolocation.filter("longitude IS NOT NULL AND latitude IS NOT NULL")
         .select(zip_code, "longitude", "latitude")
         .distinct()
     )
-    x, y, z = unit_vector("longitude", "latitude")
-    middle = points.groupBy(zip_code).agg(F.avg(x).alias("x"), F.avg(y).alias("y"), F.avg(z).alias("z"))
-    x, y, z = F.col("x"), F.col("y"), F.col("z")
+    vector = unit_vector("longitude", "latitude")
+    middle = points.groupBy(zip_code).agg(
+        *[F.expr(f"avg({part})").alias(axis) for axis, part in zip("xyz", vector)]
+    )
     return usual.join(middle, zip_code, "left").select(
         zip_code,
-        F.col("name.city").alias("city"),
-        F.col("name.state").alias("state"),
-        centroid_lng(x, y).alias("centroid_lng"),
-        centroid_lat(x, y, z).alias("centroid_lat"),
+        "name.city",
+        "name.state",
+        direction_lng("x", "y").alias("centroid_lng"),
+        direction_lat("x", "y", "z").alias("centroid_lat"),
     )

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions import exact_quantile, hours_between, mean_days, rank_of, ratio, relabel
-from freightlens.functions.aggregates import money
+from freightlens.functions.aggregates import cents_sql, mean_days, measures, ratio_sql
+from freightlens.functions.labels import rank_of, relabel
 from freightlens.functions.status import STATUS_LABELS
+from freightlens.functions.timing import hours_sql
 
 PROFILED = [
     "order_purchase_at",
@@ -40,11 +41,13 @@ def null_profile(df: DataFrame, columns: Sequence[str] = tuple(PROFILED)) -> Dat
 
     One pass; the single result row is then turned into one row per measure.
     """
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]
-    wide = df.agg(F.count("*").alias("total_rows"), *nulls).withColumn("_all", F.col("total_rows"))
-    long = wide.unpivot(["_all"], wide.columns[:-1], "measure", "count")
-    share = ratio(F.col("count"), F.col("_all")) * 100
-    return long.select("measure", "count", F.bround(share, 1).alias("pct_of_total"))
+    nulls = {f"null_{c}": f"count_if({c} IS NULL)" for c in columns}
+    wide = df.agg(*measures({"total_rows": "count(*)", **nulls})).selectExpr(
+        "*", "total_rows AS all_rows"
+    )
+    long = wide.unpivot(["all_rows"], wide.columns[:-1], "measure", "count")
+    share = ratio_sql("count", "all_rows")
+    return long.selectExpr("measure", "count", f"bround({share} * 100, 1) AS pct_of_total")
 
 
 def date_coverage(orders: DataFrame) -> DataFrame:
@@ -59,50 +62,55 @@ def date_coverage(orders: DataFrame) -> DataFrame:
 
 def satisfaction_in_order(mart: DataFrame) -> DataFrame:
     """The satisfaction mart in business order, with the place of each outcome (N-4)."""
-    place = rank_of("delivery_status", list(STATUS_LABELS))
-    return mart.withColumn("position", place).orderBy("position")
+    place = rank_of("delivery_status", list(STATUS_LABELS)).alias("position")
+    return mart.select("*", place).orderBy("position")
 
 
-def _group_name(multi: Column) -> Column:
-    return F.when(multi, "multi-seller").otherwise("single-seller")
+def _median_sql(column: str) -> str:
+    """Median of whole hours, as days with two decimals."""
+    return f"round(percentile_disc(0.5) WITHIN GROUP (ORDER BY {column}), 2)"
 
 
-def _basket(pairs: DataFrame) -> DataFrame:
-    """Items and sellers per order from (order, seller) rows."""
-    return pairs.groupBy("order_id").agg(
-        F.sum("n").alias("n_items"), F.count("seller_id").alias("n_sellers")
-    )
+_BY_SELLERS = "if(n_sellers > 1, 'multi-seller', 'single-seller')"
+_MEAN_ITEMS = f"round({ratio_sql('sum(n_items)', 'count(*)')}, 2)"
 
 
 def deadline_spread(items: DataFrame) -> DataFrame:
     """Spread of shipping deadlines and freight per item, orders of two or more items (N-6)."""
     pairs = items.groupBy("order_id", "seller_id").agg(
-        F.count("*").alias("n"),
-        F.min("shipping_limit_date").alias("first_limit"),
-        F.max("shipping_limit_date").alias("last_limit"),
-        F.sum(money("freight_value")).alias("freight"),
-        F.count("freight_value").alias("with_freight"),
+        *measures(
+            {
+                "n": "count(*)",
+                "first_limit": "min(shipping_limit_date)",
+                "last_limit": "max(shipping_limit_date)",
+                "freight": f"sum({cents_sql('freight_value')})",
+                "charged": "count(freight_value)",
+            }
+        )
     )
-    spread = hours_between(F.min("first_limit"), F.max("last_limit")) / F.lit(24.0)
-    baskets = (
-        pairs.groupBy("order_id")
-        .agg(
-            F.sum("n").alias("n_items"),
-            F.count("seller_id").alias("n_sellers"),
-            spread.alias("limit_spread_days"),
-            ratio(F.sum("freight"), F.sum("with_freight")).alias("freight_per_item"),
+    baskets = pairs.groupBy("order_id").agg(
+        *measures(
+            {
+                "n_items": "sum(n)",
+                "n_sellers": "count(seller_id)",
+                "spread": f"{hours_sql('min(first_limit)', 'max(last_limit)')} / 24D",
+                "freight_per_item": ratio_sql("sum(freight)", "100 * sum(charged)"),
+            }
         )
-        .filter("n_items >= 2")
     )
-    over_a_day = F.when(F.col("limit_spread_days") > 1, 1).otherwise(0)
     return (
-        baskets.groupBy(_group_name(F.col("n_sellers") > 1).alias("grp"))
+        baskets.filter("n_items >= 2")
+        .groupBy(F.expr(_BY_SELLERS).alias("grp"))
         .agg(
-            F.count("*").alias("orders"),
-            F.round(ratio(F.sum("n_items"), F.count("*")), 2).alias("avg_items"),
-            F.round(exact_quantile("limit_spread_days", 0.5), 2).alias("median_limit_spread_days"),
-            F.round(F.avg(over_a_day) * 100, 1).alias("pct_orders_limits_over_1_day"),
-            F.round(F.avg("freight_per_item"), 2).alias("mean_freight_per_item"),
+            *measures(
+                {
+                    "orders": "count(*)",
+                    "avg_items": _MEAN_ITEMS,
+                    "median_limit_spread_days": _median_sql("spread"),
+                    "pct_orders_limits_over_1_day": "round(avg(if(spread > 1, 1, 0)) * 100, 1)",
+                    "mean_freight_per_item": "round(avg(freight_per_item), 2)",
+                }
+            )
         )
         .orderBy("grp")
     )
@@ -111,59 +119,75 @@ def deadline_spread(items: DataFrame) -> DataFrame:
 def seller_states(items: DataFrame, sellers: DataFrame) -> DataFrame:
     """How many multi-seller orders span several states (N-7, J-11)."""
     pairs = items.select("order_id", "seller_id").distinct()
-    per_state = (
+    baskets = (
         pairs.join(sellers.select("seller_id", "seller_state"), "seller_id")
-        .groupBy("order_id", "seller_state")
-        .agg(F.count("*").alias("n_sellers"))
-    )
-    baskets = per_state.groupBy("order_id").agg(
-        F.sum("n_sellers").alias("n_sellers"), F.count("seller_state").alias("n_states")
+        .groupBy("order_id")
+        .agg(
+            *measures(
+                {
+                    "n_sellers": "count(seller_id)",
+                    "several_states": "min(seller_state) <> max(seller_state)",
+                }
+            )
+        )
+        .filter("n_sellers > 1")
     )
-    multi = F.col("n_sellers") > 1
-    apart = multi & (F.col("n_states") > 1)
+    share = ratio_sql("count_if(several_states)", "count(*)")
     return baskets.agg(
-        F.count_if(multi).alias("multi_seller_orders"),
-        F.count_if(apart).alias("sellers_in_different_states"),
-        F.round(ratio(F.count_if(apart), F.count_if(multi)) * 100, 1).alias("pct_different_states"),
+        *measures(
+            {
+                "multi_seller_orders": "count(*)",
+                "sellers_in_different_states": "count_if(several_states)",
+                "pct_different_states": f"round({share} * 100, 1)",
+            }
+        )
     )
 
 
 def controlled_transit(
     items: DataFrame, sellers: DataFrame, orders: DataFrame, customers: DataFrame
 ) -> DataFrame:
-    """Transit by distance and seller count for orders of two or more items (N-8)."""
+    """Transit by distance and seller count for orders of two or more items (N-8).
+
+    An order whose sellers are not all known to be in one state counts as
+    crossing; against an unknown customer state it does not.
+    """
     pairs = items.groupBy("order_id", "seller_id").agg(F.count("*").alias("n"))
     baskets = (
         pairs.join(sellers.select("seller_id", "seller_state"), "seller_id")
         .groupBy("order_id")
         .agg(
-            F.sum("n").alias("n_items"),
-            F.count("seller_id").alias("n_sellers"),
-            F.min("seller_state").alias("first_state"),
-            F.max("seller_state").alias("last_state"),
+            *measures(
+                {
+                    "n_items": "sum(n)",
+                    "n_sellers": "count(seller_id)",
+                    "home": "if(min(seller_state) = max(seller_state), min(seller_state), NULL)",
+                }
+            )
         )
         .filter("n_items >= 2")
     )
-    handed, arrived = "order_delivered_carrier_at", "order_delivered_customer_at"
-    delivered = orders.filter(F.col(handed).isNotNull() & F.col(arrived).isNotNull()).select(
-        "order_id", "customer_id", (hours_between(handed, arrived) / F.lit(24.0)).alias("transit_days")
-    )
-    home = F.col("customer_state")
-    # Unknown states compare as unknown, and an unknown answer is not "cross".
-    one_origin = F.col("first_state") == F.col("last_state")
-    away = F.when(F.coalesce(one_origin, F.lit(False)), F.col("first_state") != home).otherwise(True)
+    transit = hours_sql("order_delivered_carrier_at", "order_delivered_customer_at")
+    delivered = orders.selectExpr(
+        "order_id", "customer_id", f"{transit} / 24D AS transit_days"
+    ).filter("transit_days IS NOT NULL")
+    crossing = "home IS NULL OR coalesce(home <> customer_state, false)"
     return (
         baskets.join(delivered, "order_id")
         .join(customers.select("customer_id", "customer_state"), "customer_id")
         .groupBy(
-            F.when(away, "cross-state").otherwise("same-state").alias("distance_band"),
-            _group_name(F.col("n_sellers") > 1).alias("grp"),
+            F.expr(f"if({crossing}, 'cross-state', 'same-state')").alias("distance_band"),
+            F.expr(_BY_SELLERS).alias("grp"),
         )
         .agg(
-            F.count("*").alias("orders"),
-            F.round(ratio(F.sum("n_items"), F.count("*")), 2).alias("avg_items"),
-            F.round(exact_quantile("transit_days", 0.5), 2).alias("median_transit_days"),
-            F.round(mean_days("transit_days"), 2).alias("mean_transit_days"),
+            *measures(
+                {
+                    "orders": "count(*)",
+                    "avg_items": _MEAN_ITEMS,
+                    "median_transit_days": _median_sql("transit_days"),
+                    "mean_transit_days": F.round(mean_days("transit_days"), 2),
+                }
+            )
         )
         .orderBy("distance_band", "grp")
     )
@@ -171,35 +195,32 @@ def controlled_transit(
 
 def review_spread(items: DataFrame, reviews: DataFrame) -> DataFrame:
     """Orders with several reviews, and how far apart these are (N-9)."""
-    baskets = _basket(items.groupBy("order_id", "seller_id").agg(F.count("*").alias("n")))
-    surveys = reviews.groupBy("order_id").agg(
-        F.count("*").alias("n_reviews"),
-        (
-            hours_between(F.min("review_creation_date"), F.max("review_creation_date"))
-            / F.lit(24.0)
-        ).alias("spread_days"),
+    pairs = items.groupBy("order_id", "seller_id").agg(F.count("*").alias("n"))
+    baskets = pairs.groupBy("order_id").agg(
+        *measures({"n_items": "sum(n)", "n_sellers": "count(seller_id)"})
     )
-    several = F.col("n_reviews") > 1
-    group = (
-        F.when(F.col("n_sellers") > 1, "multi-seller")
-        .when(F.col("n_items") >= 2, "single-seller 2+ items")
-        .otherwise("single-seller 1 item")
+    gap = hours_sql("min(review_creation_date)", "max(review_creation_date)")
+    surveys = reviews.groupBy("order_id").agg(
+        F.expr(f"if(count(*) > 1, {gap} / 24D, NULL)").alias("spread")
     )
+    group = """CASE WHEN n_sellers > 1 THEN 'multi-seller'
+        WHEN n_items >= 2 THEN 'single-seller 2+ items' ELSE 'single-seller 1 item' END"""
 
-    def percent(p: Column) -> Column:
-        return F.round(ratio(F.count_if(p), F.count("*")) * 100, 2)
+    def percent(count: str) -> str:
+        return f"round({ratio_sql(count, 'count(*)')} * 100, 2)"
 
     return (
         baskets.join(surveys, "order_id")
-        .withColumn("spread_when_several", F.when(several, F.col("spread_days")))
-        .groupBy(group.alias("grp"))
+        .groupBy(F.expr(group).alias("grp"))
         .agg(
-            F.count("*").alias("orders"),
-            percent(several).alias("pct_orders_with_multiple_reviews"),
-            percent(several & (F.col("spread_days") > 1)).alias("pct_reviews_over_1d_apart"),
-            F.round(exact_quantile("spread_when_several", 0.5), 2).alias(
-                "median_spread_when_multiple"
-            ),
+            *measures(
+                {
+                    "orders": "count(*)",
+                    "pct_orders_with_multiple_reviews": percent("count(spread)"),
+                    "pct_reviews_over_1d_apart": percent("count_if(spread > 1)"),
+                    "median_spread_when_multiple": _median_sql("spread"),
+                }
+            )
         )
         .orderBy("grp")
     )
@@ -207,4 +228,4 @@ def review_spread(items: DataFrame, reviews: DataFrame) -> DataFrame:
 
 def labelled_status(df: DataFrame) -> DataFrame:
     """Add the display label of the outcome; unknown outcomes keep their name."""
-    return df.withColumn("delivery_outcome", relabel("delivery_status", STATUS_LABELS))
+    return df.select("*", relabel("delivery_status", STATUS_LABELS).alias("delivery_outcome"))

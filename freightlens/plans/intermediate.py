@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions import days_between, delivery_status, great_circle_metres
-from freightlens.functions.aggregates import money
+from freightlens.functions.aggregates import amount_sql, cents_sql, measures
+from freightlens.functions.geo import great_circle_metres
+from freightlens.functions.status import delivery_status
+from freightlens.functions.timing import days_between
 
 SHAPES = [
     "single_seller_normal_handoff",
@@ -37,70 +39,63 @@ def order_delivery_stages(orders: DataFrame) -> DataFrame:
     )
 
 
+def _if_has(df: DataFrame, column: str, **named: str) -> dict[str, str]:
+    return named if column in df.columns else {}
+
+
+def order_totals(items: DataFrame) -> DataFrame:
+    """Items and money per order, for what does not care who sold them.
+
+    One step: map-side sums shrink a huge order before the shuffle.
+    """
+    return items.groupBy("order_id").agg(
+        *measures(
+            {
+                "item_count": "count(*)",
+                "order_revenue": amount_sql(f"sum({cents_sql('price')})"),
+                "order_freight": amount_sql(f"sum({cents_sql('freight_value')})"),
+            }
+        )
+    )
+
+
 def seller_shares(items: DataFrame) -> DataFrame:
-    """One row per (order, seller): how many items, how much money, latest deadline.
+    """One row per (order, seller): items, cents, latest deadline, first item.
 
-    This is the first of two steps to any order or seller measure. It shuffles
-    on the pair, so neither a huge order nor a huge seller lands in one task.
+    The first of two steps to measures that depend on the sellers of an order or
+    the orders of a seller. It shuffles on the pair, so neither a huge order nor
+    a huge seller lands in one task.
     """
-    measures = [
-        F.count("*").alias("items"),
-        F.sum(money("price")).alias("revenue"),
-        F.sum(money("freight_value")).alias("freight"),
-    ]
-    if "shipping_limit_date" in items.columns:
-        measures.append(F.max("shipping_limit_date").alias("last_limit"))
-    if "order_item_id" in items.columns:
-        measures.append(F.min("order_item_id").alias("first_item"))
-    return items.groupBy("order_id", "seller_id").agg(*measures)
+    named = {
+        "items": "count(*)",
+        "revenue": f"sum({cents_sql('price')})",
+        "freight": f"sum({cents_sql('freight_value')})",
+        **_if_has(items, "shipping_limit_date", last_limit="max(shipping_limit_date)"),
+        **_if_has(items, "order_item_id", first_item="min(order_item_id)"),
+    }
+    return items.groupBy("order_id", "seller_id").agg(*measures(named))
 
 
 def order_rollup(items: DataFrame) -> DataFrame:
-    """One row per order that has items (A-4, A-8, W-1, W-3).
+    """One row per order that has items, with its sellers (A-4, A-8, W-1, W-3).
 
     The seller with the highest revenue stands for the order, the lowest id
     among equals. It is found as a minimum, which Spark merges map-side, rather
     than by ranking the sellers of an order in a window.
     """
-    has_seller = F.col("seller_id").isNotNull()
-    top = F.struct(F.col("revenue").isNull(), -F.col("revenue"), F.col("seller_id"))
     shares = seller_shares(items)
-    measures = [
-        F.sum("items").alias("item_count"),
-        F.count("seller_id").alias("distinct_seller_count"),
-        F.sum("revenue").cast("double").alias("order_revenue"),
-        F.sum("freight").cast("double").alias("order_freight"),
-        F.min(F.when(has_seller, top))["seller_id"].alias("main_seller_id"),
-    ]
-    if "last_limit" in shares.columns:
-        measures.append(F.max(F.when(has_seller, F.col("last_limit"))).alias("last_shipping_limit_at"))
-    if "first_item" in shares.columns:
-        measures.append(F.min("first_item").alias("first_item_id"))
-    return shares.groupBy("order_id").agg(*measures)
-
-
-def _shape(slow_handoff_days: float, sla_breach_days: float) -> Column:
-    # A missing duration compares as unknown, which is not slow.
-    slow = (F.col("seller_handling_days") > slow_handoff_days) & (
-        F.col("carrier_handoff_vs_limit_days") > sla_breach_days
-    )
-    return (
-        F.when(F.col("unclassified_reason").isNotNull(), "unclassified")
-        .when(F.col("distinct_seller_count") > 1, "multi_seller")
-        .when(slow, "single_seller_slow_handoff")
-        .otherwise("single_seller_normal_handoff")
-    )
-
-
-def _distance_band() -> Column:
-    same_state = F.col("seller_state") == F.col("customer_state")
-    same_city = F.lower("seller_city") == F.lower("customer_city")
-    return (
-        F.when(same_state.isNull(), "4. unknown")
-        .when(~same_state, "3. cross_state")
-        .when(same_city, "1. same_city")
-        .otherwise("2. same_state")
-    )
+    top = "min(struct(revenue IS NULL, -revenue, seller_id)) FILTER (WHERE seller_id IS NOT NULL)"
+    latest = "max(if(seller_id IS NULL, NULL, last_limit))"
+    named = {
+        "item_count": "sum(items)",
+        "distinct_seller_count": "count(seller_id)",
+        "order_revenue": amount_sql("sum(revenue)"),
+        "order_freight": amount_sql("sum(freight)"),
+        "main_seller_id": f"({top}).seller_id",
+        **_if_has(shares, "last_limit", last_shipping_limit_at=latest),
+        **_if_has(shares, "first_item", first_item_id="min(first_item)"),
+    }
+    return shares.groupBy("order_id").agg(*measures(named))
 
 
 def order_transit_shape(
@@ -113,29 +108,33 @@ def order_transit_shape(
     """Shape, distance band and reason of each order (D-10, P-17).
 
     ``order_facts`` is at order grain. Both lookups are from the many side to a
-    unique key, so a hot seller or customer can be split by AQE.
+    unique key, so a hot seller or customer can be split by AQE. A comparison
+    with something missing is neither slow nor near.
     """
-    unapproved = F.col("order_approved_at").isNull()
-    unhanded = F.col("order_delivered_carrier_at").isNull()
-    reason = (
-        F.when(F.col("distinct_seller_count") == 0, "no_items_on_order")
-        .when(unapproved & unhanded, "never_approved_or_shipped")
-        .when(unapproved, "approval_timestamp_missing")
-        .when(unhanded, "never_handed_to_carrier")
-    )
-    seller_places = sellers.select(
-        F.col("seller_id").alias("main_seller_id"), "seller_city", "seller_state"
+    seller_places = sellers.selectExpr(
+        "seller_id AS main_seller_id", "seller_city", "seller_state"
     )
     customer_places = customers.select("customer_id", "customer_city", "customer_state")
+    unapproved, unhanded = "order_approved_at IS NULL", "order_delivered_carrier_at IS NULL"
     return (
         order_facts.join(seller_places, "main_seller_id", "left")
         .join(customer_places, "customer_id", "left")
-        .withColumn(
-            "carrier_handoff_vs_limit_days",
-            days_between("last_shipping_limit_at", "order_delivered_carrier_at"),
-        )
-        .withColumn("unclassified_reason", reason)
         .select(
+            "*",
+            days_between("last_shipping_limit_at", "order_delivered_carrier_at").alias(
+                "carrier_handoff_vs_limit_days"
+            ),
+            F.expr(
+                f"""CASE
+                    WHEN distinct_seller_count = 0 THEN 'no_items_on_order'
+                    WHEN {unapproved} THEN
+                        if({unhanded}, 'never_approved_or_shipped', 'approval_timestamp_missing')
+                    WHEN {unhanded} THEN 'never_handed_to_carrier' END"""
+            ).alias("unclassified_reason"),
+            F.expr("seller_state = customer_state").alias("same_state"),
+            F.expr("lower(seller_city) = lower(customer_city)").alias("same_city"),
+        )
+        .selectExpr(
             "order_id",
             "order_status",
             "delivery_status",
@@ -145,18 +144,28 @@ def order_transit_shape(
             "seller_handling_days",
             "carrier_handoff_vs_limit_days",
             "unclassified_reason",
-            _shape(slow_handoff_days, sla_breach_days).alias("order_shape"),
-            _distance_band().alias("distance_band"),
+            f"""CASE
+                WHEN unclassified_reason IS NOT NULL THEN 'unclassified'
+                WHEN distinct_seller_count >= 2 THEN 'multi_seller'
+                WHEN seller_handling_days > {slow_handoff_days}
+                    AND carrier_handoff_vs_limit_days > {sla_breach_days}
+                    THEN 'single_seller_slow_handoff'
+                ELSE 'single_seller_normal_handoff' END AS order_shape""",
+            """CASE
+                WHEN same_state IS NULL THEN '4. unknown'
+                WHEN NOT same_state THEN '3. cross_state'
+                WHEN same_city THEN '1. same_city'
+                ELSE '2. same_state' END AS distance_band""",
         )
     )
 
 
 def _located(df: DataFrame, role: str, geo: DataFrame) -> DataFrame:
     """Sellers or customers with the centroid of their zip code; unknown zips drop out."""
-    points = geo.select(
-        F.col("zip_code_prefix").alias(f"{role}_zip_code_prefix"),
-        F.col("centroid_lat").alias(f"{role}_lat"),
-        F.col("centroid_lng").alias(f"{role}_lng"),
+    points = geo.selectExpr(
+        f"zip_code_prefix AS {role}_zip_code_prefix",
+        f"centroid_lat AS {role}_lat",
+        f"centroid_lng AS {role}_lng",
     )
     return df.join(points, f"{role}_zip_code_prefix").select(
         f"{role}_id", f"{role}_lat", f"{role}_lng"
@@ -181,13 +190,11 @@ def with_distance(
         .join(_located(customers, "customer", geo), "customer_id")
         .drop("customer_id")
     )
+    distance = great_circle_metres("seller_lng", "seller_lat", "customer_lng", "customer_lat")
     return (
         rows.join(_located(sellers, "seller", geo), "seller_id")
         .join(ends, "order_id")
-        .withColumn(
-            "distance_meters",
-            great_circle_metres("seller_lng", "seller_lat", "customer_lng", "customer_lat"),
-        )
+        .select("*", distance.alias("distance_meters"))
     )
 
 

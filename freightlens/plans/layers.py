@@ -84,6 +84,13 @@ class Layers:
     def order_facts(self) -> DataFrame:
         return core.order_facts(self.stages, self.stg_order_items, self.stg_order_reviews)
 
+    @cached_property
+    def order_amounts(self) -> DataFrame:
+        """The order facts without seller columns."""
+        return core.order_facts(
+            self.stages, self.stg_order_items, self.stg_order_reviews, with_sellers=False
+        )
+
     @cached_property
     def item_facts(self) -> DataFrame:
         return core.item_facts(self.stg_order_items, self.stages)
@@ -109,19 +116,19 @@ class Layers:
 
     @cached_property
     def mart_delivery_kpis(self) -> DataFrame:
-        return marts.mart_delivery_kpis(self.order_facts, self.dim_customer)
+        return marts.mart_delivery_kpis(self.order_amounts, self.dim_customer)
 
     @cached_property
     def mart_monthly_sales(self) -> DataFrame:
-        return marts.mart_monthly_sales(self.order_facts)
+        return marts.mart_monthly_sales(self.order_amounts)
 
     @cached_property
     def mart_satisfaction_by_delivery(self) -> DataFrame:
-        return marts.mart_satisfaction_by_delivery(self.order_facts)
+        return marts.mart_satisfaction_by_delivery(self.order_amounts)
 
     @cached_property
     def mart_delivery_delay_stages(self) -> DataFrame:
-        return marts.mart_delivery_delay_stages(self.order_facts)
+        return marts.mart_delivery_delay_stages(self.order_amounts)
 
     @cached_property
     def mart_pdt_delivery(self) -> DataFrame:
@@ -131,7 +138,7 @@ class Layers:
         return marts.mart_delay_pdt_vs_dist(
             self.stg_order_items,
             self.dim_products,
-            self.order_facts,
+            self.order_amounts,
             self.dim_seller,
             self.dim_customer,
             self.dim_geolocation,
@@ -147,10 +154,10 @@ class Layers:
         return marts.mart_seller_performance(self.stg_order_items, self.stages)
 
     def mart_delivery_revenue_risk(self, order_grain: bool = False) -> DataFrame:
-        return marts.mart_delivery_revenue_risk(self.order_facts, self.dim_customer, order_grain)
+        return marts.mart_delivery_revenue_risk(self.order_amounts, self.dim_customer, order_grain)
 
     def mart_delivery_sunburst(self, order_grain: bool = False) -> DataFrame:
-        return marts.mart_delivery_sunburst(self.order_facts, self.dim_customer, order_grain)
+        return marts.mart_delivery_sunburst(self.order_amounts, self.dim_customer, order_grain)
 
     def mart_transit_drivers(self, **limits: float) -> DataFrame:
         return marts.mart_transit_drivers(self.shapes(**limits))

@@ -6,21 +6,24 @@ joined to the order's stages. Ratios are NULL where their denominator is zero.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from freightlens.functions import (
+from freightlens.functions.aggregates import (
+    amount_sql,
+    cents_sql,
+    cents_sum,
     exact_quantile,
-    is_late,
-    is_on_time,
     mean_days,
+    measures,
     money_sum,
-    month_of,
     ratio,
+    ratio_sql,
     total_days,
 )
-from freightlens.functions.aggregates import MONEY, money
+from freightlens.functions.labels import text_sql
+from freightlens.functions.status import LATE, NOT_DELIVERED, ON_TIME
+from freightlens.functions.timing import month_of
 from freightlens.plans.intermediate import seller_shares, with_distance
 
 SIZES = ["S", "M", "L", "XL", "Too Large or Too Heavy for Delivery"]
@@ -31,51 +34,49 @@ SIDE_SUM_LIMITS_CM = [80, 120, 200, 300]
 WEIGHT_LIMITS_G = [5_000, 10_000, 20_000, 30_000]
 ZONE_LIMITS_KM = [100, 500, 1_500]
 
-_NOT_DELIVERED = "not_delivered"
 
+def _place_sql(value: str, limits: list[int]) -> str:
+    """0 up to the first limit, 1 up to the second, and so on."""
+    return "(" + " + ".join(f"int({value} > {limit})" for limit in limits) + ")"
 
-def _class_of(c: Column, limits: list[int], above: int) -> Column:
-    """1 for values up to the first limit, 2 up to the second, …, ``above`` beyond the last."""
-    classes = F.when(c <= limits[0], 1)
-    for number, limit in enumerate(limits[1:], start=2):
-        classes = classes.when(c <= limit, number)
-    return classes.otherwise(above)
 
+def _name_at_sql(place: str, names: list[str]) -> str:
+    return f"get(array({', '.join(text_sql(n) for n in names)}), {place})"
 
-def size_class(dimension: str = "product_dimension", weight: str = "product_weight_g") -> Column:
-    """The larger of the size and the weight class.
+
+def size_class_sql(side_sum: str = "product_dimension", weight: str = "product_weight_g") -> str:
+    """The larger of the size and the weight class of a product that has both.
 
     A weight above the last limit is taken for a data error and counts as the
     lightest class, so that the size decides.
     """
-    place = F.greatest(
-        _class_of(F.col(dimension), SIDE_SUM_LIMITS_CM, above=5),
-        _class_of(F.col(weight), WEIGHT_LIMITS_G, above=1),
-    )
-    return F.get(F.array(*[F.lit(s) for s in SIZES]), place - 1)
+    by_weight = f"if({weight} > {WEIGHT_LIMITS_G[-1]}, 0, {_place_sql(weight, WEIGHT_LIMITS_G)})"
+    return _name_at_sql(f"greatest({_place_sql(side_sum, SIDE_SUM_LIMITS_CM)}, {by_weight})", SIZES)
 
 
-def zone_of(distance_meters: str = "distance_meters") -> Column:
-    place = _class_of(F.col(distance_meters) / 1000, ZONE_LIMITS_KM, above=4)
-    return F.get(F.array(*[F.lit(z) for z in ZONES]), place - 1)
+def zone_sql(distance_meters: str = "distance_meters") -> str:
+    return _name_at_sql(_place_sql(f"{distance_meters} / 1000", ZONE_LIMITS_KM), ZONES)
 
 
 def mart_delivery_kpis(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Orders, lateness and durations by purchase month and customer state (D-18)."""
-    late = F.count_if(is_late())
     return (
         orders.join(customers.select("customer_id", "customer_state"), "customer_id")
         .groupBy(month_of("order_purchase_at").alias("order_month"), "customer_state")
         .agg(
-            F.count("*").alias("order_count"),
-            F.count_if(F.col("delivery_status") == _NOT_DELIVERED).alias("not_delivered_count"),
-            F.count_if(is_on_time()).alias("on_time_count"),
-            late.alias("late_count"),
-            ratio(late, F.count("*")).alias("late_pct"),
-            mean_days("total_delivery_days").alias("avg_delivery_days"),
-            mean_days("seller_handling_days").alias("avg_seller_handling_days"),
-            mean_days("transit_days").alias("avg_transit_days"),
-            money_sum("order_revenue").alias("total_revenue"),
+            *measures(
+                {
+                    "order_count": "count(*)",
+                    "not_delivered_count": f"count_if({NOT_DELIVERED})",
+                    "on_time_count": f"count_if({ON_TIME})",
+                    "late_count": f"count_if({LATE})",
+                    "late_pct": ratio(f"count_if({LATE})", "count(*)"),
+                    "avg_delivery_days": mean_days("total_delivery_days"),
+                    "avg_seller_handling_days": mean_days("seller_handling_days"),
+                    "avg_transit_days": mean_days("transit_days"),
+                    "total_revenue": money_sum("order_revenue"),
+                }
+            )
         )
     )
 
@@ -85,17 +86,17 @@ def mart_monthly_sales(orders: DataFrame) -> DataFrame:
 
     The input has one row per order, so counting rows counts distinct orders.
     """
-    revenue = money_sum("order_revenue")
-    return (
-        orders.groupBy(month_of("order_purchase_at").alias("order_month"))
-        .agg(
-            F.count("*").alias("order_count"),
-            revenue.alias("total_revenue"),
-            money_sum("order_freight").alias("total_freight"),
-            ratio(revenue, F.count("*")).alias("avg_order_value"),
+    totals = orders.groupBy(month_of("order_purchase_at").alias("order_month")).agg(
+        *measures(
+            {
+                "order_count": "count(*)",
+                "total_revenue": money_sum("order_revenue"),
+                "total_freight": money_sum("order_freight"),
+            }
         )
-        .orderBy("order_month")
     )
+    value = ratio("total_revenue", "order_count").alias("avg_order_value")
+    return totals.select("*", value).orderBy("order_month")
 
 
 def mart_satisfaction_by_delivery(orders: DataFrame) -> DataFrame:
@@ -104,10 +105,14 @@ def mart_satisfaction_by_delivery(orders: DataFrame) -> DataFrame:
         orders.filter("avg_review_score IS NOT NULL")
         .groupBy("delivery_status")
         .agg(
-            F.count("*").alias("order_count"),
-            F.avg("avg_review_score").alias("avg_review_score"),
-            mean_days("total_delivery_days").alias("avg_delivery_days"),
-            mean_days("delivery_delay_days").alias("avg_delivery_delay_days"),
+            *measures(
+                {
+                    "order_count": "count(*)",
+                    "avg_review_score": "avg(avg_review_score)",
+                    "avg_delivery_days": mean_days("total_delivery_days"),
+                    "avg_delivery_delay_days": mean_days("delivery_delay_days"),
+                }
+            )
         )
     )
 
@@ -122,41 +127,49 @@ def mart_delivery_delay_stages(orders: DataFrame) -> DataFrame:
         "seller_handling": "seller_handling_days",
         "transit": "transit_days",
     }
-    totals = orders.filter(is_late()).agg(*[total_days(c).alias(s) for s, c in stage_of.items()])
-    overall = F.col("approval") + F.col("seller_handling") + F.col("transit")
+    totals = orders.filter(LATE).agg(*measures({s: total_days(c) for s, c in stage_of.items()}))
     return (
-        totals.withColumn("overall", overall)
+        totals.selectExpr("*", f"{' + '.join(stage_of)} AS overall")
         .unpivot(["overall"], list(stage_of), "stage", "total_days")
-        .select(
-            "stage", "total_days", ratio(F.col("total_days"), F.col("overall")).alias("pct_of_delay")
-        )
+        .select("stage", "total_days", ratio("total_days", "overall").alias("pct_of_delay"))
     )
 
 
 def mart_pdt_delivery(items: DataFrame, products: DataFrame) -> DataFrame:
     """Lateness and money by category bucket and parcel size, item grain (D-22)."""
-    measured = products.filter(
-        "product_weight_g IS NOT NULL AND product_length_cm IS NOT NULL "
-        "AND product_height_cm IS NOT NULL AND product_width_cm IS NOT NULL"
-    ).select("product_id", "product_category_buckets", size_class().alias("product_size_buckets"))
-    late, rows = F.count_if(is_late()), F.count("*")
-    revenue, freight = money_sum("item_price"), money_sum("item_freight")
-    return (
+    measured = products.dropna(
+        subset=[
+            "product_weight_g",
+            "product_length_cm",
+            "product_height_cm",
+            "product_width_cm",
+        ]
+    ).selectExpr(
+        "product_id", "product_category_buckets", f"{size_class_sql()} AS product_size_buckets"
+    )
+    totals = (
         items.join(measured, "product_id")
         .groupBy("product_category_buckets", "product_size_buckets")
         .agg(
-            rows.alias("product_item_count"),
-            mean_days("total_delivery_days").alias("avg_delivery_days"),
-            F.count_if(F.col("delivery_status") == _NOT_DELIVERED).alias("not_delivered_item_count"),
-            F.count_if(is_on_time()).alias("on_time_item_count"),
-            late.alias("late_item_count"),
-            ratio(late, rows).alias("late_item_pct"),
-            revenue.alias("total_revenue"),
-            freight.alias("total_freight"),
-            ratio(revenue, rows).alias("avg_revenue_per_item"),
-            ratio(freight, rows).alias("avg_freight_per_item"),
+            *measures(
+                {
+                    "product_item_count": "count(*)",
+                    "avg_delivery_days": mean_days("total_delivery_days"),
+                    "not_delivered_item_count": f"count_if({NOT_DELIVERED})",
+                    "on_time_item_count": f"count_if({ON_TIME})",
+                    "late_item_count": f"count_if({LATE})",
+                    "total_revenue": money_sum("item_price"),
+                    "total_freight": money_sum("item_freight"),
+                }
+            )
         )
     )
+    return totals.select(
+        "*",
+        ratio("late_item_count", "product_item_count").alias("late_item_pct"),
+        ratio("total_revenue", "product_item_count").alias("avg_revenue_per_item"),
+        ratio("total_freight", "product_item_count").alias("avg_freight_per_item"),
+    )
 
 
 def mart_delay_pdt_vs_dist(
@@ -177,10 +190,11 @@ def mart_delay_pdt_vs_dist(
     """
     if grain not in ("order_pairs", "item"):
         raise ValueError(f"unknown grain {grain!r}")
-    sized = products.filter("product_weight_g IS NOT NULL AND product_dimension IS NOT NULL")
-    sized = sized.select("product_id", size_class().alias("size_bucket"))
+    weight = "item_count" if grain == "order_pairs" else "1L"
     wanted = ["delivery_status"] + (["item_count"] if grain == "order_pairs" else [])
-    weight = F.col("item_count") if grain == "order_pairs" else F.lit(1).cast("bigint")
+    sized = products.dropna(subset=["product_weight_g", "product_dimension"]).selectExpr(
+        "product_id", f"{size_class_sql()} AS size_bucket"
+    )
     counted = with_distance(
         items.select("order_id", "seller_id", "product_id").join(sized, "product_id"),
         orders,
@@ -189,10 +203,16 @@ def mart_delay_pdt_vs_dist(
         geo,
         wanted,
     ).filter("delivery_status IS NOT NULL")
-    total = F.sum(weight)
-    late = F.sum(F.when(is_late(), weight).otherwise(F.lit(0).cast("bigint")))
-    return counted.groupBy(zone_of().alias("distance_bucket"), "size_bucket").agg(
-        total.alias("order_item_count"), ratio(late, total).alias("late_pct")
+    totals = counted.groupBy(F.expr(zone_sql()).alias("distance_bucket"), "size_bucket").agg(
+        *measures(
+            {"order_item_count": f"sum({weight})", "late_count": f"sum(if({LATE}, {weight}, 0L))"}
+        )
+    )
+    return totals.select(
+        "distance_bucket",
+        "size_bucket",
+        "order_item_count",
+        ratio("late_count", "order_item_count").alias("late_pct"),
     )
 
 
@@ -204,26 +224,21 @@ def mart_seller_perf(items: DataFrame, stages: DataFrame, sellers: DataFrame) ->
     looked up once per seller.
     """
     shares = seller_shares(items).join(stages.select("order_id", "delivery_status"), "order_id")
-
-    def items_where(p: Column) -> Column:
-        return F.sum(F.when(p, F.col("items")).otherwise(F.lit(0).cast("bigint")))
-
-    late = items_where(is_late())
     per_seller = shares.groupBy("seller_id").agg(
-        F.sum("items").alias("seller_item_count"),
-        F.count("*").alias("seller_order_count"),
-        items_where(F.col("delivery_status") == _NOT_DELIVERED).alias("not_delivered_item_count"),
-        items_where(is_on_time()).alias("on_time_item_count"),
-        late.alias("late_item_count"),
-        ratio(late, F.sum("items")).alias("late_item_pct"),
-        F.sum("revenue").cast("double").alias("seller_total_revenue"),
+        *measures(
+            {
+                "seller_item_count": "sum(items)",
+                "seller_order_count": "count(*)",
+                "not_delivered_item_count": f"sum(if({NOT_DELIVERED}, items, 0L))",
+                "on_time_item_count": f"sum(if({ON_TIME}, items, 0L))",
+                "late_item_count": f"sum(if({LATE}, items, 0L))",
+                "seller_total_revenue": cents_sum("revenue"),
+            }
+        )
     )
     places = sellers.select("seller_id", "seller_city", "seller_state")
     return per_seller.join(places, "seller_id").select(
-        "seller_id",
-        "seller_city",
-        "seller_state",
-        *[c for c in per_seller.columns if c != "seller_id"],
+        "*", ratio("late_item_count", "seller_item_count").alias("late_item_pct")
     )
 
 
@@ -236,57 +251,70 @@ def mart_seller_performance(items: DataFrame, stages: DataFrame) -> DataFrame:
     a known outcome, undelivered ones included.
     """
     grouped = items.groupBy("order_id", "seller_id", "shipping_limit_date").agg(
-        F.count("*").alias("n"),
-        F.sum(money("price")).alias("revenue"),
-        F.sum(money("freight_value")).alias("freight"),
+        *measures(
+            {
+                "n": "count(*)",
+                "revenue": f"sum({cents_sql('price')})",
+                "freight": f"sum({cents_sql('freight_value')})",
+            }
+        )
     )
-    handoff, limit = F.col("order_delivered_carrier_at"), F.col("shipping_limit_date")
-    zero = F.lit(0).cast("bigint")
+    handoff, limit = "order_delivered_carrier_at", "shipping_limit_date"
     outcome = ["delivery_status", "total_delivery_days"]
     per_order = (
-        grouped.join(stages.select("order_id", "order_delivered_carrier_at", *outcome), "order_id", "left")
+        grouped.join(stages.select("order_id", handoff, *outcome), "order_id", "left")
         .groupBy("seller_id", "order_id", *outcome)
         .agg(
-            F.sum("n").alias("n"),
-            F.sum("revenue").alias("revenue"),
-            F.sum("freight").alias("freight"),
-            F.sum(F.when(handoff.isNotNull() & limit.isNotNull(), F.col("n")).otherwise(zero)).alias(
-                "shipped"
-            ),
-            F.sum(F.when(handoff > limit, F.col("n")).otherwise(zero)).alias("shipped_late"),
+            *measures(
+                {
+                    "n": "sum(n)",
+                    "revenue": "sum(revenue)",
+                    "freight": "sum(freight)",
+                    "shipped": f"sum(if({handoff} IS NULL OR {limit} IS NULL, 0L, n))",
+                    "shipped_late": f"sum(if({handoff} > {limit}, n, 0L))",
+                }
+            )
+        )
+    )
+    per_seller = per_order.groupBy("seller_id").agg(
+        *measures(
+            {
+                "order_count": "count(order_id)",
+                "item_count": "sum(n)",
+                "total_revenue": cents_sum("revenue"),
+                "total_freight": cents_sum("freight"),
+                "shipping_item_count": "sum(shipped)",
+                "late_shipping_item_count": "sum(shipped_late)",
+                "late_delivery_order_count": f"count(order_id) FILTER (WHERE {LATE})",
+                "delivered_order_count": """count(order_id)
+                    FILTER (WHERE delivery_status IS NOT NULL)""",
+                "avg_delivery_days": mean_days("total_delivery_days", weight="n"),
+            }
         )
     )
-    late = F.count(F.when(is_late(), F.col("order_id")))
-    known = F.count(F.when(F.col("delivery_status").isNotNull(), F.col("order_id")))
-    return per_order.groupBy("seller_id").agg(
-        F.count("order_id").alias("order_count"),
-        F.sum("n").alias("item_count"),
-        F.sum("revenue").cast("double").alias("total_revenue"),
-        F.sum("freight").cast("double").alias("total_freight"),
-        F.sum("shipped").alias("shipping_item_count"),
-        F.sum("shipped_late").alias("late_shipping_item_count"),
-        ratio(F.sum("shipped_late"), F.sum("shipped")).alias("late_shipping_pct"),
-        late.alias("late_delivery_order_count"),
-        known.alias("delivered_order_count"),
-        ratio(late, known).alias("late_delivery_pct"),
-        mean_days("total_delivery_days", weight="n").alias("avg_delivery_days"),
+    return per_seller.select(
+        "*",
+        ratio("late_shipping_item_count", "shipping_item_count").alias("late_shipping_pct"),
+        ratio("late_delivery_order_count", "delivered_order_count").alias("late_delivery_pct"),
     )
 
 
-def _weighted_outcomes(
+def _outcome_totals(
     orders: DataFrame, customers: DataFrame, how: str, order_grain: bool
 ) -> DataFrame:
-    """Orders with their customer's state and the weight each order has.
+    """Rows and cents by customer state and outcome.
 
     By default an order weighs as many rows as it has in the item-grain fact, at
-    least one, and so does its revenue; at order grain it weighs one.
+    least one, and so does its revenue; at order grain it weighs one. Weighted
+    cents are multiplied as decimals, since a large order weighs a lot.
     """
-    rows = F.lit(1) if order_grain else F.greatest(F.col("item_count"), F.lit(1))
-    return orders.join(customers.select("customer_id", "customer_state"), "customer_id", how).select(
-        "customer_state",
-        "delivery_status",
-        rows.cast("bigint").alias("rows"),
-        (money("order_revenue") * rows.cast("decimal(10,0)")).alias("revenue"),
+    states = customers.select("customer_id", "customer_state")
+    rows = "1L" if order_grain else "greatest(item_count, 1L)"
+    cents = f"CAST({cents_sql('order_revenue')} AS DECIMAL(19,0)) * CAST({rows} AS DECIMAL(18,0))"
+    return (
+        orders.join(states, "customer_id", how)
+        .groupBy("customer_state", "delivery_status")
+        .agg(*measures({"order_count": f"sum({rows})", "cents": f"sum({cents})"}))
     )
 
 
@@ -294,23 +322,26 @@ def mart_delivery_revenue_risk(
     orders: DataFrame, customers: DataFrame, order_grain: bool = False
 ) -> DataFrame:
     """Revenue and the part of it in late orders, by customer state (D-26, J-5)."""
-    zero = F.lit(0)
-    late_rows = F.sum(F.when(is_late(), F.col("rows")).otherwise(zero.cast("bigint")))
-    late_revenue = F.sum(F.when(is_late(), F.col("revenue")).otherwise(zero.cast(MONEY)))
-    rows, revenue = F.sum("rows"), F.sum("revenue")
-    return (
-        _weighted_outcomes(orders, customers, "inner", order_grain)
-        .filter("customer_state IS NOT NULL")
+    known = customers.filter("customer_state IS NOT NULL")
+    per_state = (
+        _outcome_totals(orders, known, "inner", order_grain)
         .groupBy("customer_state")
         .agg(
-            rows.alias("total_orders"),
-            revenue.cast("double").alias("total_revenue"),
-            late_rows.alias("late_orders"),
-            late_revenue.cast("double").alias("late_revenue"),
-            ratio(late_rows, rows).alias("late_delivery_pct"),
-            ratio(late_revenue, revenue).alias("late_revenue_pct"),
+            *measures(
+                {
+                    "total_orders": "sum(order_count)",
+                    "total_revenue": amount_sql("sum(cents)"),
+                    "late_orders": f"sum(if({LATE}, order_count, 0L))",
+                    "late_revenue": amount_sql(f"sum(if({LATE}, cents, 0))"),
+                }
+            )
         )
     )
+    return per_state.select(
+        "*",
+        ratio("late_orders", "total_orders").alias("late_delivery_pct"),
+        ratio("late_revenue", "total_revenue").alias("late_revenue_pct"),
+    )
 
 
 def mart_delivery_sunburst(
@@ -322,20 +353,18 @@ def mart_delivery_sunburst(
     decided by the row count, then by name. Orders of unknown state take part in
     the ranking, but are not shown.
     """
-    totals = (
-        _weighted_outcomes(orders, customers, "left", order_grain)
-        .groupBy("customer_state", "delivery_status")
-        .agg(F.sum("rows").alias("order_count"), F.sum("revenue").alias("revenue"))
-    )
+    totals = _outcome_totals(orders, customers, "left", order_grain)
     leading = (
         totals.groupBy("customer_state")
-        .agg(F.sum("revenue").alias("revenue"), F.sum("order_count").alias("order_count"))
-        .orderBy(F.desc("revenue"), F.desc("order_count"), "customer_state")
+        .agg(F.sum("cents").alias("cents"), F.sum("order_count").alias("order_count"))
+        .orderBy(F.desc("cents"), F.desc("order_count"), "customer_state")
         .limit(top)
+        .select("customer_state")
+    )
+    # At most ``top`` rows are broadcast.
+    return totals.join(F.broadcast(leading), "customer_state", "left_semi").selectExpr(
+        "customer_state", "delivery_status", "order_count", f"{amount_sql('cents')} AS revenue"
     )
-    return totals.join(
-        F.broadcast(leading.select("customer_state")), "customer_state", "left_semi"
-    ).withColumn("revenue", F.col("revenue").cast("double"))
 
 
 def mart_transit_drivers(shapes: DataFrame) -> DataFrame:
@@ -344,31 +373,38 @@ def mart_transit_drivers(shapes: DataFrame) -> DataFrame:
     The share of all orders is a window over the few result rows, after the
     aggregation. The late share leaves undelivered orders out of its denominator.
     """
-    delivered = F.count_if(F.col("delivery_status") != _NOT_DELIVERED)
     segments = shapes.groupBy("order_shape", "distance_band").agg(
-        F.count("*").alias("order_count"),
-        F.count_if(F.col("transit_days").isNotNull()).alias("delivered_order_count"),
-        mean_days("transit_days").alias("avg_transit_days"),
-        exact_quantile("transit_days", 0.5).alias("median_transit_days"),
-        exact_quantile("transit_days", 0.9).alias("p90_transit_days"),
-        mean_days("seller_handling_days").alias("avg_seller_handling_days"),
-        mean_days("total_delivery_days").alias("avg_total_delivery_days"),
-        mean_days("delivery_delay_days").alias("avg_delivery_delay_days"),
-        mean_days("carrier_handoff_vs_limit_days").alias("avg_carrier_handoff_vs_limit_days"),
-        ratio(F.count_if(is_late()), delivered).alias("late_pct"),
+        *measures(
+            {
+                "order_count": "count(*)",
+                "delivered_order_count": "count(transit_days)",
+                "avg_transit_days": mean_days("transit_days"),
+                "median_transit_days": exact_quantile("transit_days", 0.5),
+                "p90_transit_days": exact_quantile("transit_days", 0.9),
+                "avg_seller_handling_days": mean_days("seller_handling_days"),
+                "avg_total_delivery_days": mean_days("total_delivery_days"),
+                "avg_delivery_delay_days": mean_days("delivery_delay_days"),
+                "avg_carrier_handoff_vs_limit_days": mean_days("carrier_handoff_vs_limit_days"),
+                "late_pct": ratio(f"count_if({LATE})", f"count_if(NOT {NOT_DELIVERED})"),
+            }
+        )
     )
-    all_orders = F.sum("order_count").over(Window.partitionBy())
-    return segments.withColumn("pct_of_orders", ratio(F.col("order_count"), all_orders))
+    share = ratio_sql("order_count", "sum(order_count) OVER ()")
+    return segments.selectExpr("*", f"{share} AS pct_of_orders")
 
 
 def mart_transit_unclassified(shapes: DataFrame) -> DataFrame:
     """Why orders have no shape, by band, reason and order status (D-29)."""
     return (
-        shapes.filter(F.col("order_shape") == "unclassified")
+        shapes.filter("order_shape = 'unclassified'")
         .groupBy("distance_band", "unclassified_reason", "order_status")
         .agg(
-            F.count("*").alias("order_count"),
-            F.count_if(F.col("transit_days").isNotNull()).alias("delivered_order_count"),
-            mean_days("transit_days").alias("avg_transit_days"),
+            *measures(
+                {
+                    "order_count": "count(*)",
+                    "delivered_order_count": "count(transit_days)",
+                    "avg_transit_days": mean_days("transit_days"),
+                }
+            )
         )
     )

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from freightlens.functions import relabel
+from freightlens.functions.labels import relabel
 
 UNCATEGORIZED = "uncategorized"
 NO_BUCKET = "Uncategorized"
@@ -105,36 +104,30 @@ BUCKET_OF = {name: bucket for bucket, names in CATEGORY_BUCKETS.items() for name
 
 
 def stg_orders(orders: DataFrame) -> DataFrame:
-    return orders.select(
+    return orders.selectExpr(
         "order_id",
         "customer_id",
         "order_status",
-        F.col("order_purchase_timestamp").alias("order_purchase_at"),
+        "order_purchase_timestamp AS order_purchase_at",
         "order_approved_at",
-        F.col("order_delivered_carrier_date").alias("order_delivered_carrier_at"),
-        F.col("order_delivered_customer_date").alias("order_delivered_customer_at"),
-        F.col("order_estimated_delivery_date").alias("order_estimated_delivery_at"),
+        "order_delivered_carrier_date AS order_delivered_carrier_at",
+        "order_delivered_customer_date AS order_delivered_customer_at",
+        "order_estimated_delivery_date AS order_estimated_delivery_at",
     )
 
 
-def _pick(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.select(*[c for c in names if c in df.columns])
-
-
 def stg_order_items(items: DataFrame) -> DataFrame:
     """Pass-through; a source without item ids or limits yields a narrower table."""
-    return _pick(
-        items,
-        [
-            "order_id",
-            "order_item_id",
-            "product_id",
-            "seller_id",
-            "shipping_limit_date",
-            "price",
-            "freight_value",
-        ],
-    )
+    wanted = [
+        "order_id",
+        "order_item_id",
+        "product_id",
+        "seller_id",
+        "shipping_limit_date",
+        "price",
+        "freight_value",
+    ]
+    return items.select(*[c for c in wanted if c in items.columns])
 
 
 def stg_order_reviews(reviews: DataFrame) -> DataFrame:
@@ -159,22 +152,23 @@ def stg_sellers(sellers: DataFrame) -> DataFrame:
 
 def stg_geolocation(geolocation: DataFrame) -> DataFrame:
     new_names = {
-        "geolocation_zip_code_prefix": "zip_code_prefix",
-        "geolocation_lat": "latitude",
-        "geolocation_lng": "longitude",
-        "geolocation_city": "city",
-        "geolocation_state": "state",
+        "zip_code_prefix": "zip_code_prefix",
+        "lat": "latitude",
+        "lng": "longitude",
+        "city": "city",
+        "state": "state",
     }
-    return geolocation.select(*[F.col(old).alias(new) for old, new in new_names.items()])
+    return geolocation.selectExpr(*[f"geolocation_{o} AS {n}" for o, n in new_names.items()])
 
 
 def stg_product_cat_buckets(translation: DataFrame) -> DataFrame:
     """Every category with the bucket of its English name."""
-    bucket = relabel("product_category_name_english", BUCKET_OF, keep_unknown=False)
     return translation.select(
         "product_category_name",
         "product_category_name_english",
-        F.coalesce(bucket, F.lit(NO_BUCKET)).alias("product_category_buckets"),
+        relabel("product_category_name_english", BUCKET_OF, otherwise=NO_BUCKET).alias(
+            "product_category_buckets"
+        ),
     )
 
 
@@ -184,18 +178,18 @@ def stg_products(products: DataFrame, buckets: DataFrame) -> DataFrame:
     A null category is filled before the lookup. The category table is left to
     Spark's own size check: small ones are broadcast, large ones are not.
     """
-    named = products.withColumn(
-        "product_category_name", F.coalesce("product_category_name", F.lit(UNCATEGORIZED))
+    named = products.fillna(UNCATEGORIZED, ["product_category_name"])
+    found = named.join(buckets, "product_category_name", "left")
+    found = found.fillna(
+        {"product_category_name_english": UNCATEGORIZED, "product_category_buckets": NO_BUCKET}
     )
-    return named.join(buckets, "product_category_name", "left").select(
+    return found.selectExpr(
         "product_id",
         "product_category_name",
-        F.coalesce("product_category_name_english", F.lit(UNCATEGORIZED)).alias(
-            "product_category_name_english"
-        ),
-        F.coalesce("product_category_buckets", F.lit(NO_BUCKET)).alias("product_category_buckets"),
-        F.col("product_name_lenght").alias("product_name_length"),
-        F.col("product_description_lenght").alias("product_description_length"),
+        "product_category_name_english",
+        "product_category_buckets",
+        "product_name_lenght AS product_name_length",
+        "product_description_lenght AS product_description_length",
         "product_photos_qty",
         "product_weight_g",
         "product_length_cm",

@@ -12,8 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from freightlens.functions import money_sum, rank_of, ratio, relabel
-from freightlens.functions.aggregates import money
+from freightlens.functions.aggregates import (
+    amount_sql,
+    cents_sql,
+    measures,
+    money_sum,
+    ratio,
+    ratio_sql,
+    wide_sum_sql,
+)
+from freightlens.functions.labels import rank_of, relabel
 from freightlens.functions.status import STATUS_LABELS
 from freightlens.plans.explore import labelled_status
 from freightlens.plans.intermediate import BANDS, SHAPES
@@ -46,8 +54,7 @@ REASON_LABELS = {
 
 def percent(c: str, digits: int | None = None) -> Column:
     """A share as a percentage, rounded half to even for display (F-30)."""
-    shown = F.col(c) * 100
-    return shown if digits is None else F.bround(shown, digits)
+    return F.expr(f"{c} * 100" if digits is None else f"bround({c} * 100, {digits})")
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
@@ -59,31 +66,24 @@ def top(df: DataFrame, n: int, *order: Column) -> DataFrame:
 
 def monthly_trend(sales: DataFrame, before: str, months: int = 30) -> DataFrame:
     """The first months of sales, up to a cut-off (V-1)."""
-    cutoff = F.lit(before).cast("date")
     shown = top(sales.select("order_month", "order_count", "total_revenue"), months, F.asc("order_month"))
-    return shown.filter(F.col("order_month") < cutoff)
+    return shown.filter(f"order_month < DATE '{before}'")
 
 
 def change_between(trend: DataFrame, peak: str, latest: str) -> DataFrame:
-    """Percentage drop from a peak month to a later one; no row if either is absent (V-2)."""
-
-    def at(month: str, c: str) -> Column:
-        return F.max(F.when(F.col("order_month") == F.lit(month).cast("date"), F.col(c)))
-
-    both = trend.agg(
-        at(peak, "order_count").alias("peak_orders"),
-        at(peak, "total_revenue").alias("peak_revenue"),
-        at(latest, "order_count").alias("latest_orders"),
-        at(latest, "total_revenue").alias("latest_revenue"),
-    ).filter("peak_orders IS NOT NULL AND latest_orders IS NOT NULL")
-
-    def drop(measure: str) -> Column:
-        peak_value = F.col(f"peak_{measure}")
-        return ratio(peak_value - F.col(f"latest_{measure}"), peak_value) * 100
-
-    return both.withColumn("order_drop_pct", drop("orders")).withColumn(
-        "revenue_drop_pct", drop("revenue")
-    )
+    """Percentage drop from a peak month to a later one; no row if either is absent (V-2, F-29)."""
+    months = {"peak": peak, "latest": latest}
+    found = {
+        f"{name}_{short}": f"max({c}) FILTER (WHERE order_month = DATE '{month}')"
+        for name, month in months.items()
+        for short, c in (("orders", "order_count"), ("revenue", "total_revenue"))
+    }
+    both = trend.agg(*measures(found)).dropna(subset=["peak_orders", "latest_orders"])
+    drops = {
+        "order_drop_pct": ratio_sql("peak_orders - latest_orders", "peak_orders"),
+        "revenue_drop_pct": ratio_sql("peak_revenue - latest_revenue", "peak_revenue"),
+    }
+    return both.selectExpr("*", *[f"{share} * 100 AS {name}" for name, share in drops.items()])
 
 
 def revenue_risk_table(risk: DataFrame, n: int = 10) -> DataFrame:
@@ -107,10 +107,9 @@ def revenue_by_outcome(sunburst: DataFrame) -> DataFrame:
         .groupBy("customer_state", "delivery_outcome")
         .agg(money_sum("revenue").alias("revenue"))
     )
-    state = F.sum(money("revenue")).over(Window.partitionBy("customer_state")).cast("double")
-    return by_outcome.withColumn("state_revenue", state).withColumn(
-        "share_of_state", ratio(F.col("revenue"), F.col("state_revenue"))
-    )
+    whole = f"{wide_sum_sql(cents_sql('revenue'))} OVER (PARTITION BY customer_state)"
+    with_state = by_outcome.selectExpr("*", f"{amount_sql(whole)} AS state_revenue")
+    return with_state.select("*", ratio("revenue", "state_revenue").alias("share_of_state"))
 
 
 def satisfaction_table(satisfaction: DataFrame) -> DataFrame:
@@ -131,7 +130,7 @@ def satisfaction_table(satisfaction: DataFrame) -> DataFrame:
 def leading_sellers(performance: DataFrame, min_orders: int = 20, n: int = 100) -> DataFrame:
     """The sellers with the highest revenue among those with enough orders (P-10, O-4)."""
     return (
-        performance.filter(F.col("order_count") >= min_orders)
+        performance.filter(f"order_count >= {min_orders}")
         .select(
             "seller_id",
             "order_count",
@@ -147,7 +146,7 @@ def leading_sellers(performance: DataFrame, min_orders: int = 20, n: int = 100)
 
 
 def _seller_label() -> Column:
-    return F.concat(F.lit("Seller "), F.substring(F.col("seller_id").cast("string"), 1, 8))
+    return F.expr("concat('Seller ', left(CAST(seller_id AS STRING), 8))")
 
 
 def top_sellers(leading: DataFrame, n: int = 10) -> DataFrame:
@@ -230,7 +229,7 @@ def unclassified_by_reason(unclassified: DataFrame) -> DataFrame:
             F.sum("delivered_order_count").alias("delivered_order_count"),
         )
         .select(
-            relabel("unclassified_reason", REASON_LABELS, keep_unknown=False).alias("reason"),
+            relabel("unclassified_reason", REASON_LABELS, otherwise="null").alias("reason"),
             "order_count",
             "delivered_order_count",
         )
@@ -241,8 +240,8 @@ def unclassified_by_reason(unclassified: DataFrame) -> DataFrame:
 def unclassified_detail(unclassified: DataFrame) -> DataFrame:
     """The unclassified mart with labels and rounded durations (V-11)."""
     return unclassified.select(
-        relabel("distance_band", BAND_LABELS, keep_unknown=False).alias("distance_band"),
-        relabel("unclassified_reason", REASON_LABELS, keep_unknown=False).alias("reason"),
+        relabel("distance_band", BAND_LABELS, otherwise="null").alias("distance_band"),
+        relabel("unclassified_reason", REASON_LABELS, otherwise="null").alias("reason"),
         "order_status",
         "order_count",
         "delivered_order_count",

@@ -38,11 +38,11 @@ def query(f: Query) -> Query:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles rounded for comparison with another engine."""
-    return df.select(
+    return df.selectExpr(
         *[
-            F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
+            f"round(`{f.name}`, {digits}) AS `{f.name}`"
             if isinstance(f.dataType, T.DoubleType)
-            else F.col(f"`{f.name}`")
+            else f"`{f.name}`"
             for f in df.schema
         ]
     )
@@ -445,7 +445,7 @@ def distinct_composite_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct keys with null parts (A-20)."""
     m = layers(spark, folder)
     return m.stg_products.select("product_weight_g", "product_photos_qty").agg(
-        distinct_rows(F.col("product_weight_g"), F.col("product_photos_qty")).alias("n")
+        distinct_rows("product_weight_g", "product_photos_qty").alias("n")
     )
 
 

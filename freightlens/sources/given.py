@@ -7,11 +7,12 @@ projection of the given Parquet files, so a query scans only what it uses.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cache, cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freightlens.functions.labels import text_sql
 from freightlens.operators.numbering import number_rows
 
 # English names of the categories cat_1, cat_2, … in this order.
@@ -44,22 +45,19 @@ CATEGORY_NAMES = [
 ]
 
 
-def _plus(ts: str | Column, hours: Column | None = None, minutes: Column | None = None,
-          days: Column | None = None) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    for unit, amount in (("HOUR", hours), ("MINUTE", minutes), ("DAY", days)):
-        if amount is not None:
-            c = F.timestamp_add(unit, amount.cast("int"), c)
-    return c
+def _plus(ts: str, unit: str, amount: str) -> str:
+    return f"timestampadd({unit}, CAST({amount} AS INT), {ts})"
 
 
-def _zip(nation_key: str, entity_key: str) -> Column:
-    number = F.col(nation_key) * 100 + F.col(entity_key) % 20
-    return number.cast("bigint").cast("string")
+_PURCHASE = _plus("o_orderdate", "HOUR", "7 * o_orderkey % 24")
 
 
-def _city_case(key: str, name: str) -> Column:
-    return F.when(F.col(key) % 5 == 0, F.upper(name)).otherwise(F.lower(name))
+def _zip(nation: str, key: str) -> str:
+    return f"CAST(CAST({nation} * 100 + {key} % 20 AS BIGINT) AS STRING)"
+
+
+def _city(key: str) -> str:
+    return f"if({key} % 5 = 0, upper(n_name), lower(n_name))"
 
 
 class GivenTables:
@@ -67,51 +65,30 @@ class GivenTables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
-        self.folder = folder
-
-    def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        self.given = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
     @cached_property
     def orders(self) -> DataFrame:
-        k = F.col("o_orderkey")
-        purchase = _plus("o_orderdate", hours=7 * k % 24)
-        canceled, unhanded = k % 31 == 0, k % 41 == 0
+        canceled, unhanded, lost = "o_orderkey % 31 = 0", "o_orderkey % 41 = 0", "o_orderkey % 43 = 0"
+        approved = _plus("purchase", "MINUTE", "13 * o_orderkey % 72 * 60 + 17 * o_orderkey % 60")
+        handed = _plus("coalesce(approved, purchase)", "HOUR", "11 * o_orderkey % 240")
+        delivered = _plus("handed", "MINUTE", "19 * o_orderkey % 600 * 60 + 23 * o_orderkey % 60")
         return (
             self.given("orders")
-            .select("o_orderkey", "o_custkey", "o_orderdate")
-            .withColumn("purchase", purchase)
-            .withColumn(
-                "approved",
-                F.when(
-                    ~canceled & (k % 37 != 0),
-                    _plus("purchase", hours=13 * k % 72, minutes=17 * k % 60),
-                ),
-            )
-            .withColumn(
-                "carrier",
-                F.when(
-                    ~canceled & ~unhanded,
-                    _plus(F.coalesce("approved", "purchase"), hours=11 * k % 240),
-                ),
-            )
-            .withColumn(
-                "delivered",
-                F.when(k % 43 != 0, _plus("carrier", hours=19 * k % 600, minutes=23 * k % 60)),
-            )
-            .select(
-                k.alias("order_id"),
-                F.col("o_custkey").alias("customer_id"),
-                F.when(canceled, "canceled")
-                .when(unhanded, "processing")
-                .when(k % 43 == 0, "shipped")
-                .otherwise("delivered")
-                .alias("order_status"),
-                F.col("purchase").alias("order_purchase_timestamp"),
-                F.col("approved").alias("order_approved_at"),
-                F.col("carrier").alias("order_delivered_carrier_date"),
-                F.col("delivered").alias("order_delivered_customer_date"),
-                _plus("o_orderdate", days=12 + k % 16).alias("order_estimated_delivery_date"),
+            .selectExpr("o_orderkey", "o_custkey", "o_orderdate", f"{_PURCHASE} AS purchase")
+            .selectExpr("*", f"if({canceled} OR o_orderkey % 37 = 0, NULL, {approved}) AS approved")
+            .selectExpr("*", f"if({canceled} OR {unhanded}, NULL, {handed}) AS handed")
+            .selectExpr(
+                "o_orderkey AS order_id",
+                "o_custkey AS customer_id",
+                f"""CASE WHEN {canceled} THEN 'canceled' WHEN {unhanded} THEN 'processing'
+                    WHEN {lost} THEN 'shipped' ELSE 'delivered' END AS order_status""",
+                "purchase AS order_purchase_timestamp",
+                "approved AS order_approved_at",
+                "handed AS order_delivered_carrier_date",
+                f"if({lost}, NULL, {delivered}) AS order_delivered_customer_date",
+                _plus("o_orderdate", "DAY", "12 + o_orderkey % 16")
+                + " AS order_estimated_delivery_date",
             )
         )
 
@@ -144,28 +121,31 @@ class GivenTables:
                     "l_quantity",
                     "l_shipdate",
                 ],
-                position=F.col("l_linenumber") * F.lit(float(2**40)) + F.col("l_partkey"),
+                position="l_linenumber * 1e12D + l_partkey",
                 name="order_item_id",
             )
-        k = F.col("l_orderkey")
-        suppliers = self.given("supplier").agg(F.count(F.lit(1))).scalar()
-        freight = F.col("l_quantity") * (1 + 100 * F.col("l_tax"))
-        columns = [
-            k.alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            F.when(k % 3 == 0, F.col("l_suppkey")).otherwise(7 * k % suppliers).alias("seller_id"),
-            F.col("l_extendedprice").alias("price"),
-            F.round(freight, 2).alias("freight_value"),
-        ]
-        if ids:
-            columns.insert(1, F.col("order_item_id"))
         if limits:
-            purchase = _plus("o_orderdate", hours=7 * F.col("o_orderkey") % 24)
-            dates = self.given("orders").select("o_orderkey", purchase.alias("purchase"))
-            lines = lines.join(dates, k == F.col("o_orderkey"), "left")
-            limit = _plus("purchase", days=3 + F.col("l_linenumber"))
-            columns.insert(-2, limit.alias("shipping_limit_date"))
-        return lines.select(*columns)
+            dates = self.given("orders").selectExpr(
+                "o_orderkey AS l_orderkey", f"{_PURCHASE} AS purchase"
+            )
+            lines = lines.join(dates, "l_orderkey", "left")
+        suppliers = self.given("supplier").agg(F.count("*")).scalar()
+        by_order = F.expr("7 * l_orderkey") % suppliers
+        seller = F.when(F.expr("l_orderkey % 3 = 0"), F.col("l_suppkey")).otherwise(by_order)
+        columns = {
+            "order_id": F.col("l_orderkey"),
+            "order_item_id": F.col("order_item_id"),
+            "product_id": F.col("l_partkey"),
+            "seller_id": seller,
+            "shipping_limit_date": F.expr(_plus("purchase", "DAY", "3 + l_linenumber")),
+            "price": F.col("l_extendedprice"),
+            "freight_value": F.expr("round(l_quantity * (1 + 100 * l_tax), 2)"),
+        }
+        if not ids:
+            del columns["order_item_id"]
+        if not limits:
+            del columns["shipping_limit_date"]
+        return lines.select(*[c.alias(name) for name, c in columns.items()])
 
     @cached_property
     def order_items(self) -> DataFrame:
@@ -173,111 +153,97 @@ class GivenTables:
 
     @cached_property
     def order_reviews(self) -> DataFrame:
-        k = F.col("order_id")
-        reviews = F.array_compact(
-            F.array(F.when(k % 20 != 0, F.lit(0)), F.when(k % 50 == 1, F.lit(1)))
-        )
-        ended = F.to_date(
-            F.coalesce("order_delivered_customer_date", "order_estimated_delivery_date")
-        ).cast("timestamp_ntz")
+        reviews = "array_compact(array(if(order_id % 20 = 0, NULL, 0), if(order_id % 50 = 1, 1, NULL)))"
+        ended = "coalesce(order_delivered_customer_date, order_estimated_delivery_date)"
+        created = _plus(f"CAST(CAST({ended} AS DATE) AS TIMESTAMP_NTZ)", "DAY", "2 * j")
         return (
-            self.orders.withColumn("j", F.explode(reviews))
-            .withColumn("created", _plus(ended, days=2 * F.col("j")))
-            .select(
-                (2 * k + F.col("j")).alias("review_id"),
-                k,
-                (1 + (7 * k + 3 * F.col("j")) % 5).cast("int").alias("review_score"),
-                F.col("created").alias("review_creation_date"),
-                _plus("created", hours=k % 72).alias("review_answer_timestamp"),
+            self.orders.selectExpr("*", f"explode({reviews}) AS j")
+            .selectExpr("order_id", "j", f"{created} AS review_creation_date")
+            .selectExpr(
+                "2 * order_id + j AS review_id",
+                "order_id",
+                "CAST(1 + (7 * order_id + 3 * j) % 5 AS INT) AS review_score",
+                "review_creation_date",
+                _plus("review_creation_date", "HOUR", "order_id % 72") + " AS review_answer_timestamp",
             )
         )
 
     @cached_property
     def _places(self) -> DataFrame:
-        nation, region = self.given("nation"), self.given("region")
-        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        nation = self.given("nation").withColumnRenamed("n_regionkey", "r_regionkey")
+        return nation.join(self.given("region"), "r_regionkey").select(
             "n_nationkey", "n_name", "r_name"
         )
 
-    def _with_place(self, df: DataFrame, nation_key: str) -> DataFrame:
-        return df.join(self._places, F.col(nation_key) == F.col("n_nationkey"))
+    def _placed(self, table: str, nation_key: str) -> DataFrame:
+        rows = self.given(table).withColumnRenamed(nation_key, "n_nationkey")
+        return rows.join(self._places, "n_nationkey")
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self._with_place(self.given("customer"), "c_nationkey").select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_custkey").alias("customer_unique_id"),
-            _zip("c_nationkey", "c_custkey").alias("customer_zip_code_prefix"),
-            _city_case("c_custkey", "n_name").alias("customer_city"),
-            F.when(F.col("c_custkey") % 211 != 0, F.col("r_name")).alias("customer_state"),
+        return self._placed("customer", "c_nationkey").selectExpr(
+            "c_custkey AS customer_id",
+            "c_custkey AS customer_unique_id",
+            f"{_zip('n_nationkey', 'c_custkey')} AS customer_zip_code_prefix",
+            f"{_city('c_custkey')} AS customer_city",
+            "if(c_custkey % 211 = 0, NULL, r_name) AS customer_state",
         )
 
     @cached_property
     def sellers(self) -> DataFrame:
-        return self._with_place(self.given("supplier"), "s_nationkey").select(
-            F.col("s_suppkey").alias("seller_id"),
-            _zip("s_nationkey", "s_suppkey").alias("seller_zip_code_prefix"),
-            F.col("n_name").alias("seller_city"),
-            F.col("r_name").alias("seller_state"),
+        return self._placed("supplier", "s_nationkey").selectExpr(
+            "s_suppkey AS seller_id",
+            f"{_zip('n_nationkey', 's_suppkey')} AS seller_zip_code_prefix",
+            "n_name AS seller_city",
+            "r_name AS seller_state",
         )
 
     @cached_property
     def geolocation(self) -> DataFrame:
-        customers = self._with_place(self.given("customer"), "c_nationkey").select(
-            F.col("c_custkey").alias("key"),
-            F.col("c_nationkey").alias("nation"),
-            _city_case("c_custkey", "n_name").alias("city"),
-            "r_name",
+        customers = self._placed("customer", "c_nationkey").selectExpr(
+            "c_custkey AS key", "n_nationkey AS nation", f"{_city('c_custkey')} AS city", "r_name"
         )
-        suppliers = self._with_place(self.given("supplier"), "s_nationkey").select(
-            F.col("s_suppkey").alias("key"),
-            F.col("s_nationkey").alias("nation"),
-            F.col("n_name").alias("city"),
-            "r_name",
+        suppliers = self._placed("supplier", "s_nationkey").selectExpr(
+            "s_suppkey AS key", "n_nationkey AS nation", "n_name AS city", "r_name"
         )
-        key, nation = F.col("key"), F.col("nation")
-        lat = F.lit(-30.0) + F.lit(1.2) * (nation % 5) + F.lit(0.01) * (key % 7)
-        lng = F.lit(-65.0) + F.lit(4.5) * F.floor(nation / 5) + F.lit(0.01) * (key % 4)
         return (
             customers.unionByName(suppliers)
-            .filter(key % 20 != 19)
-            .select(
-                _zip("nation", "key").alias("geolocation_zip_code_prefix"),
-                lat.alias("geolocation_lat"),
-                lng.alias("geolocation_lng"),
-                F.col("city").alias("geolocation_city"),
-                F.col("r_name").alias("geolocation_state"),
+            .filter("key % 20 != 19")
+            .selectExpr(
+                f"{_zip('nation', 'key')} AS geolocation_zip_code_prefix",
+                "-30D + 1.2D * (nation % 5) + 0.01D * (key % 7) AS geolocation_lat",
+                "-65D + 4.5D * (nation div 5) + 0.01D * (key % 4) AS geolocation_lng",
+                "city AS geolocation_city",
+                "r_name AS geolocation_state",
             )
         )
 
     @cached_property
     def products(self) -> DataFrame:
-        key, size = F.col("p_partkey"), F.col("p_size")
-        return self.given("part").select(
-            key.alias("product_id"),
-            F.when(
-                key % 50 != 0, F.concat(F.lit("cat_"), F.substring_index("p_brand", "#", -1))
-            ).alias("product_category_name"),
-            F.length("p_name").alias("product_name_lenght"),
-            (10 * size).alias("product_description_lenght"),
-            (1 + key % 6).cast("int").alias("product_photos_qty"),
-            F.when(key % 97 != 0, 800 * size).alias("product_weight_g"),
-            (16 + 2 * size).alias("product_length_cm"),
-            (2 + key % 100).cast("int").alias("product_height_cm"),
-            (11 + key % 110).cast("int").alias("product_width_cm"),
+        return self.given("part").selectExpr(
+            "p_partkey AS product_id",
+            """if(p_partkey % 50 = 0, NULL, concat('cat_', substring_index(p_brand, '#', -1)))
+                AS product_category_name""",
+            "length(p_name) AS product_name_lenght",
+            "10 * p_size AS product_description_lenght",
+            "CAST(1 + p_partkey % 6 AS INT) AS product_photos_qty",
+            "if(p_partkey % 97 = 0, NULL, 800 * p_size) AS product_weight_g",
+            "16 + 2 * p_size AS product_length_cm",
+            "CAST(2 + p_partkey % 100 AS INT) AS product_height_cm",
+            "CAST(11 + p_partkey % 110 AS INT) AS product_width_cm",
         )
 
     @cached_property
     def product_category_name_translation(self) -> DataFrame:
         """The categories that occur among the products and have an English name."""
-        names = F.array(*[F.lit(n) for n in CATEGORY_NAMES])
-        number = F.substring_index("product_category_name", "_", -1).cast("int")
+        names = f"array({', '.join(text_sql(n) for n in CATEGORY_NAMES)})"
+        number = "CAST(substring_index(product_category_name, '_', -1) AS INT)"
         return (
             self.products.select("product_category_name")
             .distinct()
-            .select(
+            .selectExpr(
                 "product_category_name",
-                F.get(names, number - 1).alias("product_category_name_english"),
+                f"get({names}, {number} - 1) AS product_category_name_english",
             )
             .filter("product_category_name_english IS NOT NULL")
         )
