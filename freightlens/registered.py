@@ -74,7 +74,7 @@ def stg_order_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def stg_geolocation(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(layers(spark, folder).stg_geolocation)
+    return layers(spark, folder).stg_geolocation
 
 
 @query
@@ -84,25 +84,25 @@ def product_buckets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def order_delivery_stages(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(layers(spark, folder).stages)
+    return layers(spark, folder).stages
 
 
 @query
 def order_transit_shape(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(layers(spark, folder, limits=True).shapes())
+    return layers(spark, folder, limits=True).shapes()
 
 
 @query
 def order_transit_shape_strict(spark: SparkSession, folder: str) -> DataFrame:
     """Other limits for a slow handoff (P-17)."""
-    return rounded(
-        layers(spark, folder, limits=True).shapes(slow_handoff_days=2, sla_breach_days=1)
-    )
+    return layers(spark, folder, limits=True).shapes(slow_handoff_days=2, sla_breach_days=1)
 
 
 @query
 def seller_customer_distance(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(layers(spark, folder).distances, 3)
+    found = layers(spark, folder).distances
+    points = [f"rint({c} * 1000) / 1000 AS {c}" for c in found.columns[2:]]
+    return found.selectExpr("order_id", "seller_id", *points)
 
 
 @query
@@ -121,7 +121,7 @@ def items_with_distance(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fact_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(layers(spark, folder, ids=True, limits=True).fact_orders)
+    return layers(spark, folder, ids=True, limits=True).fact_orders
 
 
 @query

@@ -11,7 +11,7 @@ ON_TIME = "delivery_status IN ('early', 'on_time')"
 
 
 def days(hours: str, name: str) -> str:
-    return f"round({hours} / 24e0, 6) AS {name}"
+    return f"{hours} / 24e0 AS {name}"
 
 
 def mean(hours: str, name: str) -> str:
@@ -85,8 +85,7 @@ ORACLES["stg_orders"] = sql("SELECT * FROM stg_orders")
 ORACLES["stg_order_items"] = sql("SELECT * FROM items")
 ORACLES["stg_order_reviews"] = sql("SELECT * FROM reviews")
 ORACLES["stg_geolocation"] = sql(
-    """SELECT zip_code_prefix, round(latitude, 6) AS latitude, round(longitude, 6) AS longitude,
-    city, state FROM stg_geolocation"""
+    "SELECT * FROM stg_geolocation"
 )
 ORACLES["product_buckets"] = sql("SELECT * FROM buckets")
 ORACLES["order_delivery_stages"] = sql(
