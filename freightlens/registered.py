@@ -14,7 +14,7 @@ from freightlens.operators import quality, reconcile
 from freightlens.plans import core, explore, intermediate, views
 from freightlens.plans.layers import Layers
 from freightlens.plans.marts import SIZES
-from freightlens.session import new_run_dir
+from freightlens.session import allow_skew_splits, new_run_dir
 from freightlens.sources import incremental, landing
 from freightlens.sources.catalog import time_columns
 from freightlens.sources.csv_scan import scan_folder
@@ -50,6 +50,7 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def layers(spark: SparkSession, folder: str, ids: bool = False, limits: bool = False) -> Layers:
     """The models, over items that carry only the costly columns a query needs."""
+    allow_skew_splits(spark)
     given = GivenTables(spark, folder)
     return Layers(given, given.items(ids=ids, limits=limits))
 

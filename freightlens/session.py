@@ -26,6 +26,17 @@ def local_session(cores: str = "8", app: str = "freightlens") -> SparkSession:
     )
 
 
+def allow_skew_splits(spark: SparkSession) -> None:
+    """Let AQE split a skewed join also where the next step must then shuffle again.
+
+    Without it, a join on order_id that feeds an aggregation by order_id keeps a
+    huge order in one task, because splitting it would cost another shuffle.
+    """
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: the one named in ``spark.checkpoint.dir``.
 

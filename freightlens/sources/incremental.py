@@ -190,9 +190,10 @@ def load_increment(
     if last is None and end is not None:
         batch = batch.filter(F.col(cursor) < end)
     append_new(batch, target_dir, key, cursor)
-    mark = batch.agg(F.max(cursor).alias("mark"))
-    mark = mark.filter("mark IS NOT NULL").select(
-        "mark", F.current_timestamp().alias("loaded_at")
+    # From what has landed, not from the source, which may have grown meanwhile.
+    landed = filtered(spark.read.parquet(target_dir), cursor=Cursor(cursor, last=last))
+    mark = landed.agg(F.max(cursor).alias("mark")).filter("mark IS NOT NULL")
+    mark.select("mark", F.current_timestamp().alias("loaded_at")).write.mode("append").parquet(
+        f"{state_dir}/{table}"
     )
-    mark.write.mode("append").parquet(f"{state_dir}/{table}")
     return read_mark(spark, state_dir, table)
