@@ -352,6 +352,9 @@ def mart_delivery_sunburst(
     The states are ranked on the small (state, outcome) totals. Equal revenue is
     decided by the row count, then by name. Orders of unknown state take part in
     the ranking, but are not shown.
+
+    The join back is null-safe and not a semi join: those would be pushed below
+    the aggregation, and the totals would be computed twice instead of reused.
     """
     totals = _outcome_totals(orders, customers, "left", order_grain)
     leading = (
@@ -359,10 +362,13 @@ def mart_delivery_sunburst(
         .agg(F.sum("cents").alias("cents"), F.sum("order_count").alias("order_count"))
         .orderBy(F.desc("cents"), F.desc("order_count"), "customer_state")
         .limit(top)
-        .select("customer_state")
+        .filter("customer_state IS NOT NULL")
+        .selectExpr("customer_state AS leading_state")
     )
     # At most ``top`` rows are broadcast.
-    return totals.join(F.broadcast(leading), "customer_state", "left_semi").selectExpr(
+    return totals.join(
+        F.broadcast(leading), F.expr("customer_state <=> leading_state")
+    ).selectExpr(
         "customer_state", "delivery_status", "order_count", f"{amount_sql('cents')} AS revenue"
     )
 

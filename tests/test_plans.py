@@ -52,3 +52,11 @@ def test_filters_reach_the_scan(spark, folder):
     pushed = re.search(r"PushedFilters: \[([^\]]*)\]", text).group(1)
     assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
     assert "props" not in re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
+
+
+def test_totals_are_computed_once(spark, folder):
+    """The ranking of states and the result share one aggregation."""
+    df = QUERIES["mart_delivery_sunburst"](spark, folder)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange [customer_state" in final
