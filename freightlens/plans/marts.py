@@ -2,6 +2,7 @@
 
 Marts about orders read the order-grain facts; marts about items read the items
 joined to the order's stages. Ratios are NULL where their denominator is zero.
+Results that have an order are sorted after their aggregation, when they are small.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from freightlens.functions.aggregates import (
     ratio_sql,
     total_days,
 )
-from freightlens.functions.labels import text_sql
+from freightlens.functions.labels import rank_of, text_sql
 from freightlens.functions.status import LATE, NOT_DELIVERED, ON_TIME
 from freightlens.functions.timing import month_of
 from freightlens.plans.intermediate import seller_shares, with_distance
@@ -169,7 +170,7 @@ def mart_pdt_delivery(items: DataFrame, products: DataFrame) -> DataFrame:
         ratio("late_item_count", "product_item_count").alias("late_item_pct"),
         ratio("total_revenue", "product_item_count").alias("avg_revenue_per_item"),
         ratio("total_freight", "product_item_count").alias("avg_freight_per_item"),
-    )
+    ).orderBy("product_category_buckets", rank_of("product_size_buckets", SIZES))
 
 
 def mart_delay_pdt_vs_dist(
@@ -213,7 +214,7 @@ def mart_delay_pdt_vs_dist(
         "size_bucket",
         "order_item_count",
         ratio("late_count", "order_item_count").alias("late_pct"),
-    )
+    ).orderBy("distance_bucket", rank_of("size_bucket", SIZES))
 
 
 def mart_seller_perf(items: DataFrame, stages: DataFrame, sellers: DataFrame) -> DataFrame:
@@ -341,7 +342,7 @@ def mart_delivery_revenue_risk(
         "*",
         ratio("late_orders", "total_orders").alias("late_delivery_pct"),
         ratio("late_revenue", "total_revenue").alias("late_revenue_pct"),
-    )
+    ).orderBy(F.desc("total_revenue"), "customer_state")
 
 
 def mart_delivery_sunburst(
@@ -396,7 +397,9 @@ def mart_transit_drivers(shapes: DataFrame) -> DataFrame:
         )
     )
     share = ratio_sql("order_count", "sum(order_count) OVER ()")
-    return segments.selectExpr("*", f"{share} AS pct_of_orders")
+    return segments.selectExpr("*", f"{share} AS pct_of_orders").orderBy(
+        "order_shape", "distance_band"
+    )
 
 
 def mart_transit_unclassified(shapes: DataFrame) -> DataFrame:
@@ -413,4 +416,5 @@ def mart_transit_unclassified(shapes: DataFrame) -> DataFrame:
                 }
             )
         )
+        .orderBy("distance_band", "unclassified_reason", F.desc("order_count"))
     )

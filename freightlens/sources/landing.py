@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freightlens.sources.registry import REGISTRY
+
 
 def _normal_value(c: Column, t: T.DataType) -> Column:
     if isinstance(t, (T.FloatType, T.DoubleType)):
@@ -49,14 +52,26 @@ def land(tables: Mapping[str, DataFrame], zone_dir: str) -> dict[str, int]:
     return counts
 
 
-def read_zone(spark: SparkSession, zone_dir: str, tables: Iterable[str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{zone_dir}/{name}") for name in tables}
+def read_zone(
+    spark: SparkSession, zone_dir: str, tables: Iterable[str] | None = None
+) -> dict[str, DataFrame]:
+    """The named tables of a zone, or all registered ones that are there (I-5)."""
+    if tables is not None:
+        return {name: spark.read.parquet(f"{zone_dir}/{name}") for name in tables}
+    found = {}
+    for name in REGISTRY:
+        try:
+            found[name] = spark.read.parquet(f"{zone_dir}/{name}")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
 
 
 def copy_zone(
-    spark: SparkSession, from_dir: str, to_dir: str, tables: Iterable[str]
+    spark: SparkSession, from_dir: str, to_dir: str, tables: Iterable[str] | None = None
 ) -> dict[str, int]:
-    """Landing → raw: read, normalise, replace (I-4, I-5)."""
+    """Landing → raw: read, normalise, replace (I-4)."""
     landed = read_zone(spark, from_dir, tables)
     return land({name: normalise(df) for name, df in landed.items()}, to_dir)
 

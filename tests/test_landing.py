@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
+from samples import item, order, raw, ts
+
+from freightlens.plans.layers import Layers
 from freightlens.sources import landing
 from freightlens.sources.catalog import time_columns
 from freightlens.sources.csv_scan import scan_folder
@@ -62,11 +66,37 @@ def test_normalise(spark):
 
 
 def test_landing_replaces_and_counts(spark, tmp_path):
-    zone, raw = str(tmp_path / "landing"), str(tmp_path / "raw")
+    zone, copied = str(tmp_path / "landing"), str(tmp_path / "raw")
     assert landing.land({"t": spark.range(5)}, zone) == {"t": 5}
     assert landing.land({"t": spark.range(3)}, zone) == {"t": 3}
-    assert landing.copy_zone(spark, zone, raw, ["t"]) == {"t": 3}
-    assert landing.read_zone(spark, raw, ["t"])["t"].count() == 3
+    assert landing.copy_zone(spark, zone, copied, ["t"]) == {"t": 3}
+    assert landing.read_zone(spark, copied, ["t"])["t"].count() == 3
+    landing.land({"sellers": spark.range(2), "not_registered": spark.range(1)}, zone)
+    assert landing.copy_zone(spark, zone, copied) == {"sellers": 2}
+    assert set(landing.read_zone(spark, copied)) == {"sellers"}
+
+
+def test_models_run_on_scanned_files(spark, tmp_path):
+    """Ids are text in the files and numbers in the samples; the marts agree."""
+    tables = raw(
+        spark,
+        orders=[order(1), order(2, delivered="01-20 00:00"), order(3, handed=None, delivered=None)],
+        items=[item(1, 1), item(1, 2, seller=2), item(2)],
+        reviews=[(1, 1, 4, ts("01-09 00:00"), ts("01-10 00:00"))],
+        sellers=[(1, "01000", "SAO PAULO", "SP"), (2, "02000", "rio", "RJ")],
+        geolocation=[("01000", -23.5, -46.6, "sao paulo", "SP")],
+        translation=[("a", "toys")],
+    )
+    for name, df in vars(tables).items():
+        df.write.option("header", True).csv(f"{tmp_path}/{name}.csv")
+    scanned = Layers(SimpleNamespace(**scan_folder(spark, str(tmp_path))))
+    built = Layers(tables)
+    for mart in ("mart_delivery_kpis", "mart_pdt_delivery", "mart_satisfaction_by_delivery"):
+        ours, theirs = getattr(scanned, mart), getattr(built, mart)
+        assert ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+    assert scanned.mart_transit_drivers().collect() == built.mart_transit_drivers().collect()
+    assert scanned.distances.count() == built.distances.count() == 2
+    assert scanned.mart_seller_perf.count() == 2
 
 
 def test_materialise(spark, tmp_path):
