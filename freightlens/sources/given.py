@@ -150,7 +150,7 @@ class GivenTables:
             "seller_id": seller,
             "shipping_limit_date": F.expr(_plus("purchase", "DAY", "3 + l_linenumber")),
             "price": F.col("l_extendedprice"),
-            "freight_value": F.expr("round(l_quantity * (1 + 100 * l_tax), 2)"),
+            "freight_value": F.expr("rint(l_quantity * (1 + 100 * l_tax) * 100) / 100"),
         }
         if not ids:
             del columns["order_item_id"]
