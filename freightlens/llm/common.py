@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,11 +14,23 @@ from pyspark.sql import functions as F
 from freightlens.session import new_run_dir
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine find the package as the driver does.
+
+    On a cluster the package is installed or sent with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [paths, root]))
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string) of every row; a null text counts as empty.
 
     Only these two columns are read, so other columns may have any name.
     """
+    importable(df.sparkSession)
     return df.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),

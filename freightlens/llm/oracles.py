@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from freightlens.llm.licences import HINT, RULES, SENTENCE_END, SENTENCES
+from freightlens.llm.queries import TARGETS
+
 EXACT_DEDUP = """
 WITH d AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''),
@@ -17,4 +20,131 @@ FROM d
 WINDOW g AS (PARTITION BY text_sha256)
 """
 
-ORACLES = {"op10_exact_dedup": EXACT_DEDUP}
+
+
+BACKOFF = r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+w AS (SELECT doc_id, unnest(words) AS b, unnest(range(len(words))) AS i FROM t),
+p AS (SELECT *, lag(b) OVER (PARTITION BY doc_id ORDER BY i) AS a FROM w),
+one AS (SELECT b AS x, count(*) AS n FROM w GROUP BY b),
+one_own AS (SELECT doc_id, b AS x, count(*) AS n FROM w GROUP BY ALL),
+two AS (SELECT a, b, count(*) AS n FROM p WHERE a IS NOT NULL GROUP BY ALL),
+two_own AS (SELECT doc_id, a, b, count(*) AS n FROM p WHERE a IS NOT NULL GROUP BY ALL),
+c AS (
+  SELECT p.doc_id, p.a, g.n - h.n AS pair, x.n - y.n AS context, u.n - v.n AS single,
+         (SELECT count(*) FROM w) - len(t.words) AS others
+  FROM p JOIN t USING (doc_id)
+  JOIN one u ON u.x = p.b JOIN one_own v ON v.x = p.b AND v.doc_id = p.doc_id
+  LEFT JOIN two g ON g.a = p.a AND g.b = p.b
+  LEFT JOIN two_own h ON h.a = p.a AND h.b = p.b AND h.doc_id = p.doc_id
+  LEFT JOIN one x ON x.x = p.a LEFT JOIN one_own y ON y.x = p.a AND y.doc_id = p.doc_id),
+s AS (
+  SELECT doc_id, (a IS NOT NULL AND pair = 0)::BIGINT AS back,
+         CASE WHEN a IS NOT NULL AND pair > 0 THEN ln(pair) - ln(context)
+              ELSE ln(greatest(single, 0.5::DOUBLE)) - ln(greatest(others, 1)) END AS z
+  FROM c),
+d AS (SELECT doc_id, sum(back)::BIGINT AS n_backoffs, sum(z + back * ln(0.4::DOUBLE)) AS z FROM s GROUP BY doc_id)
+SELECT t.doc_id, len(t.words)::BIGINT AS n_words, coalesce(n_backoffs, 0)::BIGINT AS n_backoffs,
+       round(coalesce(z, 0), 4) AS log_score, round(z / nullif(len(t.words), 0), 4) AS mean_log_score
+FROM t LEFT JOIN d USING (doc_id)
+"""
+
+
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _raking(rounds: int = 40) -> str:
+    """Every round of the raking as common table expressions."""
+    steps = []
+    for m, targets in TARGETS.items():
+        target = " ".join(f"WHEN {_quoted(k)} THEN {v}::DOUBLE" for k, v in targets.items())
+        rest = max(0.0, 1.0 - sum(targets.values()))
+        steps.append(f"""have_{m} AS MATERIALIZED (
+  SELECT {m}, sum(tokens)::DOUBLE AS have, CASE {m} {target} END AS target
+  FROM cells GROUP BY {m} HAVING sum(tokens) > 0),
+part_{m} AS MATERIALIZED (
+  SELECT {m}, coalesce(target, {rest!r}::DOUBLE * have / sum(have) FILTER (target IS NULL) OVER ()) AS w
+  FROM have_{m}),
+want_{m} AS MATERIALIZED (SELECT {m}, w / sum(w) OVER () AS want FROM part_{m})""")
+    last = "start"
+    for i in range(rounds):
+        for m in TARGETS:
+            steps.append(f"""r{i}_{m} AS MATERIALIZED (
+  SELECT c.* REPLACE (c.weight * w.want / sum(c.weight) OVER (PARTITION BY c.{m}) AS weight)
+  FROM {last} c JOIN want_{m} w ON w.{m} = c.{m})""")
+            last = f"r{i}_{m}"
+    steps.append(f"raked AS MATERIALIZED (SELECT *, weight / tokens AS ratio FROM {last})")
+    return ",\n".join(steps)
+
+
+MIXING = rf"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+         CASE WHEN contains(t, 'icense') THEN 'licence'
+              WHEN contains(t, ' | ') THEN 'table'
+              WHEN contains(t, '@') THEN 'contact'
+              WHEN contains(t, '!! ') OR contains(t, '*** ') THEN 'noise'
+              ELSE 'prose' END AS topic,
+         len(regexp_extract_all(t, '[^ \t\r\n]+'))::BIGINT AS tokens
+  FROM (SELECT *, coalesce(text, '') AS t FROM documents)
+),
+cells AS MATERIALIZED (
+  SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM docs GROUP BY ALL),
+start AS (SELECT *, tokens::DOUBLE AS weight FROM cells WHERE tokens > 0),
+{_raking()},
+found AS (
+  SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens,
+         d.tokens * coalesce(r.ratio, 0) AS weight,
+         coalesce(r.ratio / (SELECT max(ratio) FROM raked), 0) AS probability,
+         ('0x' || substr(md5('0:' || d.doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  FROM docs d LEFT JOIN raked r USING (source, lang, topic)
+)
+SELECT doc_id, source, lang, topic, tokens, round(weight, 8) AS weight,
+       round(probability, 6) AS probability,
+       (floor(probability) + (u < probability - floor(probability))::INTEGER)::INTEGER AS copies
+FROM found
+"""
+
+
+def _licences() -> str:
+    """The rules one after the other as common table expressions."""
+    keys = ", ".join(map(_quoted, SENTENCES))
+    ids = ", ".join(map(_quoted, SENTENCES.values()))
+    end = SENTENCE_END.replace("\\t", "\t").replace("\\r", "\r").replace("\\n", "\n")
+    steps = [f"""cut AS (
+  SELECT doc_id, string_split_regex(coalesce(text, ''), {_quoted(end)}) AS parts FROM documents),
+plain AS (
+  SELECT doc_id, len(list_filter(parts, lambda x: trim(x) <> ''))::INTEGER AS n_sentences,
+    list_transform(list_filter(parts, lambda x: regexp_matches(x, {_quoted(HINT)})),
+      lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))) AS said
+  FROM cut),
+known AS (
+  SELECT doc_id, n_sentences, list_filter(list_transform(said,
+      lambda x: [{ids}][list_position([{keys}], x)]), lambda x: x IS NOT NULL) AS ids
+  FROM plain),
+rule0 AS (
+  SELECT *, coalesce(array_to_string(list_transform(ids, lambda x: '<' || x || '>'), ''), '') AS rest,
+         []::VARCHAR[] AS names FROM known)"""]
+    for i, (name, sequence) in enumerate(RULES):
+        sought = _quoted("".join(f"<{x}>" for x in sequence))
+        steps.append(f"""rule{i + 1} AS (
+  SELECT doc_id, n_sentences, ids, replace(rest, {sought}, '|') AS rest,
+         CASE WHEN contains(rest, {sought}) THEN list_append(names, {_quoted(name)}) ELSE names END AS names
+  FROM rule{i})""")
+    return f"""WITH {", ".join(steps)}
+SELECT doc_id, n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
+       coalesce(array_to_string(list_sort(list_distinct(names)), ','), '') AS licences,
+       (length(rest) - length(replace(rest, '<', '')))::INTEGER AS n_unmatched
+FROM rule{len(RULES)}"""
+
+
+ORACLES = {
+    "op1_source_mixing": MIXING,
+    "op5_licence_scan": _licences(),
+    "op9_backoff_lm": BACKOFF,
+    "op10_exact_dedup": EXACT_DEDUP,
+}

@@ -6,21 +6,59 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.llm import byte_bpe, exact_dedup, simhash, token_store
+from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, licences, mixing, nbsvm, simhash, token_store
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
 
 
+#: Shares of tokens wanted; values not named share the rest as they are.
+TARGETS = {
+    "source": {"src0": 0.30},
+    "lang": {"en": 0.62, "de": 0.14, "fr": 0.14, "es": 0.10},
+    "topic": {"prose": 0.80, "noise": 0.03},
+}
+MARGINALS = {"source": F.col, "lang": F.col, "topic": lambda _: mixing.topic(F.col("text"))}
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    return mixing.mix(docs, TARGETS, {m: column(m) for m, column in MARGINALS.items()})
+
+
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest sample without repeats that meets the targets."""
+    found = mixed(documents(spark, sf_dir))
+    return found.withColumns(
+        {"weight": F.round("weight", 8), "probability": F.round("probability", 6)}
+    )
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored(documents(spark, sf_dir), TOKENIZER, END_ID, with_ids=False)
 
 
+def quality(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores of ``docs`` by a model fitted to the labelled rows of the given documents."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return nbsvm.score(docs, nbsvm.train(documents(spark, sf_dir), labels))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir), spark, sf_dir)
+
+
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(documents(spark, sf_dir))
+    return found.withColumns(
+        {c: F.array_join(c, ",") for c in ("sentence_ids", "licences")}
+    )
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = byte_bpe.encode_and_decode(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
     return with_digests(found)
@@ -39,10 +77,25 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), words=4, max_bits=4)
 
 
+def op9_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = backoff_lm.score(documents(spark, sf_dir), order=2)
+    return found.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="largest")
 
 
 QUERIES = {
-    f.__name__: f for f in (op3_token_store, op6_byte_bpe, op8_simhash, op10_exact_dedup)
+    f.__name__: f
+    for f in (
+        op1_source_mixing,
+        op3_token_store,
+        op4_quality_classifier,
+        op5_licence_scan,
+        op6_byte_bpe,
+        op8_simhash,
+        op9_backoff_lm,
+        op10_exact_dedup,
+    )
 }

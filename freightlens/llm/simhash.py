@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import groups, partitions, saved, slices
+from freightlens.llm.common import groups, partitions, saved, slices, texts
 from freightlens.llm.components import components
 
 SEED = 42
@@ -59,10 +59,7 @@ def fingerprints(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4
 ) -> DataFrame:
     """(doc_id, fp) of every row; fp is the fingerprint as a signed 64-bit integer."""
-    docs = df.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit("").cast("binary")).alias("text"),
-    )
+    docs = texts(df, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
