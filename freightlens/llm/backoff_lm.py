@@ -177,6 +177,7 @@ def score(
     leave_out: bool = True,
     id_col: str = "doc_id",
     text_col: str = "text",
+    **block_sizes: int,
 ) -> DataFrame:
     """One row per input row: doc_id, n_words, n_backoffs, log_score, mean_log_score.
 
@@ -191,7 +192,7 @@ def score(
     Null doc_ids and repeated rows are documents like any other, so a repeated
     row is predicted by its copy. An empty table gives no rows. Other columns are not read.
     """
-    b = blocks(df, id_col, text_col)
+    b = blocks(df, id_col, text_col, **block_sizes)
     answers = _ask(b, order).groupBy("n", "bucket").applyInArrow(_add_up, ANSWER)
     scored = saved(_score(b, answers, order, leave_out), "scores")
     total = float(scored.agg(F.sum("n_words")).first()[0] or 0)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, licences, mixing, nbsvm, simhash, token_store
+from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, licences, mixing, nbsvm, simhash, suffix_dedup, token_store
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,6 +73,13 @@ def with_digests(encoded: DataFrame) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(documents(spark, sf_dir))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), words=4, max_bits=4)
 
@@ -94,6 +101,7 @@ QUERIES = {
         op4_quality_classifier,
         op5_licence_scan,
         op6_byte_bpe,
+        op7_suffix_dedup,
         op8_simhash,
         op9_backoff_lm,
         op10_exact_dedup,
