@@ -90,3 +90,24 @@ def _all(conditions) -> Column:
     for c in rest:
         first = first & c
     return first
+
+
+def without_duplicates(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest"
+) -> DataFrame:
+    """The rows, with all their columns, that stay: one for each distinct text.
+
+    Of rows that repeat both doc_id and text one stays. Of texts that only rows
+    without a doc_id hold, one row stays too.
+    """
+    kept = exact_groups(df, id_col, text_col, keep).select(
+        _row_key(F.col("keep_id"), F.col("text_sha256")).alias("__kept")
+    )
+    digest = F.sha2(F.encode(ascii_lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), "UTF-8"), 256)
+    keyed = df.withColumn("__kept", _row_key(F.col(f"`{id_col}`").cast("long"), digest))
+    # The join leaves the rows where dropDuplicates needs them.
+    return keyed.join(kept, "__kept", "left_semi").dropDuplicates(["__kept"]).drop("__kept")
+
+
+def _row_key(doc_id: Column, digest: Column) -> Column:
+    return F.concat(F.coalesce(doc_id.cast("string"), F.lit("none")), F.lit(":"), digest)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from freightlens.llm.common import saved
@@ -58,68 +60,109 @@ def wanted_shares(cells: DataFrame, margin: str, targets: dict[str, float]) -> D
     return have.select(margin, (F.col("want") / F.lit(total)).alias("want"))
 
 
-#: Up to so many cells, tables of cells and of marginals' values are broadcast.
+#: Up to so many cells, they are scaled in windows, and broadcast to the documents.
 FEW_CELLS = 200_000
+#: Rounds between two writes of the cells.
+ROUNDS_AT_ONCE = 4
 
 
 def rake(
     cells: DataFrame,
     targets: dict[str, dict[str, float]],
-    tolerance: float = 1e-13,
-    most_rounds: int = 60,
+    rounds: int = 12,
+    tolerance: float = 1e-12,
 ) -> DataFrame:
-    """The cells with ``weight``: their tokens scaled until every marginal has its shares.
+    """The cells with ``weight``: their share of the tokens once every marginal has its shares.
 
     ``cells`` has one row for each combination of the marginals and its
-    ``tokens``. A round scales the weights to one marginal after the other. The
-    rounds end when no share is off by more than ``tolerance``; if targets
-    contradict each other, after ``most_rounds``, with the last marginal exact.
+    ``tokens``. A round scales the weights to one marginal after the other. It
+    ends after ``rounds``, with the last marginal exact, or earlier if no
+    share is off by more than ``tolerance``. Targets that contradict each other never
+    settle; the last round then counts.
     """
-    few = cells.count() <= FEW_CELLS
-
-    def joined(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
-        return left.join(F.broadcast(right) if few else right, on)
-
     wants = {m: saved(wanted_shares(cells, m, t), f"want-{m}") for m, t in targets.items()}
     now = cells.filter("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
-    for _ in range(most_rounds):
+    few = cells.count() <= FEW_CELLS
+    for done in range(1, rounds + 1):
         for m, want in wants.items():
-            sums = joined(now.groupBy(m).agg(F.sum("weight").alias("have")), want, m)
-            by = F.when(F.col("have") > 0, F.col("want") / F.col("have")).otherwise(0.0)
-            scale = sums.select(m, by.alias("scale"))
-            now = joined(now, scale, m)
-            now = now.withColumn("weight", F.col("weight") * F.col("scale")).drop("scale")
-        # After a round the weights add up to one.
+            now = _scaled(now, m, F.broadcast(want)) if few else _scaled_apart(now, m, want)
+        if done % ROUNDS_AT_ONCE and done < rounds:
+            continue
         now = saved(now.coalesce(8), "cells")
-        off = None
-        for m, want in list(wants.items())[:-1]:
-            sums = joined(now.groupBy(m).agg(F.sum("weight").alias("have")), want, m)
-            each = sums.select(F.abs(F.col("have") - F.col("want")).alias("off"))
-            off = each if off is None else off.unionByName(each)
-        if off is None or (off.agg(F.max("off")).first()[0] or 0.0) <= tolerance:
+        off = [
+            now.groupBy(m).agg(F.sum("weight").alias("have")).join(want, m)
+            .select(F.abs(F.col("have") - F.col("want")).alias("off"))
+            for m, want in list(wants.items())[:-1]
+        ]
+        if not off:
+            break
+        most = reduce(DataFrame.unionByName, off).agg(F.max("off")).first()[0]
+        if (most or 0.0) <= tolerance:
             break
     return now
 
 
+def _scaled(now: DataFrame, m: str, want: DataFrame) -> DataFrame:
+    have = F.sum("weight").over(Window.partitionBy(m))
+    return _by(now.withColumn("have", have).join(want, m))
+
+
+def _scaled_apart(now: DataFrame, m: str, want: DataFrame) -> DataFrame:
+    """The same for cells that no task should hold: sums are combined, and each step is written."""
+    sums = now.groupBy(m).agg(F.sum("weight").alias("have")).join(want, m)
+    return saved(_by(now.join(sums, m)), "cells")
+
+
+def _by(cells: DataFrame) -> DataFrame:
+    scale = F.when(F.col("have") > 0, F.col("want") / F.col("have")).otherwise(0.0)
+    return cells.withColumn("weight", F.col("weight") * scale).drop("have", "want")
+
+
+def _cell(marginals: dict[str, Column], prefix: str = "") -> dict[str, Column]:
+    return {
+        prefix + m: F.coalesce(c.cast("string"), F.lit("(none)")) for m, c in marginals.items()
+    }
+
+
+def _rates(
+    docs: DataFrame,
+    targets: dict[str, dict[str, float]],
+    names: list[str],
+    size: float,
+) -> DataFrame:
+    """(names, ratio, expected) of each cell: weight for a token, and copies of a document."""
+    cells = saved(docs.groupBy(*names).agg(F.sum("tokens").alias("tokens")).coalesce(8), "cells")
+    raked = rake(cells, targets).withColumn("ratio", F.col("weight") / F.col("tokens"))
+    budget = size * float(cells.agg(F.sum("tokens")).first()[0] or 0)
+    expected = F.col("ratio") * F.lit(budget)
+    rates = raked.select(*names, "ratio", expected.alias("expected"))
+    return F.broadcast(rates) if cells.count() <= FEW_CELLS else rates
+
+
+def _copies(expected: Column, doc_id: Column, seed: int) -> Column:
+    whole = F.floor(expected)
+    return (whole + (unit(doc_id, seed) < expected - whole).cast("int")).cast("int")
+
+
 def mix(
     df: DataFrame,
     targets: dict[str, dict[str, float]],
     marginals: dict[str, Column],
     id_col: str = "doc_id",
     text_col: str = "text",
-    budget_tokens: float | None = None,
+    size: float = 1.0,
     seed: int = 0,
 ) -> DataFrame:
     """One row per input row: doc_id, the marginals, tokens, weight, probability, copies.
 
     ``marginals`` names each marginal and gives its column, ``targets`` the
     shares of tokens wanted of its values (see wanted_shares). ``weight`` is the
-    share of the mix that the document's tokens stand for, ``probability`` the expected
-    number of its copies. Without ``budget_tokens`` it is at most one, and the
-    mix is the largest that meets the targets without repeats. With it, the mix has that many
-    tokens on average, and ``copies`` may exceed one. The whole part of the
-    expectation is certain; a hash of doc_id and ``seed`` decides about the rest, so
-    results do not depend on partitioning or the order of rows.
+    share of the mix that the document's tokens stand for, ``probability`` the
+    expected number of its copies. The mix has, on average, ``size`` times as many tokens as the
+    table, so documents of scarce cells are repeated and those of plentiful ones
+    sampled. The whole part of the expectation is certain; a hash of doc_id and
+    ``seed`` decides about the rest, so results do not depend on partitioning or
+    the order of rows.
 
     A null value of a marginal is the value "(none)". Null and empty texts have
     no tokens: they are sampled like the rest of their cell, and never if the
@@ -127,28 +170,43 @@ def mix(
     table gives no rows. Other columns are not read.
     """
     names = list(marginals)
-    docs = df.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        *[F.coalesce(c.cast("string"), F.lit("(none)")).alias(m) for m, c in marginals.items()],
-        n_words(F.col(f"`{text_col}`").cast("string")).alias("tokens"),
-    )
-    docs = saved(docs, "tokens")
-    cells = saved(docs.groupBy(*names).agg(F.sum("tokens").alias("tokens")).coalesce(8), "cells")
-    raked = rake(cells, targets).withColumn("ratio", F.col("weight") / F.col("tokens"))
-    if budget_tokens is None:
-        top = raked.agg(F.max("ratio")).first()[0] or 1.0
-        expected = F.col("ratio") / F.lit(top)
-    else:
-        expected = F.col("ratio") * F.lit(float(budget_tokens))
-    rates = raked.select(*names, "ratio", expected.alias("expected"))
-    rates = F.broadcast(rates) if cells.count() <= FEW_CELLS else rates
-    probability = F.coalesce("expected", F.lit(0.0))
-    whole = F.floor("probability")
-    more = unit(F.col("doc_id"), seed) < F.col("probability") - whole
+    doc_id = F.col(f"`{id_col}`").cast("long").alias("doc_id")
+    tokens = n_words(F.col(f"`{text_col}`").cast("string")).alias("tokens")
+    cell = [c.alias(m) for m, c in _cell(marginals).items()]
+    docs = saved(df.select(doc_id, *cell, tokens), "tokens")
+    rates = _rates(docs, targets, names, size)
+    expected = F.coalesce("expected", F.lit(0.0))
     return docs.join(rates, names, "left").select(
         "doc_id",
         *names,
         "tokens",
         (F.col("tokens") * F.coalesce("ratio", F.lit(0.0))).alias("weight"),
-        probability.alias("probability"),
-    ).withColumn("copies", (whole + more.cast("int")).cast("int"))
+        expected.alias("probability"),
+        _copies(expected, F.col("doc_id"), seed).alias("copies"),
+    )
+
+
+def sample(
+    df: DataFrame,
+    targets: dict[str, dict[str, float]],
+    marginals: dict[str, Column],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: float = 1.0,
+    seed: int = 0,
+) -> DataFrame:
+    """The rows, with all their columns, that mix() gives a copy at least, each once.
+
+    The texts are read once for the weights and once to pass on the rows; they
+    are not shuffled while the cells are few.
+    """
+    names = ["__mix_" + m for m in marginals]
+    cell = _cell(marginals, "__mix_")
+    tokens = n_words(F.col(f"`{text_col}`").cast("string")).alias("tokens")
+    docs = df.select(*[c.alias(m) for m, c in cell.items()], tokens)
+    by_name = {"__mix_" + m: t for m, t in targets.items()}
+    rates = _rates(docs, by_name, names, size).withColumnRenamed("expected", "__mix_expected")
+    expected = F.coalesce("__mix_expected", F.lit(0.0))
+    kept = _copies(expected, F.col(f"`{id_col}`").cast("long"), seed) > 0
+    rows = df.withColumns(cell).join(rates.drop("ratio"), names, "left").filter(kept)
+    return rows.select(*[f"`{c}`" for c in df.columns])

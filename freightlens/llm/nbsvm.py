@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.llm.chunks import Memory
-from freightlens.llm.common import slices, texts
+from freightlens.llm.common import importable, slices, texts
 
 WORDS, PAIRS, SHAPES = 1 << 18, 1 << 19, 1 << 17
 BUCKETS = WORDS + PAIRS + SHAPES
@@ -212,3 +212,18 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+def keep_good(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text scores a half or more. Nothing is shuffled."""
+    importable(df.sparkSession)
+    sent = df.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Model(*sent.value)
+        for batch in batches:
+            for part in slices(batch, text_col):
+                good = [own.score(t or "") >= 0.5 for t in part.column(text_col).to_pylist()]
+                yield part.filter(pa.array(good, pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

@@ -57,7 +57,7 @@ def _quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
-def _raking(rounds: int = 40) -> str:
+def _raking(rounds: int = 12) -> str:
     """Every round of the raking as common table expressions."""
     steps = []
     for m, targets in TARGETS.items():
@@ -99,7 +99,7 @@ start AS (SELECT *, tokens::DOUBLE AS weight FROM cells WHERE tokens > 0),
 found AS (
   SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens,
          d.tokens * coalesce(r.ratio, 0) AS weight,
-         coalesce(r.ratio / (SELECT max(ratio) FROM raked), 0) AS probability,
+         coalesce(r.ratio * (SELECT sum(tokens) FROM cells), 0) AS probability,
          ('0x' || substr(md5('0:' || d.doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
   FROM docs d LEFT JOIN raked r USING (source, lang, topic)
 )

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, licences, mixing, nbsvm, simhash, suffix_dedup, token_store
+from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, licences, mixing, multi_index, nbsvm
+from freightlens.llm import simhash, suffix_dedup, token_store
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
 END_ID = 2
 
 
@@ -17,39 +19,42 @@ END_ID = 2
 TARGETS = {
     "source": {"src0": 0.30},
     "lang": {"en": 0.62, "de": 0.14, "fr": 0.14, "es": 0.10},
-    "topic": {"prose": 0.80, "noise": 0.03},
+    "topic": {"prose": 0.80},
 }
-MARGINALS = {"source": F.col, "lang": F.col, "topic": lambda _: mixing.topic(F.col("text"))}
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def marginals() -> dict[str, Column]:
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.topic(F.col("text"))}
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    return mixing.mix(docs, TARGETS, {m: column(m) for m, column in MARGINALS.items()})
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The largest sample without repeats that meets the targets."""
-    found = mixed(documents(spark, sf_dir))
+    """A mix of as many tokens as the table has."""
+    found = mixing.mix(documents(spark, sf_dir), TARGETS, marginals())
     return found.withColumns(
         {"weight": F.round("weight", 8), "probability": F.round("probability", 6)}
     )
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored(documents(spark, sf_dir), TOKENIZER, END_ID, with_ids=False)
 
 
-def quality(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scores of ``docs`` by a model fitted to the labelled rows of the given documents."""
+def quality_model(spark: SparkSession, sf_dir: str) -> nbsvm.Model:
+    """The model fitted to the labelled rows of the given documents."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return nbsvm.score(docs, nbsvm.train(documents(spark, sf_dir), labels))
+    return nbsvm.train(documents(spark, sf_dir), labels)
 
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality(documents(spark, sf_dir), spark, sf_dir)
+    return nbsvm.score(documents(spark, sf_dir), quality_model(spark, sf_dir))
 
 
 def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,16 +65,17 @@ def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = byte_bpe.encode_and_decode(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+    found = byte_bpe.encode_and_decode(documents(spark, sf_dir), RANKS, PATTERN)
     return with_digests(found)
 
 
-def with_digests(encoded: DataFrame) -> DataFrame:
+def with_digests(encoded: DataFrame, *more: str) -> DataFrame:
     return encoded.select(
         "doc_id",
         "n_tokens",
         F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
 
 
@@ -97,6 +103,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_source_mixing,
+        op2_embedding_near_dedup,
         op3_token_store,
         op4_quality_classifier,
         op5_licence_scan,
