@@ -8,33 +8,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def cents_sql(amount: str) -> str:
-    """An amount of money in whole cents.
+def exact_sql(amount: str) -> str:
+    """An amount of money as a decimal with all its digits, up to eight decimals.
 
-    Integers add up exactly and in generated code. They are used per order and
-    per seller of an order; larger groups add them up as decimals, which do not
-    overflow.
+    Decimals add up exactly, in any order, and keep 38 digits when added.
     """
-    return f"CAST(rint({amount} * 100) AS BIGINT)"
+    return f"CAST({amount} AS DECIMAL(26,8))"
 
 
-def wide_sum_sql(whole: str, where: str = "true") -> str:
-    """Sum of whole numbers with 38 digits; rows outside ``where`` add zero."""
-    return f"sum(CAST(if({where}, {whole}, 0) AS DECIMAL(28,0)))"
+def exact_sum_sql(exact: str, where: str = "true") -> str:
+    """Sum of exact amounts; rows outside ``where`` add zero."""
+    return f"sum(if({where}, {exact}, 0))"
 
 
-def amount_sql(cents: str) -> str:
-    return f"CAST({cents} AS DOUBLE) / 100D"
+def amount_sql(exact: str) -> str:
+    """An exact amount as the nearest double."""
+    return f"CAST({exact} AS DOUBLE)"
 
 
 def money_sum(amount: str, where: str = "true") -> Column:
     """Exact sum of an amount as a double (A-8, A-9)."""
-    return F.expr(amount_sql(wide_sum_sql(cents_sql(amount), where)))
+    return F.expr(amount_sql(exact_sum_sql(exact_sql(amount), where)))
 
 
-def cents_sum(cents: str, where: str = "true") -> Column:
-    """Like ``money_sum`` for a column that is in cents already."""
-    return F.expr(amount_sql(wide_sum_sql(cents, where)))
+def exact_sum(exact: str, where: str = "true") -> Column:
+    """Like ``money_sum`` for a column that is exact already."""
+    return F.expr(amount_sql(exact_sum_sql(exact, where)))
 
 
 def ratio_sql(a: str, b: str) -> str:

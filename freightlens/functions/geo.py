@@ -9,12 +9,12 @@ EARTH_RADIUS_M = 6_371_010.0
 
 
 def great_circle_metres(lng_a: str, lat_a: str, lng_b: str, lat_b: str) -> Column:
-    """Haversine distance in metres."""
+    """Haversine distance in metres; null where a coordinate is."""
     rise = f"sin(radians({lat_b} - {lat_a}) / 2)"
     turn = f"sin(radians({lng_b} - {lng_a}) / 2)"
     h = f"{rise} * {rise} + cos(radians({lat_a})) * cos(radians({lat_b})) * {turn} * {turn}"
-    # Rounding may lift h a hair above 1 for antipodes.
-    return F.expr(f"{2 * EARTH_RADIUS_M}D * asin(sqrt(least({h}, 1D)))")
+    # Rounding may lift h a hair above 1 for antipodes; least() would skip a null.
+    return F.expr(f"{2 * EARTH_RADIUS_M}D * asin(sqrt(CASE WHEN {h} > 1 THEN 1D ELSE {h} END))")
 
 
 def unit_vector(lng: str, lat: str) -> list[str]:

@@ -8,80 +8,43 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-_SLICES = 256
-_COPIES_PER_STEP = 65_536
+from freightlens.session import written
 
 
-def number_rows(
-    df: DataFrame,
-    key: str,
-    order_by: Sequence[str],
-    position: str,
-    name: str,
-    hot_rows: int = 1_000_000,
-    max_hot_keys: int = 1_000,
-) -> DataFrame:
+def number_rows(df: DataFrame, key: str, order_by: Sequence[str], name: str) -> DataFrame:
     """1-based place of each row within ``key`` in the order of ``order_by``.
 
-    A window puts a whole key into one task. Keys with more than ``hot_rows``
-    rows (the ``max_hot_keys`` largest; that list is the only thing broadcast)
-    are therefore cut into slices that are numbered in parallel, and each slice
-    then starts where the slices before it end. All other keys use the window.
-    Both ways give the same numbers.
-
-    ``position`` is a numeric SQL expression that never falls along ``order_by``;
-    it is what a hot key is cut by.
+    All keys are numbered alike. The rows are sorted into ranges of (key, order),
+    so a key of any size is spread over as many ranges as it fills; rows that
+    agree in both are told apart by where they were read. Each range is numbered
+    by itself, and a key's rows in a range start where its earlier ranges end.
+    The ranges and the numbered rows are written to the shared folder, so the
+    input is read once, however often the result is used.
     """
-    sizes = df.groupBy(key).agg(F.count("*").alias("_rows"))
-    hot = (
-        sizes.filter(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), key)
-        .limit(max_hot_keys)
-        .select(key)
-    )
-    by_key = Window.partitionBy(key).orderBy(*order_by)
-    usual = df.join(F.broadcast(hot), key, "left_anti").withColumn(
-        name, F.row_number().over(by_key)
-    )
-    large = df.join(F.broadcast(hot), key, "left_semi")
-    return usual.unionByName(_number_sliced(large, key, order_by, position, name))
-
-
-def _number_sliced(
-    df: DataFrame, key: str, order_by: Sequence[str], position: str, name: str
-) -> DataFrame:
     columns = df.columns
-    # Identical rows become one row with a count before anything is shuffled.
-    distinct = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
-    placed = distinct.selectExpr("*", f"CAST({position} AS DOUBLE) AS _position")
-    shares = f"array({', '.join(f'{i / _SLICES}D' for i in range(1, _SLICES))})"
-    cuts = placed.groupBy(key).agg(F.expr(f"percentile_approx(_position, {shares})").alias("_cuts"))
-    sliced = placed.join(cuts, key).selectExpr(
-        "*", "size(filter(_cuts, cut -> cut < _position)) AS _slice"
+    ranged = (
+        df.withColumn("_read", F.monotonically_increasing_id())
+        .repartitionByRange(*[F.col(c) for c in (key, *order_by, "_read")])
+        .drop("_read")
+        .withColumn("_range", F.spark_partition_id())
     )
-
-    before_in_slice = (
-        Window.partitionBy(key, "_slice")
-        .orderBy(*order_by)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    # At most _SLICES rows per key.
-    slices = sliced.groupBy(key, "_slice").agg(F.sum("_copies").alias("_size"))
-    before_slice = (
-        Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = written(ranged, "ranges")
+    in_range = Window.partitionBy(key, "_range").orderBy(*order_by)
+    # One row for each range that a key reaches into.
+    sizes = ranged.groupBy(key, "_range").agg(F.count("*").alias("_rows"))
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        F.col(key).alias("_key"),
+        F.col("_range").alias("_start_range"),
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
     )
-    starts = slices.select(
-        key, "_slice", F.coalesce(F.sum("_size").over(before_slice), F.lit(0)).alias("_start")
-    )
-    first = F.col("_start") + F.coalesce(F.sum("_copies").over(before_in_slice), F.lit(0))
-    numbered = sliced.join(starts, [key, "_slice"]).select("*", first.alias("_first"))
-
-    # Give the copies back in steps, so that no single array or task holds them all.
-    steps = numbered.selectExpr(
-        "*", f"explode(sequence(0L, (_copies - 1) div {_COPIES_PER_STEP})) AS _step"
-    ).repartition(key, "_slice", "_first", "_step")
-    begin = f"_step * {_COPIES_PER_STEP}"
-    end = f"least({begin} + {_COPIES_PER_STEP}, _copies) - 1"
-    return steps.selectExpr("*", f"explode(sequence({begin}, {end})) AS _copy").selectExpr(
-        *columns, f"CAST(_first + _copy + 1 AS INT) AS {name}"
+    place = (F.col("_start") + F.col("_place")).cast("int").alias(name)
+    numbered = (
+        ranged.withColumn("_place", F.row_number().over(in_range))
+        .join(
+            starts,
+            F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_start_range")),
+        )
+        .select(*columns, place)
     )
+    return written(numbered, "numbered")

@@ -20,7 +20,8 @@ from freightlens.sources.registry import ARTIFACT_COLUMNS
 
 Layer = DataFrame | Callable[[], DataFrame]
 
-_HEX_DIGITS_PER_PART = 15
+#: Hex digits of a SHA-256, and of each part that is added up.
+_HEX_DIGITS, _HEX_DIGITS_PER_PART = 64, 8
 
 
 def data_columns(df: DataFrame) -> list[str]:
@@ -52,14 +53,14 @@ def key_set(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def key_digest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: how many distinct keys, and a digest of the set of keys (A-20, R-7).
 
-    Each key is hashed with SHA-256, and the four quarters of the hashes are
-    added up. Addition does not care for order, so the set needs no sorting and
+    Each key is hashed with SHA-256, and the eight parts of the hashes, which
+    cover all their digits, are added up. Addition does not care for order, so the set needs no sorting and
     no single task sees all of it. Equal sets give equal digests.
     """
     digest = F.sha2(F.col("key"), 256)
     parts = [
         F.conv(F.substring(digest, 1 + i * _HEX_DIGITS_PER_PART, _HEX_DIGITS_PER_PART), 16, 10)
-        for i in range(4)
+        for i in range(_HEX_DIGITS // _HEX_DIGITS_PER_PART)
     ]
     sums = [F.sum(p.cast("decimal(28,0)")).alias(f"part_{i}") for i, p in enumerate(parts)]
     added = key_set(df, keys).agg(F.count("*").alias("distinct_keys"), *sums)

@@ -79,10 +79,13 @@ def fact_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
     ``orders`` comes from ``order_facts`` over the same items. Instead of a left
     join from orders, whose large side cannot be split when one order is huge,
     every order contributes one empty line to the items, and the empty lines of
-    orders with items fall away. The header row is the one with the order's
-    lowest item id, which the rollup already knows; (order_id, order_item_id) is
-    the declared key of the items and is checked as such.
+    orders with items fall away. The header row is one row with the order's
+    lowest item id, a null id before all others; the rollup already knows the
+    id, and of rows that repeat it the first by their other columns is taken.
+    That window is over (order_id, order_item_id), so a huge order is spread.
     """
+    repeats = """row_number() OVER (PARTITION BY order_id, order_item_id
+        ORDER BY product_id, seller_id, shipping_limit_date, price, freight_value) AS _repeat"""
     lines = items.selectExpr(
         "order_id",
         "order_item_id",
@@ -92,8 +95,9 @@ def fact_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
         "price AS item_price",
         "freight_value AS item_freight",
         "false AS _empty",
+        repeats,
     )
-    empty = orders.selectExpr("order_id", "true AS _empty")
+    empty = orders.selectExpr("order_id", "true AS _empty", "1 AS _repeat")
     return (
         lines.unionByName(empty, allowMissingColumns=True)
         .join(orders, "order_id")
@@ -104,7 +108,7 @@ def fact_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
             "customer_id",
             "seller_id",
             "product_id",
-            "order_item_id <=> first_item_id AS is_order_header_row",
+            "_repeat = 1 AND order_item_id <=> first_item_id AS is_order_header_row",
             *ORDER_COLUMNS,
             "item_shipping_limit_at",
             "item_price",
@@ -180,6 +184,14 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     zip_code = "zip_code_prefix"
     names = geolocation.groupBy(zip_code, "city", "state").agg(F.count("*").alias("n"))
     usual = names.groupBy(zip_code).agg(F.expr("min(struct(-n, city, state))").alias("name"))
+    return usual.join(zip_centroids(geolocation), zip_code, "left").select(
+        zip_code, "name.city", "name.state", "centroid_lng", "centroid_lat"
+    )
+
+
+def zip_centroids(geolocation: DataFrame) -> DataFrame:
+    """The centroid of every zip code that has a point; all that distances need."""
+    zip_code = "zip_code_prefix"
     points = (
         geolocation.filter("longitude IS NOT NULL AND latitude IS NOT NULL")
         .select(zip_code, "longitude", "latitude")
@@ -189,10 +201,8 @@ def dim_geolocation(geolocation: DataFrame) -> DataFrame:
     middle = points.groupBy(zip_code).agg(
         *[F.expr(f"avg({part})").alias(axis) for axis, part in zip("xyz", vector)]
     )
-    return usual.join(middle, zip_code, "left").select(
+    return middle.select(
         zip_code,
-        "name.city",
-        "name.state",
         direction_lng("x", "y").alias("centroid_lng"),
         direction_lat("x", "y", "z").alias("centroid_lat"),
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.aggregates import cents_sql, mean_days, measures, ratio_sql
+from freightlens.functions.aggregates import exact_sql, mean_days, measures, ratio_sql
 from freightlens.functions.labels import rank_of, relabel
 from freightlens.functions.status import STATUS_LABELS
 from freightlens.functions.timing import hours_sql
@@ -83,7 +83,7 @@ def deadline_spread(items: DataFrame) -> DataFrame:
                 "n": "count(*)",
                 "first_limit": "min(shipping_limit_date)",
                 "last_limit": "max(shipping_limit_date)",
-                "freight": f"sum({cents_sql('freight_value')})",
+                "freight": f"sum({exact_sql('freight_value')})",
                 "charged": "count(freight_value)",
             }
         )
@@ -94,7 +94,7 @@ def deadline_spread(items: DataFrame) -> DataFrame:
                 "n_items": "sum(n)",
                 "n_sellers": "count(seller_id)",
                 "spread": f"{hours_sql('min(first_limit)', 'max(last_limit)')} / 24D",
-                "freight_per_item": ratio_sql("sum(freight)", "100 * sum(charged)"),
+                "freight_per_item": ratio_sql("sum(freight)", "sum(charged)"),
             }
         )
     )
@@ -201,7 +201,8 @@ def review_spread(items: DataFrame, reviews: DataFrame) -> DataFrame:
     )
     gap = hours_sql("min(review_creation_date)", "max(review_creation_date)")
     surveys = reviews.groupBy("order_id").agg(
-        F.expr(f"if(count(*) > 1, {gap} / 24D, NULL)").alias("spread")
+        F.expr(f"if(count(*) > 1, {gap} / 24D, NULL)").alias("spread"),
+        F.count("*").alias("n_reviews"),
     )
     group = """CASE WHEN n_sellers > 1 THEN 'multi-seller'
         WHEN n_items >= 2 THEN 'single-seller 2+ items' ELSE 'single-seller 1 item' END"""
@@ -216,7 +217,7 @@ def review_spread(items: DataFrame, reviews: DataFrame) -> DataFrame:
             *measures(
                 {
                     "orders": "count(*)",
-                    "pct_orders_with_multiple_reviews": percent("count(spread)"),
+                    "pct_orders_with_multiple_reviews": percent("count_if(n_reviews > 1)"),
                     "pct_reviews_over_1d_apart": percent("count_if(spread > 1)"),
                     "median_spread_when_multiple": _median_sql("spread"),
                 }

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.aggregates import amount_sql, cents_sql, measures
+from freightlens.functions.aggregates import amount_sql, exact_sql, measures
 from freightlens.functions.geo import great_circle_metres
 from freightlens.functions.status import delivery_status
 from freightlens.functions.timing import days_between
@@ -52,15 +52,15 @@ def order_totals(items: DataFrame) -> DataFrame:
         *measures(
             {
                 "item_count": "count(*)",
-                "order_revenue": amount_sql(f"sum({cents_sql('price')})"),
-                "order_freight": amount_sql(f"sum({cents_sql('freight_value')})"),
+                "order_revenue": amount_sql(f"sum({exact_sql('price')})"),
+                "order_freight": amount_sql(f"sum({exact_sql('freight_value')})"),
             }
         )
     )
 
 
 def seller_shares(items: DataFrame) -> DataFrame:
-    """One row per (order, seller): items, cents, latest deadline, first item.
+    """One row per (order, seller): items, exact amounts, latest deadline, first item.
 
     The first of two steps to measures that depend on the sellers of an order or
     the orders of a seller. It shuffles on the pair, so neither a huge order nor
@@ -68,10 +68,15 @@ def seller_shares(items: DataFrame) -> DataFrame:
     """
     named = {
         "items": "count(*)",
-        "revenue": f"sum({cents_sql('price')})",
-        "freight": f"sum({cents_sql('freight_value')})",
+        "revenue": f"sum({exact_sql('price')})",
+        "freight": f"sum({exact_sql('freight_value')})",
         **_if_has(items, "shipping_limit_date", last_limit="max(shipping_limit_date)"),
-        **_if_has(items, "order_item_id", first_item="min(order_item_id)"),
+        **_if_has(
+            items,
+            "order_item_id",
+            first_item="min(order_item_id)",
+            unnumbered="count_if(order_item_id IS NULL)",
+        ),
     }
     return items.groupBy("order_id", "seller_id").agg(*measures(named))
 
@@ -93,7 +98,11 @@ def order_rollup(items: DataFrame) -> DataFrame:
         "order_freight": amount_sql("sum(freight)"),
         "main_seller_id": f"({top}).seller_id",
         **_if_has(shares, "last_limit", last_shipping_limit_at=latest),
-        **_if_has(shares, "first_item", first_item_id="min(first_item)"),
+        **_if_has(
+            shares,
+            "first_item",
+            first_item_id="if(sum(unnumbered) > 0, NULL, min(first_item))",
+        ),
     }
     return shares.groupBy("order_id").agg(*measures(named))
 
@@ -161,7 +170,7 @@ def order_transit_shape(
 
 
 def _located(df: DataFrame, role: str, geo: DataFrame) -> DataFrame:
-    """Sellers or customers with the centroid of their zip code; unknown zips drop out."""
+    """Sellers or customers with the centroid of their zip code; zips without one drop out."""
     points = geo.selectExpr(
         f"zip_code_prefix AS {role}_zip_code_prefix",
         f"centroid_lat AS {role}_lat",

@@ -8,14 +8,15 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from freightlens.plans import core, intermediate, marts, staging
+from freightlens.session import written
 
 
 class Layers:
     """Staging, star schema and marts as lazy DataFrames.
 
     ``raw`` has one attribute per raw table. ``items`` may replace its order
-    items by a narrower variant. Nothing runs here; each attribute is the plan
-    of one model.
+    items by a narrower variant. Nothing runs here but for the small table of
+    centroids; each attribute is the plan of one model.
     """
 
     def __init__(self, raw: Any, items: DataFrame | None = None) -> None:
@@ -76,6 +77,11 @@ class Layers:
     def dim_geolocation(self) -> DataFrame:
         return core.dim_geolocation(self.stg_geolocation)
 
+    @cached_property
+    def zip_centroids(self) -> DataFrame:
+        """Written on first use, since every distance reads it twice."""
+        return written(core.zip_centroids(self.stg_geolocation), "zip-centroids")
+
     @cached_property
     def stages(self) -> DataFrame:
         return intermediate.order_delivery_stages(self.stg_orders)
@@ -111,7 +117,7 @@ class Layers:
             self.stg_orders,
             self.dim_seller,
             self.dim_customer,
-            self.dim_geolocation,
+            self.zip_centroids,
         )
 
     @cached_property
@@ -141,7 +147,7 @@ class Layers:
             self.order_amounts,
             self.dim_seller,
             self.dim_customer,
-            self.dim_geolocation,
+            self.zip_centroids,
             grain,
         )
 

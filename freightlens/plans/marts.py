@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from freightlens.functions.aggregates import (
     amount_sql,
-    cents_sql,
-    cents_sum,
+    exact_sql,
+    exact_sum,
     exact_quantile,
     mean_days,
     measures,
@@ -205,7 +205,7 @@ def mart_delay_pdt_vs_dist(
         customers,
         geo,
         wanted,
-    ).filter("delivery_status IS NOT NULL")
+    ).filter("delivery_status IS NOT NULL AND distance_meters IS NOT NULL")
     totals = counted.groupBy(F.expr(zone_sql()).alias("distance_bucket"), "size_bucket").agg(
         *measures(
             {"order_item_count": f"sum({weight})", "late_count": f"sum(if({LATE}, {weight}, 0L))"}
@@ -235,7 +235,7 @@ def mart_seller_perf(items: DataFrame, stages: DataFrame, sellers: DataFrame) ->
                 "not_delivered_item_count": f"sum(if({NOT_DELIVERED}, items, 0L))",
                 "on_time_item_count": f"sum(if({ON_TIME}, items, 0L))",
                 "late_item_count": f"sum(if({LATE}, items, 0L))",
-                "seller_total_revenue": cents_sum("revenue"),
+                "seller_total_revenue": exact_sum("revenue"),
             }
         )
     )
@@ -257,8 +257,8 @@ def mart_seller_performance(items: DataFrame, stages: DataFrame) -> DataFrame:
         *measures(
             {
                 "n": "count(*)",
-                "revenue": f"sum({cents_sql('price')})",
-                "freight": f"sum({cents_sql('freight_value')})",
+                "revenue": f"sum({exact_sql('price')})",
+                "freight": f"sum({exact_sql('freight_value')})",
             }
         )
     )
@@ -284,8 +284,8 @@ def mart_seller_performance(items: DataFrame, stages: DataFrame) -> DataFrame:
             {
                 "order_count": "count(order_id)",
                 "item_count": "sum(n)",
-                "total_revenue": cents_sum("revenue"),
-                "total_freight": cents_sum("freight"),
+                "total_revenue": exact_sum("revenue"),
+                "total_freight": exact_sum("freight"),
                 "shipping_item_count": "sum(shipped)",
                 "late_shipping_item_count": "sum(shipped_late)",
                 "late_delivery_order_count": f"count(order_id) FILTER (WHERE {LATE})",
@@ -305,19 +305,19 @@ def mart_seller_performance(items: DataFrame, stages: DataFrame) -> DataFrame:
 def _outcome_totals(
     orders: DataFrame, customers: DataFrame, how: str, order_grain: bool
 ) -> DataFrame:
-    """Rows and cents by customer state and outcome.
+    """Rows and exact revenue by customer state and outcome.
 
     By default an order weighs as many rows as it has in the item-grain fact, at
     least one, and so does its revenue; at order grain it weighs one. Weighted
-    cents are multiplied as decimals, since a large order weighs a lot.
+    revenue stays exact.
     """
     states = customers.select("customer_id", "customer_state")
     rows = "1L" if order_grain else "greatest(item_count, 1L)"
-    cents = f"CAST({cents_sql('order_revenue')} AS DECIMAL(19,0)) * CAST({rows} AS DECIMAL(18,0))"
+    weighted = f"{exact_sql('order_revenue')} * CAST({rows} AS DECIMAL(11,0))"
     return (
         orders.join(states, "customer_id", how)
         .groupBy("customer_state", "delivery_status")
-        .agg(*measures({"order_count": f"sum({rows})", "cents": f"sum({cents})"}))
+        .agg(*measures({"order_count": f"sum({rows})", "revenue": f"sum({weighted})"}))
     )
 
 
@@ -333,9 +333,9 @@ def mart_delivery_revenue_risk(
             *measures(
                 {
                     "total_orders": "sum(order_count)",
-                    "total_revenue": amount_sql("sum(cents)"),
+                    "total_revenue": amount_sql("sum(revenue)"),
                     "late_orders": f"sum(if({LATE}, order_count, 0L))",
-                    "late_revenue": amount_sql(f"sum(if({LATE}, cents, 0))"),
+                    "late_revenue": amount_sql(f"sum(if({LATE}, revenue, 0))"),
                 }
             )
         )
@@ -362,8 +362,8 @@ def mart_delivery_sunburst(
     totals = _outcome_totals(orders, customers, "left", order_grain)
     leading = (
         totals.groupBy("customer_state")
-        .agg(F.sum("cents").alias("cents"), F.sum("order_count").alias("order_count"))
-        .orderBy(F.desc("cents"), F.desc("order_count"), "customer_state")
+        .agg(F.sum("revenue").alias("exact"), F.sum("order_count").alias("order_count"))
+        .orderBy(F.desc("exact"), F.desc("order_count"), "customer_state")
         .limit(top)
         .filter("customer_state IS NOT NULL")
         .selectExpr("customer_state AS leading_state")
@@ -372,7 +372,7 @@ def mart_delivery_sunburst(
     return totals.join(
         F.broadcast(leading), F.expr("customer_state <=> leading_state")
     ).selectExpr(
-        "customer_state", "delivery_status", "order_count", f"{amount_sql('cents')} AS revenue"
+        "customer_state", "delivery_status", "order_count", f"{amount_sql('revenue')} AS revenue"
     )
 
 

@@ -14,12 +14,12 @@ from pyspark.sql.window import Window
 
 from freightlens.functions.aggregates import (
     amount_sql,
-    cents_sql,
+    exact_sql,
     measures,
     money_sum,
     ratio,
     ratio_sql,
-    wide_sum_sql,
+    exact_sum_sql,
 )
 from freightlens.functions.labels import rank_of, relabel
 from freightlens.functions.status import STATUS_LABELS
@@ -107,7 +107,7 @@ def revenue_by_outcome(sunburst: DataFrame) -> DataFrame:
         .groupBy("customer_state", "delivery_outcome")
         .agg(money_sum("revenue").alias("revenue"))
     )
-    whole = f"{wide_sum_sql(cents_sql('revenue'))} OVER (PARTITION BY customer_state)"
+    whole = f"{exact_sum_sql(exact_sql('revenue'))} OVER (PARTITION BY customer_state)"
     with_state = by_outcome.selectExpr("*", f"{amount_sql(whole)} AS state_revenue")
     return with_state.select("*", ratio("revenue", "state_revenue").alias("share_of_state"))
 

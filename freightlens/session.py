@@ -6,12 +6,20 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+#: Let AQE split a skewed join also where the next step must then shuffle again.
+#: Without it, a join on order_id that feeds an aggregation by order_id keeps a
+#: huge order in one task. Set it for the sessions of a cluster, too.
+SKEW_SPLITS = {"spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
 
 
 def local_session(cores: str = "8", app: str = "freightlens") -> SparkSession:
-    """A single-machine session; on a cluster the caller brings its own."""
-    return (
+    """A single-machine session for tests and benchmarks; a cluster's caller brings its own.
+
+    It has a shared folder of its own unless Spark's defaults name one.
+    """
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -22,38 +30,36 @@ def local_session(cores: str = "8", app: str = "freightlens") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
+        .config(map=SKEW_SPLITS)
     )
-
-
-def allow_skew_splits(spark: SparkSession) -> None:
-    """Let AQE split a skewed join also where the next step must then shuffle again.
-
-    Without it, a join on order_id that feeds an aggregation by order_id keeps a
-    huge order in one task, because splitting it would cost another shuffle.
-    """
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    session = builder.getOrCreate()
+    if session.conf.get("spark.checkpoint.dir", None):
+        return session
+    session.stop()
+    return builder.config(
+        "spark.checkpoint.dir", tempfile.mkdtemp(prefix="freightlens-")
+    ).getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: the one named in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder; on a cluster a
-    missing setting is an error, since a machine-local folder would be lost
+    A missing setting is an error, since a machine-local folder would be lost
     with its machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="freightlens-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return named.rstrip("/")
 
 
 def new_run_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; nothing is ever overwritten there."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, for what is used more than once."""
+    path = new_run_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

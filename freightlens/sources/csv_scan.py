@@ -15,8 +15,9 @@ def scan_csv(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
     """One raw table from a CSV file, folder or glob, without type inference.
 
     The header gives the column order; a column the registry does not know is
-    kept as text. A value that does not fit its declared type fails the job
-    instead of becoming NULL.
+    kept as text. A value that does not fit its declared type, or a file whose
+    header differs from the first one's, fails the job instead of becoming NULL or
+    landing in another column.
     """
     reader = (
         spark.read.option("header", True)
@@ -27,7 +28,7 @@ def scan_csv(spark: SparkSession, path: str, table: RawTable) -> DataFrame:
     declared = {f.name: f.dataType for f in table.schema}
     header = reader.csv(path).columns
     schema = T.StructType([T.StructField(c, declared.get(c, T.StringType())) for c in header])
-    return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+    return reader.schema(schema).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
 
 
 def scan_folder(

@@ -11,7 +11,6 @@ from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from freightlens.functions.labels import text_sql
 from freightlens.operators.numbering import number_rows
@@ -46,16 +45,6 @@ CATEGORY_NAMES = [
 ]
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table; its schema is taken from the footers once per process."""
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
-
-
 def _plus(ts: str, unit: str, amount: str) -> str:
     return f"timestampadd({unit}, CAST({amount} AS INT), {ts})"
 
@@ -76,7 +65,7 @@ class GivenTables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
-        self.given = cache(lambda name: _read(spark, f"{folder}/{name}.parquet"))
+        self.given = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -109,6 +98,7 @@ class GivenTables:
         ``ids`` adds ``order_item_id``, the place of a line within its order, and
         ``limits`` adds ``shipping_limit_date``, which needs the order's date.
         Without both this is a projection of the lines and shuffles nothing.
+        Numbering runs at once and returns what it has written.
         """
         lines = self.given("lineitem").select(
             "l_orderkey",
@@ -132,7 +122,6 @@ class GivenTables:
                     "l_quantity",
                     "l_shipdate",
                 ],
-                position="l_linenumber * 1e12D + l_partkey",
                 name="order_item_id",
             )
         if limits:

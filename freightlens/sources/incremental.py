@@ -127,24 +127,33 @@ def load_table(
     return projected(rows, columns, key)
 
 
-def latest_per_key(df: DataFrame, key: Sequence[str], cursor: str) -> DataFrame:
-    """One row per key, the one with the highest cursor value.
+def latest_per_key(
+    df: DataFrame, key: Sequence[str], cursor: str | None = None
+) -> DataFrame:
+    """One row per key, the one with the highest cursor value, or the largest row without one.
 
     The row is an aggregate, so copies of a key collapse before the shuffle.
     """
     rest = [c for c in df.columns if c not in key and c != cursor]
-    newest = F.max(F.struct(F.col(cursor), *[F.col(c) for c in rest])).alias("_row")
+    if cursor is not None:
+        rest.insert(0, cursor)
+    if not rest:
+        return df.distinct()
+    newest = F.max(F.struct(*[F.col(c) for c in rest])).alias("_row")
     picked = df.groupBy(*key).agg(newest)
     return picked.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def append_new(batch: DataFrame, target_dir: str, key: Sequence[str], cursor: str) -> None:
+def append_new(
+    batch: DataFrame, target_dir: str, key: Sequence[str], cursor: str | None = None
+) -> None:
     """Append the rows of a batch whose key is not in the target yet.
 
-    The inclusive mark re-reads boundary rows, and a retry after a lost run
-    re-reads everything since the mark; both are dropped here, so a load may be
-    repeated safely. Only target rows at or after the batch's first cursor value
-    can collide, which the Parquet scan of the target prunes by.
+    The inclusive mark re-reads boundary rows, a retry after a lost run re-reads
+    everything since the mark, and a source may deliver a key again with a later
+    cursor value or none; all are dropped here, so a key lands once and a load may be
+    repeated safely. A key can have landed with any cursor value, so the keys, and no
+    other column, of the whole target are read. Null keys count as equal.
     """
     spark = batch.sparkSession
     fresh = latest_per_key(batch, key, cursor)
@@ -154,20 +163,24 @@ def append_new(batch: DataFrame, target_dir: str, key: Sequence[str], cursor: st
         if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
     else:
-        first = batch.agg(F.min(cursor).alias("first")).scalar()
-        fresh = fresh.join(landed.filter(F.col(cursor) >= first).select(*key), [*key], "left_anti")
+        keys = landed.select(*[F.col(k).alias(f"_landed_{k}") for k in key])
+        same = [F.col(k).eqNullSafe(F.col(f"_landed_{k}")) for k in key]
+        fresh = fresh.join(keys, same, "left_anti")
     fresh.write.mode("append").parquet(target_dir)
 
 
 def read_mark(spark: SparkSession, state_dir: str, table: str) -> Any:
-    """The last stored mark of a table, or None before the first load."""
+    """The furthest stored mark of a table, or None before the first load.
+
+    Not the last stored one, which a clock that was set back would mistake.
+    """
     try:
         state = spark.read.parquet(f"{state_dir}/{table}")
     except AnalysisException as missing:
         if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
-    return state.agg(F.max_by("mark", "loaded_at").alias("mark")).first()["mark"]
+    return state.agg(F.max("mark").alias("mark")).first()["mark"]
 
 
 def load_increment(

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freightlens.sources.incremental import append_new
 from freightlens.sources.registry import REGISTRY
 
 
@@ -38,6 +39,25 @@ def normalise(df: DataFrame) -> DataFrame:
     return df.select([_normal_value(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
 
 
+#: Ways to write a table: in place of what is there, behind it, or its new keys behind it.
+DISPOSITIONS = ("replace", "append", "merge")
+
+
+def write(
+    df: DataFrame, path: str, disposition: str = "replace", key: Sequence[str] = ()
+) -> None:
+    """Write a table in one of the ``DISPOSITIONS`` (I-13); ``merge`` keeps rows that have landed."""
+    if disposition not in DISPOSITIONS:
+        raise ValueError(f"unknown disposition {disposition!r}")
+    if disposition == "merge":
+        if not key:
+            raise ValueError("merge needs a key")
+        append_new(df, path, key)
+    else:
+        mode = "overwrite" if disposition == "replace" else "append"
+        df.write.mode(mode).parquet(path)
+
+
 def land(tables: Mapping[str, DataFrame], zone_dir: str) -> dict[str, int]:
     """Replace each table in a zone and return its row count (I-3).
 

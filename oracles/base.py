@@ -270,10 +270,16 @@ distances AS (
     SELECT i.order_id, i.seller_id,
            a.centroid_lat AS seller_lat, a.centroid_lng AS seller_lng,
            b.centroid_lat AS customer_lat, b.centroid_lng AS customer_lng,
-           2 * 6371010e0 * asin(sqrt(least(1e0,
-               pow(sin(radians(b.centroid_lat - a.centroid_lat) / 2), 2)
+           -- The angle between both directions, from their cross and dot products.
+           6371010e0 * atan2(
+               sqrt(pow(cos(radians(b.centroid_lat))
+                        * sin(radians(b.centroid_lng - a.centroid_lng)), 2)
+                    + pow(cos(radians(a.centroid_lat)) * sin(radians(b.centroid_lat))
+                          - sin(radians(a.centroid_lat)) * cos(radians(b.centroid_lat))
+                            * cos(radians(b.centroid_lng - a.centroid_lng)), 2)),
+               sin(radians(a.centroid_lat)) * sin(radians(b.centroid_lat))
                + cos(radians(a.centroid_lat)) * cos(radians(b.centroid_lat))
-                 * pow(sin(radians(b.centroid_lng - a.centroid_lng) / 2), 2))))
+                 * cos(radians(b.centroid_lng - a.centroid_lng)))
                AS distance_meters
     FROM (SELECT DISTINCT order_id, seller_id FROM items) i
     JOIN stg_orders o USING (order_id)

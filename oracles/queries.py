@@ -196,6 +196,7 @@ def _zones(other_side: str) -> str:
     {share(f'count(*) FILTER ({LATE})', 'count(*)')} AS late_pct
     FROM items i JOIN sized z USING (product_id) JOIN distances d USING (order_id, seller_id)
     JOIN {other_side} f USING (order_id)
+    WHERE distance_meters IS NOT NULL
     GROUP BY ALL"""
 
 
@@ -288,7 +289,8 @@ ORACLES["mart_transit_unclassified"] = sql(_UNCLASSIFIED)
 
 def _summary(checks: dict[str, str]) -> str:
     return sql(
-        "\nUNION ALL\n".join(
+        _DATES
+        + "\nUNION ALL\n".join(
             f"""SELECT '{name}' AS "check", CAST(({count}) AS BIGINT) AS failing_rows"""
             for name, count in checks.items()
         )
@@ -312,11 +314,12 @@ def _orphans(table: str, column: str, parent: str, field: str) -> str:
 ORACLES["dq_unique"] = _summary(
     {
         "dim_customer.customer_id": _repeated("dim_customer", "customer_id"),
-        "dim_date.date_key": "0",
+        "dim_date.date_key": "SELECT count(*) - count(DISTINCT d) FROM dates",
         "dim_products.product_id": _repeated("dim_products", "product_id"),
         "dim_seller.seller_id": _repeated("dim_seller", "seller_id"),
         "dim_geolocation.zip_code_prefix": _repeated("dim_geolocation", "zip_code_prefix"),
         "mart_seller_perf.seller_id": _repeated(f"({_SELLER_PERF})", "seller_id"),
+        "mart_seller_performance.seller_id": _repeated(f"({_PERFORMANCE})", "seller_id"),
         "mart_delivery_delay_stages.stage": _repeated(f"({_STAGES})", "stage"),
         "customers.customer_city": _repeated("dim_customer", "customer_city"),
     }
@@ -325,6 +328,7 @@ ORACLES["dq_not_null"] = _summary(
     {
         "dim_customer.customer_id": _nulls("dim_customer", "customer_id"),
         "dim_customer.customer_state": _nulls("dim_customer", "customer_state"),
+        "dim_date.date_key": _nulls("dates", "d"),
         "dim_products.product_id": _nulls("dim_products", "product_id"),
         "dim_products.product_weight_g": _nulls("dim_products", "product_weight_g"),
         "dim_seller.seller_id": _nulls("dim_seller", "seller_id"),
@@ -333,6 +337,16 @@ ORACLES["dq_not_null"] = _summary(
         "fact_orders.is_order_header_row": _nulls("fact", "is_order_header_row"),
         "fact_orders.customer_id": _nulls("fact", "customer_id"),
         "fact_orders.seller_id": _nulls("fact", "seller_id"),
+        "mart_seller_perf.seller_id": _nulls(f"({_SELLER_PERF})", "seller_id"),
+        "mart_delivery_delay_stages.stage": _nulls(f"({_STAGES})", "stage"),
+        "mart_delivery_delay_stages.pct_of_delay": _nulls(f"({_STAGES})", "pct_of_delay"),
+        "mart_transit_drivers.order_shape": _nulls(f"({_DRIVERS})", "order_shape"),
+        "mart_transit_drivers.distance_band": _nulls(f"({_DRIVERS})", "distance_band"),
+        "mart_transit_drivers.order_count": _nulls(f"({_DRIVERS})", "order_count"),
+        "mart_transit_unclassified.unclassified_reason": _nulls(
+            f"({_UNCLASSIFIED})", "unclassified_reason"
+        ),
+        "mart_transit_unclassified.order_count": _nulls(f"({_UNCLASSIFIED})", "order_count"),
         "mart_pdt_delivery.product_category_buckets": _nulls(
             f"({_CATEGORY})", "product_category_buckets"
         ),
@@ -345,9 +359,12 @@ ORACLES["dq_not_null"] = _summary(
 )
 ORACLES["dq_relationships"] = _summary(
     {
-        "fact_orders.customer_id": _orphans("header", "customer_id", "dim_customer", "customer_id"),
-        "fact_orders.seller_id": _orphans("items", "seller_id", "dim_seller", "seller_id"),
-        "fact_orders.product_id": _orphans("items", "product_id", "dim_products", "product_id"),
+        "fact_orders.customer_id": _orphans("fact", "customer_id", "dim_customer", "customer_id"),
+        "fact_orders.seller_id": _orphans("fact", "seller_id", "dim_seller", "seller_id"),
+        "mart_seller_perf.seller_id": _orphans(
+            f"({_SELLER_PERF})", "seller_id", "dim_seller", "seller_id"
+        ),
+        "fact_orders.product_id": _orphans("fact", "product_id", "dim_products", "product_id"),
         "dim_customer.customer_zip_code_prefix": _orphans(
             "dim_customer", "customer_zip_code_prefix", "dim_geolocation", "zip_code_prefix"
         ),
@@ -372,7 +389,7 @@ def _outside(table: str, column: str, allowed: dict[str, str] | list[str]) -> st
 
 ORACLES["dq_in_set"] = _summary(
     {
-        "stages.delivery_status": _outside("stages", "delivery_status", STATUS),
+        "fact_orders.delivery_status": _outside("fact", "delivery_status", STATUS),
         "mart_delivery_delay_stages.stage": _outside(f"({_STAGES})", "stage", STAGE),
         "mart_transit_drivers.order_shape": _outside(f"({_DRIVERS})", "order_shape", SHAPE),
         "mart_transit_drivers.distance_band": _outside(f"({_DRIVERS})", "distance_band", BAND),
@@ -386,15 +403,16 @@ ORACLES["dq_in_set"] = _summary(
 )
 ORACLES["dq_between"] = _summary(
     {
-        "item_freight 0..500": "SELECT count(*) FROM items WHERE NOT freight_value BETWEEN 0 AND 500",
-        "item_freight 0..250": "SELECT count(*) FROM items WHERE NOT freight_value BETWEEN 0 AND 250",
+        f"fact_orders.item_freight 0..{most}": f"""SELECT count(*) FROM fact
+            WHERE NOT item_freight BETWEEN 0 AND {most}"""
+        for most in (500, 250)
     }
 )
 ORACLES["dq_pair_greater"] = _summary(
     {
-        "delivered after purchase": """SELECT count(*) FROM stages
+        "delivered after purchase": """SELECT count(*) FROM fact
             WHERE order_delivered_customer_at <= order_purchase_at""",
-        "estimate not before delivery": """SELECT count(*) FROM stages
+        "estimate not before delivery": """SELECT count(*) FROM fact
             WHERE order_estimated_delivery_at < order_delivered_customer_at""",
     }
 )
@@ -406,45 +424,88 @@ ORACLES["dq_header_invariant"] = _summary(
 )
 
 
-# Reconciliation: the verdicts follow from how the copies were made.
-
-_FINDINGS = """, findings("table", "check", layer, ok) AS (VALUES
-    ('order_items', 'columns', 'prices', true),
-    ('order_items', 'row_count', 'prices', true),
-    ('order_items', 'missing_values', 'prices', true),
-    ('order_items', 'distinct_keys', 'prices', true),
-    ('order_items', 'key_fingerprint', 'prices', true),
-    ('order_items', 'numeric_totals', 'prices',
-        (SELECT count(*) = 0 FROM items WHERE order_id % 1000 = 7)),
-    ('order_items', 'columns', 'sellers', false),
-    ('order_items', 'row_count', 'sellers', true),
-    ('order_items', 'missing_values', 'sellers',
-        (SELECT count(*) = 0 FROM items WHERE order_id % 1000 = 7)),
-    ('order_items', 'distinct_keys', 'sellers', true),
-    ('order_items', 'key_fingerprint', 'sellers', true),
-    ('order_items', 'numeric_totals', 'sellers', false))"""
-ORACLES["reconcile_items_mutated"] = sql(f"{_FINDINGS} SELECT * FROM findings")
+# Reconciliation: both sides of every check are computed from the items and their copies.
+
+_VALUES = ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"]
+_COLUMNS = [*_VALUES[:4], "shipping_limit_date", *_VALUES[4:]]
+_KEYS = "order_id || chr(1) || order_item_id"
+
+
+def _numbers(side: str, columns: list[str]) -> str:
+    """One row of everything that the checks compare."""
+    totals = [f"sum({c})::DOUBLE AS total_{c}" for c in columns if c in _VALUES]
+    gaps = [f"count(*) - count({c}) AS missing_{c}" for c in columns]
+    keys = f"count(DISTINCT {_KEYS}) AS keys, string_agg(DISTINCT {_KEYS}, ';' ORDER BY {_KEYS}) AS key_set"
+    return f"{side} AS (SELECT count(*) AS n, {keys}, {', '.join(totals + gaps)} FROM {side}_rows)"
+
+
+def _differing(layer: str, kind: str, columns: list[str], absent: str = "") -> str:
+    """The columns that differ, as the findings name them; numbers are left out."""
+    near = "abs(s.{0} - l.{0}) <= greatest(1e-9 * greatest(abs(s.{0}), abs(l.{0})), 1e-6)"
+    same = near if kind == "total" else "s.{0} = l.{0}"
+    named = [
+        f"CASE WHEN NOT ({same.format(f'{kind}_{c}')}) THEN '{c}: source= {layer}=' END"
+        for c in columns
+    ]
+    named += [f"'{absent}: source= {layer}='"] if absent else []
+    return f"array_to_string(list_sort(list_filter([{', '.join(named)}], lambda x: x IS NOT NULL)), '; ')"
+
+
+def _findings(layer: str, columns: list[str]) -> str:
+    absent = [c for c in _COLUMNS if c not in columns]
+    checks = {
+        "columns": f"'{'absent: ' + ', '.join(absent) if absent else ''}'",
+        "row_count": f"if(s.n = l.n, '', 'source= {layer}=')",
+        "distinct_keys": f"if(s.keys = l.keys, '', 'source= {layer}=')",
+        "key_fingerprint": f"if(s.key_set = l.key_set, '', 'source= {layer}=')",
+        "missing_values": _differing(layer, "missing", columns),
+        "numeric_totals": _differing(
+            layer, "total", [c for c in columns if c in _VALUES], "".join(absent)
+        ),
+    }
+    return "\nUNION ALL\n".join(
+        f"""SELECT 'order_items' AS "table", '{check}' AS "check", '{layer}' AS layer, {found} AS d
+        FROM source s, {layer} l"""
+        for check, found in checks.items()
+    )
+
+
+_SWAPPED = [c for c in _COLUMNS if c != "freight_value"]
+_RECONCILED = f""", source_rows AS (SELECT * FROM items),
+prices_rows AS (
+    SELECT * REPLACE (price + if(order_id % 1000 = 7, 100, 0) AS price) FROM items),
+sellers_rows AS (
+    SELECT * EXCLUDE (freight_value)
+        REPLACE (CASE WHEN order_id % 1000 <> 7 THEN seller_id END AS seller_id) FROM items),
+{_numbers("source", _COLUMNS)}, {_numbers("prices", _COLUMNS)}, {_numbers("sellers", _SWAPPED)},
+findings AS (
+    SELECT "table", "check", layer, d = '' AS ok,
+           CASE WHEN d <> '' THEN d WHEN "check" = 'columns' THEN 'all present' ELSE 'match' END
+               AS detail
+    FROM ({_findings("prices", _COLUMNS)}
+    UNION ALL {_findings("sellers", _SWAPPED)}))"""
+ORACLES["reconcile_items_mutated"] = sql(f"{_RECONCILED} SELECT * FROM findings")
 ORACLES["reconcile_report"] = sql(
-    f"""{_FINDINGS} SELECT layer, count(*) AS checks, count(*) FILTER (NOT ok) AS failures
+    f"""{_RECONCILED} SELECT layer, count(*) AS checks, count(*) FILTER (NOT ok) AS failures
     FROM findings GROUP BY layer"""
 )
 ORACLES["reconcile_orders"] = """SELECT * FROM (VALUES
-    ('orders', 'columns', 'landing', true),
-    ('orders', 'row_count', 'landing', (SELECT count(*) > 0 FROM orders)),
-    ('orders', 'missing_values', 'landing', true),
-    ('orders', 'numeric_totals', 'landing', true),
-    ('orders', 'distinct_keys', 'landing', true),
-    ('orders', 'key_fingerprint', 'landing', true),
-    ('orders', 'reachable', 'raw', false)) f("table", "check", layer, ok)"""
+    ('orders', 'columns', 'landing', true, 'all present'),
+    ('orders', 'row_count', 'landing', (SELECT count(*) > 0 FROM orders), 'match'),
+    ('orders', 'missing_values', 'landing', true, 'match'),
+    ('orders', 'numeric_totals', 'landing', true, 'match'),
+    ('orders', 'distinct_keys', 'landing', true, 'match'),
+    ('orders', 'key_fingerprint', 'landing', true, 'match'),
+    ('orders', 'reachable', 'raw', false, NULL)) f("table", "check", layer, ok, detail)"""
 _PARTS = ", ".join(
-    f"sum(CAST('0x' || substr(digest, {1 + 15 * i}, 15) AS BIGINT)::DECIMAL(38,0)) AS part_{i}"
-    for i in range(4)
+    f"sum(CAST('0x' || substr(digest, {1 + 8 * i}, 8) AS BIGINT)::DECIMAL(38,0)) AS part_{i}"
+    for i in range(8)
 )
 ORACLES["reconcile_key_digest"] = sql(
-    f"""SELECT distinct_keys, sha256(concat_ws(':', distinct_keys, part_0, part_1, part_2, part_3))
+    f"""SELECT distinct_keys, sha256(concat_ws(':', distinct_keys, {', '.join(f'part_{i}' for i in range(8))}))
         AS fingerprint
     FROM (SELECT count(*) AS distinct_keys, {_PARTS}
-          FROM (SELECT DISTINCT sha256(order_id || chr(1) || product_id) AS digest FROM items))"""
+          FROM (SELECT DISTINCT sha256(order_id || chr(1) || order_item_id) AS digest FROM items))"""
 )
 ORACLES["reconcile_key_differences"] = sql(
     """SELECT CAST(order_id AS VARCHAR) AS key, 'source' AS side FROM stg_orders
@@ -786,6 +847,125 @@ ORACLES["incremental_backwards"] = """SELECT event_id, ts, value FROM events
 ORACLES["projection_limit"] = """SELECT event_id, ts, event_type FROM events
     WHERE ts <= TIMESTAMP '2024-01-25' ORDER BY ts, event_id LIMIT 500"""
 ORACLES["incremental_two_loads"] = "SELECT * FROM events"
+ORACLES["incremental_late_copies"] = """SELECT * REPLACE (
+    CASE WHEN event_id % 10 > 0 THEN ts
+         WHEN event_id % 2 = 0 THEN ts + INTERVAL 30 DAY END AS ts) FROM events"""
+ORACLES["dispositions"] = """SELECT * FROM (VALUES
+    ('replace', (SELECT count(*) FROM nation WHERE n_nationkey % 2 >= 1)),
+    ('append', (SELECT count(*) + count(*) FILTER (n_nationkey % 2 >= 1) FROM nation)),
+    ('merge', (SELECT count(DISTINCT n_nationkey) FROM nation))) f(disposition, row_count)"""
+ORACLES["normalised_values"] = """SELECT l_orderkey, l_linenumber, l_partkey,
+    CASE WHEN l_orderkey % 5 <> 0 THEN l_tax END AS tax,
+    CAST(l_quantity::DECIMAL(10,2) AS VARCHAR) AS quantity,
+    lower(hex(l_returnflag::BLOB)) AS flag,
+    CASE WHEN l_orderkey % 7 <> 0 THEN l_quantity END AS nested_q,
+    CASE WHEN l_orderkey % 7 <> 0 AND l_orderkey % 3 <> 0 THEN l_tax END AS nested_t,
+    l_discount AS listed_0, CAST(NULL AS DOUBLE) AS listed_1 FROM lineitem"""
+
+
+def _digests(table: str, rows: str, columns: dict[str, str]) -> str:
+    """Nulls and a digest of each column; what becomes of a value as text is given."""
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{table}' AS "table", '{name}' AS "column", count(*) - count(v) AS nulls,
+        CAST(coalesce(sum(CAST('0x' || substr(md5(v), 1, 8) AS BIGINT)), 0) AS VARCHAR) AS digest
+        FROM (SELECT CAST({text} AS VARCHAR) AS v FROM {rows})"""
+        for name, text in columns.items()
+    )
+
+
+def _plain(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
+
+
+def _times(**named: str) -> dict[str, str]:
+    return {n: f"strftime({c}, '%Y-%m-%d %H:%M:%S')" for n, c in named.items()}
+
+
+def _rounded(**named: str) -> dict[str, str]:
+    return {n: f"CAST(round({c} * 1000) AS BIGINT)" for n, c in named.items()}
+
+
+ORACLES["csv_contents"] = sql(
+    "\nUNION ALL\n".join(
+        [
+            _digests(
+                "orders",
+                "stg_orders",
+                _plain("order_id", "customer_id", "order_status")
+                | _times(
+                    order_purchase_timestamp="order_purchase_at",
+                    order_approved_at="order_approved_at",
+                    order_delivered_carrier_date="order_delivered_carrier_at",
+                    order_delivered_customer_date="order_delivered_customer_at",
+                    order_estimated_delivery_date="order_estimated_delivery_at",
+                ),
+            ),
+            _digests(
+                "order_items",
+                "items",
+                _plain("order_id", "order_item_id", "product_id", "seller_id")
+                | _times(shipping_limit_date="shipping_limit_date")
+                | _rounded(price="price", freight_value="freight_value"),
+            ),
+            _digests(
+                "order_reviews",
+                "reviews",
+                _plain("review_id", "order_id", "review_score")
+                | _times(
+                    review_creation_date="review_creation_date",
+                    review_answer_timestamp="review_answer_timestamp",
+                ),
+            ),
+            _digests(
+                "customers",
+                "dim_customer",
+                _plain(
+                    "customer_id",
+                    "customer_unique_id",
+                    "customer_zip_code_prefix",
+                    "customer_city",
+                    "customer_state",
+                ),
+            ),
+            _digests(
+                "sellers",
+                "dim_seller",
+                _plain("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"),
+            ),
+            _digests(
+                "products",
+                "raw_products",
+                _plain("product_id", "product_category_name")
+                | {
+                    "product_name_lenght": "product_name_length",
+                    "product_description_lenght": "product_description_length",
+                }
+                | _plain(
+                    "product_photos_qty",
+                    "product_weight_g",
+                    "product_length_cm",
+                    "product_height_cm",
+                    "product_width_cm",
+                ),
+            ),
+            _digests(
+                "product_category_name_translation",
+                "buckets",
+                _plain("product_category_name", "product_category_name_english"),
+            ),
+            _digests(
+                "geolocation",
+                "stg_geolocation",
+                {
+                    "geolocation_zip_code_prefix": "zip_code_prefix",
+                    "geolocation_city": "city",
+                    "geolocation_state": "state",
+                }
+                | _rounded(geolocation_lat="latitude", geolocation_lng="longitude"),
+            ),
+        ]
+    )
+)
 ORACLES["stream_dedup_events"] = "SELECT * FROM events"
 ORACLES["materialised_fact_sales"] = sql(
     f"""SELECT strftime(order_purchase_at, '%Y-%m') AS order_month, count(*) AS order_count,

@@ -105,6 +105,30 @@ def test_copies_of_a_key_keep_the_newest(spark, tmp_path):
     assert [tuple(r) for r in spark.read.parquet(target).collect()] == [(1, 3, "new")]
 
 
+def test_a_key_lands_once_whatever_its_cursor_says_later(spark, tmp_path):
+    target = str(tmp_path / "t")
+    schema = "id INT, t INT, v STRING"
+    loads = [
+        [(1, 1, "first"), (2, None, "undated"), (None, 5, "no key")],
+        [(1, 9, "later"), (1, 0, "earlier"), (2, None, "undated"), (None, 7, "no key")],
+        [(1, None, "undated"), (2, 3, "dated"), (3, None, "new")],
+    ]
+    for batch in loads:
+        append_new(spark.createDataFrame(batch, schema), target, ["id"], "t")
+    landed = spark.read.parquet(target).orderBy("id").collect()
+    assert [tuple(r) for r in landed] == [
+        (None, 5, "no key"), (1, 1, "first"), (2, None, "undated"), (3, None, "new"),
+    ]
+
+
+def test_the_mark_does_not_follow_the_clock(spark, tmp_path):
+    state = str(tmp_path / "state")
+    marks = [(7, "2024-01-02"), (5, "2024-01-09")]
+    df = spark.createDataFrame(marks, "mark INT, loaded_at STRING")
+    df.selectExpr("mark", "CAST(loaded_at AS TIMESTAMP) AS loaded_at").write.parquet(f"{state}/x")
+    assert read_mark(spark, state, "x") == 7
+
+
 @pytest.fixture()
 def delivered_files(spark, tmp_path):
     """Three files with overlapping keys, the last one with an old timestamp."""

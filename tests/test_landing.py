@@ -53,6 +53,35 @@ def test_scan_fails_on_values_of_the_wrong_type(spark, tmp_path):
         table.collect()
 
 
+def test_scan_fails_on_files_with_other_columns(spark, tmp_path):
+    """A second file with two columns exchanged must not land in the wrong ones."""
+    folder = tmp_path / "sellers.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\na,1,x,SP\n")
+    (folder / "b.csv").write_text("seller_id,seller_city,seller_zip_code_prefix,seller_state\nb,y,2,SP\n")
+    with pytest.raises((PySparkException, Py4JJavaError), match="CSV header does not conform"):
+        scan_folder(spark, str(tmp_path))["sellers"].collect()
+
+
+def test_dispositions(spark, tmp_path):
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "id INT, v STRING")
+    second = spark.createDataFrame([(2, "c"), (3, "d")], "id INT, v STRING")
+    found = {}
+    for how in landing.DISPOSITIONS:
+        for df in (first, second):
+            landing.write(df, str(tmp_path / how), how, key=["id"])
+        found[how] = sorted(map(tuple, spark.read.parquet(str(tmp_path / how)).collect()))
+    assert found == {
+        "replace": [(2, "c"), (3, "d")],
+        "append": [(1, "a"), (2, "b"), (2, "c"), (3, "d")],
+        "merge": [(1, "a"), (2, "b"), (3, "d")],
+    }
+    with pytest.raises(ValueError):
+        landing.write(first, str(tmp_path / "x"), "merge")
+    with pytest.raises(ValueError):
+        landing.write(first, str(tmp_path / "x"), "upsert")
+
+
 def test_normalise(spark):
     df = spark.sql(
         """SELECT double('NaN') AS f, X'0aFF' AS b, 1.50BD AS d, named_struct('x', float('NaN')) AS s,

@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from samples import item, order, product, raw, ts
 
+from freightlens.functions.geo import great_circle_metres
 from freightlens.operators import quality
 from freightlens.plans import core, staging
+from freightlens.plans.explore import review_spread
 from freightlens.plans.layers import Layers
 
 
@@ -298,3 +300,63 @@ def test_dim_date_fixed_span(spark):
     assert (first["year_month"], first["month_name"], first["day_of_week"]) == ("2016-01", "January", 6)
     assert first["is_weekend"] is False
     assert ts("01-01 00:00").year == 2018
+
+
+def test_unknown_points_have_no_distance(spark):
+    """Neither as a null coordinate in the formula nor as a zip code without a point."""
+    point = spark.createDataFrame([(0.0, 0.0, None, 1.0), (0.0, 0.0, 180.0, 0.0)], "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE")
+    found = point.select(great_circle_metres("a", "b", "c", "d").alias("m")).collect()
+    assert found[0]["m"] is None
+    assert found[1]["m"] == pytest.approx(math.pi * 6_371_010)
+    tables = raw(
+        spark,
+        orders=[order(1)],
+        items=[item(1)],
+        customers=[(1, 1, "C", "x", "RJ")],
+        sellers=[(1, "S", "y", "SP")],
+        geolocation=[("S", None, -46.6, "y", "SP"), ("C", -22.9, -43.2, "x", "RJ")],
+    )
+    m = Layers(tables)
+    assert m.distances.isEmpty() and m.mart_delay_pdt_vs_dist().isEmpty()
+    assert m.dim_geolocation.filter("zip_code_prefix = 'S' AND centroid_lat IS NULL").count() == 1
+
+
+@pytest.mark.parametrize("ids", [(1, 1, 2), (None, 1, 2), (None, None), (2, 2)])
+def test_one_header_row_whatever_the_item_ids(spark, ids):
+    """A repeated id gives one header, and a null id comes before all others."""
+    tables = raw(spark, orders=[order(1)], items=[item(1, i, price=5.0) for i in ids])
+    fact = Layers(tables).fact_orders
+    assert fact.count() == len(ids)
+    (header,) = core.header_rows(fact).collect()
+    assert header["order_item_id"] == (None if None in ids else min(ids))
+    assert header["order_revenue"] == 5.0 * len(ids)
+    assert quality.one_header_per_order(fact).isEmpty()
+
+
+def test_amounts_keep_their_digits(spark):
+    tables = raw(spark, orders=[order(1)], items=[item(1, price=1.005, freight=1.005), item(1, 2, price=0.00000001, freight=0.001)])
+    row = Layers(tables).fact_orders.first()
+    assert (row["order_revenue"], row["order_freight"]) == (1.00500001, 1.006)
+
+
+def test_totals_beyond_whole_cents_of_a_double(spark):
+    """More than 2^53 cents per order, and more than a bigint of cents in all."""
+    many = [item(n, price=99_999_999_999_999.5) for n in range(1, 1201)]
+    tables = raw(spark, orders=[order(n) for n in range(1, 1201)], items=many)
+    m = Layers(tables)
+    assert m.fact_orders.first()["order_revenue"] == 99_999_999_999_999.5
+    assert m.mart_monthly_sales.first()["total_revenue"] == 1200 * 99_999_999_999_999.5
+    assert m.mart_delivery_revenue_risk().first()["total_revenue"] == 1200 * 99_999_999_999_999.5
+
+
+def test_reviews_count_without_dates(spark):
+    tables = raw(
+        spark,
+        orders=[order(1)],
+        items=[item(1)],
+        reviews=[(1, 1, 5, None, None), (2, 1, 2, None, None)],
+    )
+    m = Layers(tables)
+    found = review_spread(m.stg_order_items, m.stg_order_reviews).first()
+    assert found["pct_orders_with_multiple_reviews"] == 100.0
+    assert found["median_spread_when_multiple"] is None

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from freightlens.operators import numbering
 from freightlens.operators.numbering import number_rows
 
 
 def _skewed(spark):
-    """A third of the rows in one key, one of its rows copied many times."""
+    """A third of the rows in one key, one of its rows copied many times, and null keys."""
     plain = spark.range(6000).selectExpr(
-        "id % 700 AS k", "CAST(id * 7919 % 1009 AS INT) AS a", "CAST(id AS INT) AS b"
+        "if(id % 700 = 9, NULL, id % 700) AS k",
+        "CAST(id * 7919 % 1009 AS INT) AS a",
+        "CAST(id AS INT) AS b",
     )
     hot = spark.range(3000).selectExpr(
         "-1L AS k", "CAST(id * 31 % 997 AS INT) AS a", "CAST(id AS INT) AS b"
@@ -20,27 +23,43 @@ def _skewed(spark):
     return plain.unionAll(hot).unionAll(copies)
 
 
-def test_hot_keys_are_numbered_as_by_a_window(spark):
+def test_keys_are_numbered_as_by_a_window(spark):
     df = _skewed(spark)
     expected = df.withColumn(
         "n", F.row_number().over(Window.partitionBy("k").orderBy("a", "b"))
     )
-    for hot_rows in (5, 1000, 10**6):
-        found = number_rows(df, "k", ["a", "b"], "a", "n", hot_rows=hot_rows, max_hot_keys=50)
-        assert found.exceptAll(expected).isEmpty()
-        assert expected.exceptAll(found).isEmpty()
+    found = number_rows(df, "k", ["a", "b"], "n")
+    assert found.exceptAll(expected).isEmpty()
+    assert expected.exceptAll(found).isEmpty()
 
 
-def test_many_copies_are_given_back_in_steps(spark, monkeypatch):
-    monkeypatch.setattr("freightlens.operators.numbering._COPIES_PER_STEP", 100)
-    df = spark.range(1234).selectExpr("1 AS k", "2 AS a")
-    found = number_rows(df, "k", ["a"], "a", "n", hot_rows=10)
-    assert [r["n"] for r in found.orderBy("n").collect()] == list(range(1, 1235))
+def test_thousands_of_hot_keys(spark):
+    """No bound on their number, and none is treated apart."""
+    df = spark.range(60_000).selectExpr("id % 3000 AS k", "CAST(id AS INT) AS a")
+    found = number_rows(df, "k", ["a"], "n").groupBy("k").agg(F.max("n"), F.countDistinct("n"))
+    assert {tuple(r)[1:] for r in found.collect()} == {(20, 20)}
 
 
-def test_a_hot_key_is_spread_over_slices(spark):
-    from freightlens.operators.numbering import _number_sliced
+def test_a_hot_key_is_spread_even_if_its_rows_are_equal(spark, monkeypatch):
+    kept = {}
 
-    df = _skewed(spark).filter("k = -1")
-    plan = _number_sliced(df, "k", ["a", "b"], "a", "n")._jdf.queryExecution().toString()
-    assert "Window [sum(_copies" in plan and "_slice" in plan
+    def written(df, purpose):
+        kept[purpose] = numbering_written(df, purpose)
+        return kept[purpose]
+
+    numbering_written = numbering.written
+    monkeypatch.setattr(numbering, "written", written)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 4000, 1, 6).selectExpr("1 AS k", "2 AS a")
+        found = number_rows(df, "k", ["a"], "n")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert [r["n"] for r in found.orderBy("n").collect()] == list(range(1, 4001))
+    sizes = [r["count"] for r in kept["ranges"].groupBy("_range").count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 2000
+
+
+def test_no_rows(spark):
+    assert number_rows(_skewed(spark).limit(0), "k", ["a"], "n").isEmpty()

@@ -6,8 +6,8 @@ import pytest
 from oracle_check import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, TEXTS = queries(), oracle_sql()
+from freightlens.registered import QUERIES
+from oracles import ORACLES as TEXTS
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +17,7 @@ def duck(folder):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(TEXTS)
+    assert set(QUERIES) <= set(queries()) and set(TEXTS) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

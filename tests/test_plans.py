@@ -60,3 +60,17 @@ def test_totals_are_computed_once(spark, folder):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange [customer_state" in final
+
+
+@pytest.mark.parametrize("name", ["stg_order_items", "fact_orders", "dq_header_invariant"])
+def test_lines_are_numbered_once(spark, folder, name):
+    """The given lines are read while they are numbered; later steps read the numbered ones."""
+    text = plan(spark, folder, name)
+    assert "lineitem.parquet" not in text
+    assert len(re.findall(r"\) Scan parquet[^\n]*\n(?:[^\n]+\n)*?Location: [^\n]*numbered-", text)) <= 2
+
+
+@pytest.mark.parametrize("name, most", [("seller_customer_distance", 17), ("mart_delay_pdt_vs_dist", 18)])
+def test_distances_need_points_only(spark, folder, name, most):
+    """Names of places are not looked up for a distance."""
+    assert len(re.findall(r"\) Scan parquet", plan(spark, folder, name))) <= most

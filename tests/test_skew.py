@@ -6,13 +6,10 @@ small data; results must still match the SQL.
 
 from __future__ import annotations
 
-from functools import partial
-
 import pytest
 from oracle_check import connect, difference
 from oracles import ORACLES
 
-from freightlens.operators.numbering import number_rows
 from freightlens.registered import QUERIES
 
 SMALL = {
@@ -83,14 +80,12 @@ def small_thresholds(spark):
 
 
 @pytest.mark.parametrize("name", CHECKED)
-def test_results_under_skew(spark, skewed, small_thresholds, monkeypatch, name):
-    monkeypatch.setattr("freightlens.sources.given.number_rows", partial(number_rows, hot_rows=100))
+def test_results_under_skew(spark, skewed, small_thresholds, name):
     assert difference(QUERIES[name](spark, skewed), connect(skewed), ORACLES[name]) is None
 
 
 @pytest.mark.parametrize("name", ["mart_seller_performance", "mart_delay_pdt_vs_dist", "fact_orders"])
-def test_skewed_joins_are_split(spark, skewed, small_thresholds, monkeypatch, name):
-    monkeypatch.setattr("freightlens.sources.given.number_rows", partial(number_rows, hot_rows=100))
+def test_skewed_joins_are_split(spark, skewed, small_thresholds, name):
     df = QUERIES[name](spark, skewed)
     df.collect()
     assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
