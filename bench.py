@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8) and
-BENCH_RUNS (timed runs per query after one warm-up, default 1; the median counts).
+BENCH_RUNS (timed runs per query after one warm-up, default 3; the median counts).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from freightlens.registered import QUERIES
-from freightlens.session import local_session
+from freightlens.session import local_session, remove_run_dirs
 
 HEADLINE = [
     "stg_order_items",
@@ -51,7 +51,7 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cores, "bench")
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
@@ -61,6 +61,7 @@ def main() -> None:
             start = time.perf_counter()
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             taken.append(time.perf_counter() - start)
+        remove_run_dirs(spark)
         seconds[name] = round(statistics.median(taken[1:]), 3)
     line = {
         "metric": "total seconds of the headline queries, warm",

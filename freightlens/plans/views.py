@@ -27,6 +27,7 @@ from freightlens.plans.explore import labelled_status
 from freightlens.plans.intermediate import BANDS, SHAPES
 from freightlens.plans.marts import SIZES, ZONES
 
+# Names of stages, shapes, bands and reasons, and how they are shown.
 STAGE_LABELS = {
     "approval": "Approval",
     "seller_handling": "Seller handling",

@@ -53,9 +53,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_RUN_DIRS: list[str] = []
+
+
 def new_run_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder; nothing is ever overwritten there."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _RUN_DIRS.append(f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}")
+    return _RUN_DIRS[-1]
+
+
+def remove_run_dirs(spark: SparkSession) -> None:
+    """Delete every run folder of this process, once no result that reads one is needed."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _RUN_DIRS:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_RUN_DIRS.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

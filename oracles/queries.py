@@ -35,6 +35,7 @@ def case_label(column: str, labels: dict[str, str]) -> str:
     return f"CASE {column} {arms} END"
 
 
+# Names and how they are shown, apart from the code's so that the check is its own.
 STATUS = {
     "early": "Early",
     "on_time": "On time",

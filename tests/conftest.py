@@ -7,7 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from freightlens.session import local_session
+from freightlens.session import local_session, remove_run_dirs
 
 
 @pytest.fixture(scope="session")
@@ -15,6 +15,7 @@ def spark():
     session = local_session("4", "tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_run_dirs(session)
     session.stop()
 
 
