@@ -4,9 +4,9 @@ Vectors are scaled to unit length and cut into halves. Each half has a codebook
 of its own, so the product of both is a grid of cells, and every vector lives in
 one. From a vector to a cell there is a least distance for each half: that to the plane between
 the cell's codeword and any other. A vector visits cells in the order of
-the sum of both, until the sum shows that no vector within the radius is left,
-or, for a target recall below one, until the share of a sample's links is
-reached. What it meets there is verified.
+the sum of both, until the target recall is reached on a sample; for a target of
+one, until the sum shows that no vector within the radius is left. What it meets
+there is verified.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freightlens.llm.common import importable, partitions, saved
 from freightlens.llm.components import components
@@ -27,6 +28,8 @@ BLOCK = 2048
 STEP = 2048
 #: Values, not rows, of the sample that codebooks are fitted to.
 SAMPLE_VALUES = 2_000_000
+#: Rows of the sample whose neighbours say how far the traversal must go.
+CALIBRATED = 2_000
 
 
 def codebook(points: np.ndarray, size: int, rounds: int = 12, seed: int = 0) -> np.ndarray:
@@ -77,8 +80,9 @@ def visits(first: np.ndarray, second: np.ndarray, limit: float) -> list[tuple[in
     return found
 
 
-def _unit(vectors: list[bytes]) -> np.ndarray:
-    x = np.stack([np.frombuffer(v, np.float64) for v in vectors])
+def _unit(vectors: list[bytes], kind: str) -> np.ndarray:
+    """The vectors in double precision, scaled to unit length."""
+    x = np.stack([np.frombuffer(v, kind) for v in vectors]).astype(np.float64)
     x = x / np.abs(x).max(axis=1)[:, None]  # squares of very large or small values
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
@@ -106,22 +110,37 @@ class Index:
         return i * len(self.books[1]) + j, first, second
 
     def _calibrated(self, sample: np.ndarray, radius2: float, target_recall: float) -> float:
-        """The bound within which the target share of the sample's links is met."""
+        """The bound within which the target share of links is met.
+
+        It must hold for the sample's own links, and for neighbours of the
+        sample in random directions as far off as a link allows, which are the
+        hardest to meet.
+        """
         home, first, second = self.bounds(sample)
-        needed = []
-        for at in range(0, len(sample), 256):
-            near = 2 - 2 * sample[at : at + 256] @ sample.T <= radius2
-            x, y = np.nonzero(near)
-            x, y = x[x + at != y] + at, y[x + at != y]
-            i, j = np.divmod(home[y], len(self.books[1]))
-            needed.append(first[x, i] + second[x, j])
-        needed = np.concatenate(needed)
-        if not len(needed):
-            return self.limit
-        return float(np.quantile(needed, target_recall, method="higher"))
-
-
-def _meetings(classes: DataFrame, indexes: dict[int, Index]) -> DataFrame:
+        order = np.random.default_rng(0)
+        some = order.permutation(len(sample))[:CALIBRATED]
+        x = sample[some]
+        aside = order.normal(size=x.shape)
+        aside -= (aside * x).sum(axis=1)[:, None] * x
+        aside /= np.sqrt((aside * aside).sum(axis=1))[:, None]
+        cosine = 1 - radius2 / 2
+        far, _, _ = self.bounds(cosine * x + np.sqrt(max(0.0, 1 - cosine**2)) * aside)
+        i, j = np.divmod(far, len(self.books[1]))
+        needed = [first[some, i] + second[some, j]]
+        own = []
+        for at in range(0, len(some), 256):
+            near = 2 - 2 * x[at : at + 256] @ sample.T <= radius2
+            row, other = np.nonzero(near)
+            row = some[row + at]
+            row, other = row[row != other], other[row != other]
+            i, j = np.divmod(home[other], len(self.books[1]))
+            own.append(first[row, i] + second[row, j])
+        needed.append(np.concatenate(own))
+        found = [np.quantile(x, target_recall, method="higher") for x in needed if len(x)]
+        return float(min(radius2 + 1e-9, max(found) + 1e-9))
+
+
+def _meetings(classes: DataFrame, indexes: dict[int, Index], kind: str) -> DataFrame:
     """(label, dim, cell, home, node, code, copies, vector) for every cell a class visits.
 
     Of two classes in different cells the one in the lower cell visits the other.
@@ -132,7 +151,7 @@ def _meetings(classes: DataFrame, indexes: dict[int, Index]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                row, cell, home = _cells_of(part, sent.value)
+                row, cell, home = _cells_of(part, sent.value, kind)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c).take(row) for c in own] + [cell, home],
                     [*own, "cell", "home"],
@@ -147,7 +166,7 @@ def _meetings(classes: DataFrame, indexes: dict[int, Index]) -> DataFrame:
 
 
 def _cells_of(
-    part: pa.RecordBatch, indexes: dict[int, Index]
+    part: pa.RecordBatch, indexes: dict[int, Index], kind: str
 ) -> tuple[pa.Array, pa.Array, pa.Array]:
     """(row of the batch, cell, whether it is home) for all visits of a batch."""
     rows, cells, homes = [], [], []
@@ -162,7 +181,7 @@ def _cells_of(
             continue
         index = indexes[dim]
         vectors = part.column("vector").take(pa.array(own)).to_pylist()
-        home, first, second = index.bounds(_unit(vectors))
+        home, first, second = index.bounds(_unit(vectors, kind))
         width = len(index.books[1])
         for k, r in enumerate(own.tolist()):
             there = {i * width + j for i, j in visits(first[k], second[k], index.limit)}
@@ -176,8 +195,8 @@ def _cells_of(
 class _Cell:
     """The rows that live in a block of a cell, and the links that visitors find to them."""
 
-    def __init__(self, least_cosine: float) -> None:
-        self.least = least_cosine
+    def __init__(self, least_cosine: float, kind: str) -> None:
+        self.least, self.kind = least_cosine, kind
         self.node: list[int] = []
         self.code: list[int] = []
         self.copies: list[int] = []
@@ -192,7 +211,7 @@ class _Cell:
             self.vectors.append(r["vector"])
 
     def ready(self) -> None:
-        self.unit = _unit(self.vectors)
+        self.unit = _unit(self.vectors, self.kind)
         self.weight = np.array(self.copies, np.float64)
         self.found = np.zeros(len(self.node))
         self.group = np.arange(len(self.node))  # homes known to be connected
@@ -223,7 +242,7 @@ class _Cell:
 FOUND = "node long, code long, n long, other long"
 
 
-def _compare(least_cosine: float):
+def _compare(least_cosine: float, kind: str):
     """Stream each meeting: first the rows that live there, then their visitors."""
 
     schema = pa.schema([(c, pa.int64()) for c in ("node", "code", "n", "other")])
@@ -240,7 +259,7 @@ def _compare(least_cosine: float):
 
     def visit(cell: _Cell, rows: list[dict]) -> list[dict]:
         weight = np.array([r["copies"] for r in rows], np.float64)
-        counts, outer, inner = cell.meet(_unit([r["vector"] for r in rows]), weight)
+        counts, outer, inner = cell.meet(_unit([r["vector"] for r in rows], kind), weight)
         node = cell.node
         return (
             rows_of([r["node"] for r in rows], [r["code"] for r in rows], counts)
@@ -270,7 +289,7 @@ def _compare(least_cosine: float):
                             if cell.unit is None:
                                 out += settle(cell)
                             out += rows_of(cell.node, cell.code, cell.found)
-                        key, cell = part[i]["meeting"], _Cell(least_cosine)
+                        key, cell = part[i]["meeting"], _Cell(least_cosine, kind)
                     j = i
                     home = part[i]["home"]
                     while j < len(part) and part[j]["meeting"] == key and part[j]["home"] == home:
@@ -296,7 +315,7 @@ def _compare(least_cosine: float):
 
 
 def _fitted(
-    classes: DataFrame, cells_per_half: int, radius2: float, target_recall: float
+    classes: DataFrame, cells_per_half: int, radius2: float, target_recall: float, kind: str
 ) -> dict[int, Index]:
     """An index for each vector length, fitted to a sample of at most ``SAMPLE_VALUES`` values."""
     longest = classes.agg(F.max("dim")).first()[0]
@@ -309,7 +328,7 @@ def _fitted(
     for dim in np.unique(dims):
         if dim >= 2:
             own = sample.filter(pa.array(dims == dim)).column("vector").to_pylist()
-            indexes[int(dim)] = Index(_unit(own), cells_per_half, radius2, target_recall)
+            indexes[int(dim)] = Index(_unit(own, kind), cells_per_half, radius2, target_recall)
     return indexes
 
 
@@ -320,7 +339,7 @@ def near_duplicates(
     label_col: str = "label",
     least_cosine: float = 0.93,
     cells_per_half: int = 16,
-    target_recall: float = 1.0,
+    target_recall: float = 0.9995,
 ) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
@@ -328,7 +347,9 @@ def near_duplicates(
     precision, is at least ``least_cosine``. ``n_links`` counts the other rows
     linked directly, ``component_id`` is the smallest vec_id reachable, and
     ``kept`` says whether it is the row's own. With ``target_recall`` 1 the
-    traversal ends where the bounds prove that no link is left.
+    traversal ends where the bounds prove that no link is left; below, where
+    that share of the links of a bounded sample is met, counted for neighbours
+    at the least cosine, the hardest to meet.
 
     Null vectors, zero vectors, vectors with null or non-finite components, null labels and
     null ids link with nothing; such a row is its own component. Vectors of different lengths
@@ -365,9 +386,12 @@ def near_duplicates(
             F.first("vector").alias("vector"),
         )
     )
-    classes = saved(_as_bytes(classes), "vector-classes")
-    indexes = _fitted(classes, cells_per_half, 2 - 2 * least_cosine, target_recall)
-    meetings = saved(_meetings(classes, indexes), "cell-visits")
+    # Single precision is sent as such and widened before anything is computed.
+    single = df.schema[vector_col].dataType == T.ArrayType(T.FloatType())
+    kind = "<f4" if single else "<f8"
+    classes = saved(_as_bytes(classes, kind), "vector-classes")
+    indexes = _fitted(classes, cells_per_half, 2 - 2 * least_cosine, target_recall, kind)
+    meetings = _meetings(classes, indexes, kind)
     place = ["label", "dim", "cell"]
     large = (
         meetings.filter("home")
@@ -394,7 +418,7 @@ def near_duplicates(
     found = saved(
         spread.repartition(partitions(df.sparkSession), "meeting")
         .sortWithinPartitions("meeting", F.desc("home"))
-        .mapInArrow(_compare(least_cosine), FOUND),
+        .mapInArrow(_compare(least_cosine, kind), FOUND),
         "vector-links",
     )
     counts = (
@@ -423,13 +447,13 @@ def near_duplicates(
     )
 
 
-def _as_bytes(classes: DataFrame) -> DataFrame:
-    """The classes with their vectors as little-endian doubles and ``dim``, their length."""
+def _as_bytes(classes: DataFrame, kind: str) -> DataFrame:
+    """The classes with their vectors as bytes and ``dim``, their length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = (x.values for x in batch.column("vector"))
-            vectors = [x.to_numpy(zero_copy_only=False).astype("<f8") for x in lists]
+            vectors = [x.to_numpy(zero_copy_only=False).astype(kind) for x in lists]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("label", "code", "check", "node", "copies")]
                 + [

@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from conftest import rows_of
+from odd_rows import rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -131,6 +131,19 @@ def test_suffix_array(text):
             assert shared == next((j for j in range(50) if a[j] != b[j]), 50)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text("ab", min_size=1, max_size=200).map(str.encode), st.randoms())
+def test_suffixes_that_are_wanted(text, r):
+    letters = np.frombuffer(text, np.uint8)
+    wanted = np.array([r.random() < 0.3 for _ in text])
+    whole = suffix_dedup.SuffixArray(letters)
+    some = suffix_dedup.SuffixArray(letters, wanted)
+    padded = text + b"\xff" * 64
+    want = [padded[i : i + 56] for i in whole.order if wanted[i]]
+    assert [padded[i : i + 56] for i in some.order] == want
+    assert sorted(some.order.tolist()) == np.flatnonzero(wanted).tolist()
+
+
 def brute_passages(pairs, length=50):
     first: dict[bytes, float] = {}
     place = [float("inf") if i is None else i for i, _ in pairs]
@@ -204,7 +217,7 @@ def test_embeddings(spark, monkeypatch, block):
     roots = union(len(rows), links)
     n = np.bincount(np.array(links).ravel(), minlength=len(rows))
     want = [(i, int(n[k]), None if i is None else rows[roots[k]][0], i is None or roots[k] == k) for k, (i, _, _) in enumerate(rows)]
-    found = multi_index.near_duplicates(df, cells_per_half=4)
+    found = multi_index.near_duplicates(df, cells_per_half=4, target_recall=1.0)
     got = [(x.vec_id, x.n_links, x.component_id, x.kept) for x in found.collect()]
     assert sorted(got, key=key) == sorted(want, key=key)
     assert multi_index.near_duplicates(df.limit(0)).collect() == []
@@ -219,3 +232,5 @@ def test_target_recall(spark):
     all_links = (unit @ unit.T >= 0.93).sum() - len(rows)
     found = multi_index.near_duplicates(df, target_recall=0.95).agg({"n_links": "sum"}).first()[0]
     assert 0.9 * all_links <= found <= all_links
+    whole = multi_index.near_duplicates(df).agg({"n_links": "sum"}).first()[0]
+    assert whole >= 0.999 * all_links

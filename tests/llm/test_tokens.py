@@ -5,12 +5,13 @@ from __future__ import annotations
 import base64
 import random
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from conftest import rows_of
+from odd_rows import rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -26,6 +27,13 @@ def reference():
     return tiktoken.Encoding("own", pat_str=queries.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache
+def library():
+    tokenizer = Tokenizer.from_file(queries.TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
 @pytest.fixture(scope="module")
 def coder():
     return byte_bpe.encoder(queries.RANKS, queries.PATTERN)
@@ -52,9 +60,20 @@ def test_long_runs(coder, reference, text):
     assert coder.encode(text) == reference.encode_ordinary(text)
 
 
-@given(st.text(alphabet="ab \n\t  .'"))
-def test_parts_add_up(text):
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(st.sampled_from([*"ab.,'é1", *(c for c in map(chr, range(0x3001)) if c.isspace()), " ", " "])))
+def test_spaces_of_all_kinds(coder, reference, text):
     assert " ".join(parts(text)) == text
+    assert coder.encode(text) == reference.encode_ordinary(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text() | st.text(st.sampled_from("abéµßĀ漢 .,'\nﬁ’")))
+def test_store_encodes_as_the_library(text):
+    tokenizer = library()
+    found = token_store._encoder(queries.TOKENIZER, 4)(text)
+    want = tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(found, "<u4").tolist() == want
 
 
 def test_encode_and_decode(spark, odd_pairs, reference):
