@@ -68,7 +68,7 @@ if __name__ == "__main__":
     spark.sparkContext.setLogLevel("ERROR")
     con, texts, bad = connect(folder), oracle_sql(), 0
     for name, run in queries().items():
-        if chosen and name not in chosen:
+        if (chosen and name not in chosen) or name not in texts:
             continue
         start = time.time()
         try:
