@@ -20,10 +20,6 @@ def whole_days_sql(start: str, end: str) -> str:
     return f"extract(DAY FROM ({end} - {start}))"
 
 
-def hours_between(start: str, end: str) -> Column:
-    return F.expr(hours_sql(start, end))
-
-
 def days_between(start: str, end: str) -> Column:
     """Whole hours from start to end, as fractional days."""
     return F.expr(f"{hours_sql(start, end)} / 24D")

@@ -36,9 +36,14 @@ WEIGHT_LIMITS_G = [5_000, 10_000, 20_000, 30_000]
 ZONE_LIMITS_KM = [100, 500, 1_500]
 
 
-def _place_sql(value: str, limits: list[int]) -> str:
-    """0 up to the first limit, 1 up to the second, and so on."""
-    return "(" + " + ".join(f"int({value} > {limit})" for limit in limits) + ")"
+def _place_sql(value: str, limits: list[int], beyond: int | None = None) -> str:
+    """0 up to the first limit, 1 up to the second, and so on.
+
+    ``beyond`` is the place of what no limit holds, by default the next one;
+    that includes a null.
+    """
+    arms = " ".join(f"WHEN {value} <= {limit} THEN {i}" for i, limit in enumerate(limits))
+    return f"CASE {arms} ELSE {len(limits) if beyond is None else beyond} END"
 
 
 def _name_at_sql(place: str, names: list[str]) -> str:
@@ -51,8 +56,9 @@ def size_class_sql(side_sum: str = "product_dimension", weight: str = "product_w
     A weight above the last limit is taken for a data error and counts as the
     lightest class, so that the size decides.
     """
-    by_weight = f"if({weight} > {WEIGHT_LIMITS_G[-1]}, 0, {_place_sql(weight, WEIGHT_LIMITS_G)})"
-    return _name_at_sql(f"greatest({_place_sql(side_sum, SIDE_SUM_LIMITS_CM)}, {by_weight})", SIZES)
+    by_size = _place_sql(side_sum, SIDE_SUM_LIMITS_CM)
+    by_weight = _place_sql(weight, WEIGHT_LIMITS_G, beyond=0)
+    return _name_at_sql(f"greatest({by_size}, {by_weight})", SIZES)
 
 
 def zone_sql(distance_meters: str = "distance_meters") -> str:
