@@ -31,7 +31,7 @@ def _word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
-_HASHES = Memory(_word_hash)
+_HASHES = Memory(_word_hash, 200_000)
 
 
 class Grams:

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from freightlens.llm.chunks import Memory, pieces
+from freightlens.llm.chunks import Memory, parts
 from freightlens.llm.common import slices, texts
 
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, decoded binary"
@@ -29,7 +29,7 @@ _NEVER = 1 << 31
 class BytePairs:
     """The encoder of a rank file; ``pattern`` splits a text before the merges."""
 
-    def __init__(self, rank_file: str, pattern: str, remembered_pairs: int = 1 << 20) -> None:
+    def __init__(self, rank_file: str, pattern: str, remembered_pairs: int = 150_000) -> None:
         import ahocorasick
         import regex
 
@@ -51,8 +51,8 @@ class BytePairs:
             for t, rank in self.ranks.items()
         }
         self.fits = Memory(self._compatible, remembered_pairs)
-        self.words = Memory(self.encode_word)
-        self.known = Memory(self._encode_piece)
+        self.words = Memory(self.encode_word, 150_000)
+        self.known = Memory(lambda part: self._encode_piece(" " + part), 300_000)
 
     def _split(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for a single byte."""
@@ -134,8 +134,11 @@ class BytePairs:
         return tuple(chain.from_iterable([words[w] for w in self.find(piece)]))
 
     def encode(self, text: str) -> list[int]:
+        if not text:
+            return []
         known = self.known
-        return list(chain.from_iterable([known[p] for p in pieces(text)]))
+        first, *rest = parts(text)
+        return list(chain(self._encode_piece(first), chain.from_iterable([known[p] for p in rest])))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))

@@ -15,8 +15,7 @@ from collections.abc import Callable
 #: White space other than the space and the line feed; a superset of the pattern's \s.
 OTHER_SPACE = (
     "\t\r\x0b\x0c\x1c\x1d\x1e\x1f",
-    "\x85\xa0            "
-    "    　",
+    "\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B))),
 )
 _BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 
@@ -24,8 +23,12 @@ _BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 LONGEST = 48
 
 
-def pieces(text: str) -> list[str]:
-    """The text in pieces that can be encoded one by one; their sum is the text."""
+def parts(text: str) -> list[str]:
+    """The text cut at single spaces, which are left out, into what can be encoded one by one.
+
+    So " ".join of the parts is the text, and each but the first is to be
+    encoded with a space before it.
+    """
     odd = (
         "  " in text
         or " \n" in text
@@ -34,9 +37,9 @@ def pieces(text: str) -> list[str]:
         or (not text.isascii() and any(c in text for c in OTHER_SPACE[1]))
     )
     if odd:
-        return _BETWEEN.split(text)
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + x for x in rest]
+        first, *rest = _BETWEEN.split(text)
+        return [first] + [x[1:] for x in rest]
+    return text.split(" ")
 
 
 class Memory(dict):
@@ -46,7 +49,7 @@ class Memory(dict):
     come, those not used since the last such moment are forgotten.
     """
 
-    def __init__(self, encode: Callable[[str], object] | None, size: int = 250_000) -> None:
+    def __init__(self, encode: Callable[[str], object] | None, size: int = 400_000) -> None:
         super().__init__()
         self.encode, self.size = encode, size
         self.old: dict = {}

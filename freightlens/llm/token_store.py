@@ -19,6 +19,7 @@ document i is found with select(i): start at mark i // 64 and count set bits.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from freightlens.llm.chunks import Memory, pieces
+from freightlens.llm.chunks import Memory, parts
 from freightlens.llm.common import partitions, slices, texts
 from freightlens.session import new_run_dir
 
@@ -86,40 +87,56 @@ class EliasFano:
         return ((at - i) << self.low_bits) | tail
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(file: str):
-    """The tokenizer and its memory, once for each worker process.
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: visible ones as they are, others from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + n) for n, b in enumerate(hidden)}
 
-    Names of special tokens in a text count as ordinary text.
+
+_SPELLED = _byte_letters()
+
+
+@lru_cache(maxsize=4)
+def _encoder(file: str, id_bytes: int) -> Callable[[str], bytes]:
+    """text → its ids as bytes; one encoder and its memories for each worker process.
+
+    The library's pre-tokenizer and model encode each part of a text that is not
+    remembered. Names of special tokens in a text are ordinary text.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(file)
-    tokenizer.encode_special_tokens = True
-    return tokenizer, Memory(None)
+    split, merge = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+    code = {2: "<H", 4: "<I"}[id_bytes]
+    one = {i: struct.pack(code, i) for i in tokenizer.get_vocab(with_added_tokens=True).values()}
+
+    def of_word(word: str) -> bytes:
+        return b"".join([one[t.id] for t in merge(word)])
+
+    words = Memory(of_word, 200_000)
 
+    def of_any(part: str) -> bytes:
+        return b"".join([words[w] for w, _ in split(part)])
 
-def _encoder(file: str, id_type: str) -> Callable[[str], bytes]:
-    tokenizer, memory = _tokenizer(file)
+    def after_space(part: str) -> bytes:
+        """Most parts are a word and perhaps a mark, which need no search for words."""
+        stem, mark = (part[:-1], part[-1]) if part[-1:] in (".", ",") else (part, "")
+        if stem.isalpha():
+            if stem.isascii():
+                return words["Ġ" + stem] + (words[mark] if mark else b"")
+            if max(stem) < "\u0100":
+                spelled = stem.encode().decode("latin-1").translate(_SPELLED)
+                return words["Ġ" + spelled] + (words[mark] if mark else b"")
+        return of_any(" " + part)
 
-    def plain(parts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(x.ids, id_type).tobytes() for x in found]
+    known = Memory(after_space)
 
     def encode(text: str) -> bytes:
-        parts = pieces(text)
-        unknown = [p for p in dict.fromkeys(parts) if p not in memory]
-        if unknown:
-            fresh = {}
-            old = [p for p in unknown if p in memory.old]
-            fresh.update((p, memory.old[p]) for p in old)
-            new = [p for p in unknown if p not in fresh]
-            fresh.update(zip(new, plain(new)))
-            encoded = b"".join([fresh[p] if p in fresh else memory[p] for p in parts])
-            for p, x in fresh.items():
-                memory.store(p, x)
-            return encoded
-        return b"".join([memory[p] for p in parts])
+        if not text:
+            return b""
+        first, *rest = parts(text)
+        return of_any(first) + b"".join([known[p] for p in rest])
 
     return encode
 
@@ -161,7 +178,7 @@ def write_shards(
         return pa.RecordBatch.from_pylist([row], schema=_arrow(SHARDS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(tokenizer_file, id_type)
+        encode = _encoder(tokenizer_file, id_bytes)
         ids, doc_ids, size, seq, part = [], [], 0, 0, None
         for batch in batches:
             for cut in slices(batch, "text"):
