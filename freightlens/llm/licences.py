@@ -146,8 +146,9 @@ def scan(
         ),
         sentence_ids(F.col("text"), sentences).alias("sentence_ids"),
     )
+    marked = F.transform("sentence_ids", lambda i: F.concat(F.lit("<"), i, F.lit(">")))
     start = F.struct(
-        F.concat_ws("", F.transform("sentence_ids", lambda i: F.concat(F.lit("<"), i, F.lit(">")))).alias("left"),
+        F.concat_ws("", marked).alias("left"),
         F.array().cast("array<string>").alias("names"),
     )
     # What a rule took leaves a mark, so that its neighbours do not touch.
