@@ -40,11 +40,14 @@ def shape(word: str) -> str:
     return _DIGITS.sub("0", _LETTERS.sub(case, word))[:16]
 
 
-def _codes(word: str) -> tuple[int, int]:
-    return zlib.crc32(word.encode()), zlib.crc32(shape(word).encode())
+def _codes(word: str) -> int:
+    """The hash of the word and, above it, that of its shape."""
+    return zlib.crc32(word.encode()) | zlib.crc32(shape(word).encode()) << 32
 
 
-_KNOWN = Memory(_codes)
+def known_words() -> Memory:
+    """word → its codes; one for each task, so that no worker keeps it for other stages."""
+    return Memory(_codes, 150_000)
 
 
 def _spread(x: np.ndarray, buckets: int, first: int) -> np.ndarray:
@@ -52,13 +55,13 @@ def _spread(x: np.ndarray, buckets: int, first: int) -> np.ndarray:
     return ((x ^ (x >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64) + first
 
 
-def features(text: str) -> np.ndarray:
+def features(text: str, known: Memory) -> np.ndarray:
     """The buckets of the text's indicators, each once, ascending."""
     words = text.split()
     if not words:
         return np.zeros(0, np.int64)
-    codes = np.array([_KNOWN[w] for w in words], np.uint64)
-    w, s = codes[:, 0], codes[:, 1]
+    codes = np.array([known[w] for w in words], np.uint64)
+    w, s = codes & np.uint64(0xFFFFFFFF), codes >> np.uint64(32)
     s[1:][w[1:] == w[:-1]] = _REPEAT
     two, ten = np.uint64(0x100000001B3), np.uint64(0xC2B2AE3D27D4EB4F)
     found = [
@@ -81,8 +84,9 @@ class Model:
     def margin(self, found: np.ndarray) -> float:
         return float(self.weights[found].sum(dtype=np.float64)) + self.bias
 
-    def score(self, text: str) -> float:
-        return float(1.0 / (1.0 + np.exp(-np.clip(2.0 * self.margin(features(text)), -50, 50))))
+    def score(self, text: str, known: Memory) -> float:
+        margin = self.margin(features(text, known))
+        return float(1.0 / (1.0 + np.exp(-np.clip(2.0 * margin, -50, 50))))
 
 
 def fit(
@@ -104,13 +108,12 @@ def fit(
     empty = Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share)) / 2))
     if n == 0 or good.all() or not good.any():
         return empty
-    counts = []
-    for of_class in (good, ~good):
-        found = np.concatenate([r for r, inside in zip(rows, of_class) if inside])
-        counts.append(np.bincount(found, minlength=BUCKETS))
-    p, q = ((x + smoothing) / (k.sum() + 2 * smoothing) for x, k in zip(counts, (good, ~good)))
-    ratio = np.log(p / q)
-    ratio[counts[0] + counts[1] < least_texts] = 0.0
+    counts = np.zeros((2, BUCKETS), np.int32)
+    for r, k in zip(rows, labels):
+        counts[k, r] += 1  # a row has each bucket once
+    ratio = np.log((counts[1] + smoothing) / (good.sum() + 2 * smoothing))
+    ratio -= np.log((counts[0] + smoothing) / ((~good).sum() + 2 * smoothing))
+    ratio[counts.sum(axis=0) < least_texts] = 0.0
     rows = [r[ratio[r] != 0] for r in rows]
     y = np.where(good, 1.0, -1.0)
     # Each class counts as much as the other; the bias is one more indicator.
@@ -165,9 +168,11 @@ def train(
     chosen = texts(df, id_col, text_col).join(F.broadcast(one_each), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = known_words()
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [features(t).astype(np.int32) for t in part.column("text").to_pylist()]
+                text = part.column("text").to_pylist()
+                found = [features(t, known).astype(np.int32) for t in text]
                 found = pa.array(found, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("label"), found],
@@ -175,9 +180,11 @@ def train(
                 )
 
     table = chosen.mapInArrow(run, "doc_id long, label int, found array<int>").toArrow()
-    table = table.sort_by("doc_id")
-    rows = [np.asarray(x.values, np.int64) for x in table.column("found")]
-    return fit(rows, table.column("label").to_numpy())
+    # Views of the table, not copies: this is all that the driver holds of the sample.
+    rows = [np.asarray(x.values) for x in table.column("found")]
+    order = np.argsort(table.column("doc_id").to_numpy(), kind="stable")
+    labels = table.column("label").to_numpy()
+    return fit([rows[i] for i in order], labels[order])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -197,10 +204,10 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     sent = df.sparkSession.sparkContext.broadcast((weights, bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*sent.value)
+        own, known = Model(*sent.value), known_words()
         for batch in batches:
             for part in slices(batch, "text"):
-                found = [own.score(t) for t in part.column("text").to_pylist()]
+                found = [own.score(t, known) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"]
                 )
@@ -220,10 +227,10 @@ def keep_good(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     sent = df.sparkSession.sparkContext.broadcast((model.weights, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*sent.value)
+        own, known = Model(*sent.value), known_words()
         for batch in batches:
             for part in slices(batch, text_col):
-                good = [own.score(t or "") >= 0.5 for t in part.column(text_col).to_pylist()]
+                good = [own.score(t or "", known) >= 0.5 for t in part.column(text_col).to_pylist()]
                 yield part.filter(pa.array(good, pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
