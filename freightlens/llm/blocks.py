@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from freightlens.llm.common import texts
 
 #: Text of a block, and text for each bucket, in bytes.
-BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 24 << 20
+BLOCK_BYTES, BUCKET_BYTES = 6 << 20, 10 << 20
 
 
 @dataclass(frozen=True)

@@ -94,7 +94,9 @@ def segments(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray,
     low = _window_minima(_gram_hashes(x, GRAM), length - GRAM + 1)
     change = np.flatnonzero(low[1:] != low[:-1]) + 1
     starts = np.concatenate([[0], change])
-    return low[starts], starts, np.concatenate([change, [len(low)]])
+    # Minima crowd together at small values; mixed once more they fill all buckets alike.
+    anchors = low[starts] * np.uint64(_BASE)
+    return anchors ^ (anchors >> np.uint64(32)), starts, np.concatenate([change, [len(low)]])
 
 
 class Segments:
@@ -130,14 +132,25 @@ class Segments:
         ]
         self.anchor = self.anchor >> np.uint64(64 - 8 * ANCHOR_BYTES)
         self.code = np.array(codes, np.uint64) & np.uint64((1 << 8 * SEGMENT_BYTES) - 1)
-        order = np.lexsort((self.doc, self.code, self.anchor))
-        a, c = self.anchor[order], self.code[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (a[1:] != a[:-1]) | (c[1:] != c[:-1])
+        # One sort, unless segments that differ agree in the bits that fit beside the anchor.
+        order = np.argsort(self.anchor << np.uint64(16) | self.code & np.uint64(0xFFFF))
+        new, unsorted = self._starts(order)
+        if unsorted:
+            order = np.lexsort((self.code, self.anchor))
+            new, _ = self._starts(order)
         #: For every segment its place among the distinct ones, and of these the first segment.
         self.place = np.empty(len(order), np.int64)
         self.place[order] = np.cumsum(new) - 1
-        self.first = order[new]
+        first = np.flatnonzero(new)
+        self.first = np.minimum.reduceat(order, first) if len(first) else order
+
+    def _starts(self, order: np.ndarray) -> tuple[np.ndarray, bool]:
+        """Where distinct segments start, and whether one may start more than once."""
+        a, c = self.anchor[order], self.code[order]
+        same, low = a[1:] == a[:-1], np.uint64(0xFFFF)
+        new = np.ones(len(order), bool)
+        new[1:] = ~same | (c[1:] != c[:-1])
+        return new, bool((same & new[1:] & ((c[1:] & low) == (c[:-1] & low))).any())
 
     def buckets(self, n_buckets: int) -> list[tuple[int, int, int]]:
         wide = self.anchor[self.first] << np.uint64(64 - 8 * ANCHOR_BYTES)
@@ -251,11 +264,14 @@ class SuffixArray:
     over the buckets of first bytes, from small to large, then puts each other
     suffix (L) behind those of its bucket whose successors came before its own. Beyond
     its end the text counts as 0xFF.
+
+    ``wanted`` marks the suffixes to sort, all by default. What the scan needs
+    for them is each S that a wanted suffix is or comes to first, and the L between.
     """
 
     DEPTH = 56
 
-    def __init__(self, text: np.ndarray) -> None:
+    def __init__(self, text: np.ndarray, wanted: np.ndarray | None = None) -> None:
         n = self.n = len(text)
         padded = np.concatenate([text, np.full(self.DEPTH + 8, 0xFF, np.uint8)])
         words, bits = padded.astype(np.uint64), 8
@@ -264,7 +280,19 @@ class SuffixArray:
             bits *= 2
         self.words = words  # the 8 bytes from each place on, as one number
         self.text = text.astype(np.int16)
-        self.order = self._induced(self._smaller()) if n else np.zeros(0, np.int64)
+        if not n or wanted is not None and not wanted.any():
+            self.order = np.zeros(0, np.int64)
+            return
+        smaller = self._smaller()
+        if wanted is None:
+            self.order = self._induced(smaller, np.ones(n, bool))
+            return
+        next_smaller = np.where(smaller, np.arange(n), n - 1)
+        next_smaller = np.minimum.accumulate(next_smaller[::-1])[::-1]
+        reach = np.bincount(np.flatnonzero(wanted), minlength=n + 1).astype(np.int64)
+        reach -= np.bincount(next_smaller[wanted] + 1, minlength=n + 1)
+        order = self._induced(smaller, np.cumsum(reach[:n]) > 0)
+        self.order = order[wanted[order]]
 
     def _smaller(self) -> np.ndarray:
         """Which suffixes are smaller than their successors."""
@@ -273,9 +301,9 @@ class SuffixArray:
         decided = np.minimum.accumulate(decided[::-1])[::-1]  # where a run of equal bytes ends
         return step[decided] > 0
 
-    def _induced(self, smaller: np.ndarray) -> np.ndarray:
+    def _induced(self, smaller: np.ndarray, needed: np.ndarray) -> np.ndarray:
         text = self.text
-        own = np.flatnonzero(smaller)
+        own = np.flatnonzero(smaller & needed)
         keys = [self.words[own + at] for at in range(self.DEPTH - 8, -1, -8)]
         own = own[np.lexsort(keys)]
         starts = np.searchsorted(text[own], np.arange(257))
@@ -289,14 +317,15 @@ class SuffixArray:
                 got = np.concatenate(ready)
                 bucket.append(got)
                 before = got[got > 0] - 1
-                before = before[text[before] == byte]
+                before = before[(text[before] == byte) & needed[before]]
                 ready = [before] if len(before) else []
             bucket.append(own[starts[byte] : starts[byte + 1]])
             full = np.concatenate(bucket)
             order.append(full)
             before = full[full > 0] - 1
             first = text[before]
-            before, first = before[first > byte], first[first > byte]
+            larger_too = (first > byte) & needed[before]
+            before, first = before[larger_too], first[larger_too]
             by = np.argsort(first, kind="stable")
             before, first = before[by], first[by]
             cut = np.searchsorted(first, np.arange(257))
@@ -322,11 +351,11 @@ class SuffixArray:
 
 def repeated_windows(text: bytes, sizes: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
     """For each place of the joined segments whether its window is in a smaller document too."""
-    array = SuffixArray(np.frombuffer(text, np.uint8))
     ends = np.repeat(np.cumsum(sizes), sizes)
     doc = np.repeat(ids, sizes)
     whole = np.arange(len(text)) + length <= ends  # the window lies in its segment
-    order = array.order[whole[array.order]]
+    array = SuffixArray(np.frombuffer(text, np.uint8), whole)
+    order = array.order
     runs = np.flatnonzero(array.common_prefixes(order, length) < length)
     found = np.zeros(len(text), bool)
     if len(order):
