@@ -38,7 +38,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that a mix with the target weights takes; each stays once."""
+    """The mix with the target weights: each document as often as it has copies."""
     return mixing.sample(docs, queries.TARGETS, queries.marginals())
 
 

@@ -195,9 +195,9 @@ def sample(
     size: float = 1.0,
     seed: int = 0,
 ) -> DataFrame:
-    """The rows, with all their columns, that mix() gives a copy at least, each once.
+    """The mix itself: each row, with all its columns, as often as mix() gives it copies.
 
-    The texts are read once for the weights and once to pass on the rows; they
+    Its tokens have, on average, the shares wanted of every marginal. The texts are read once for the weights and once to pass on the rows; they
     are not shuffled while the cells are few.
     """
     names = ["__mix_" + m for m in marginals]
@@ -207,6 +207,7 @@ def sample(
     by_name = {"__mix_" + m: t for m, t in targets.items()}
     rates = _rates(docs, by_name, names, size).withColumnRenamed("expected", "__mix_expected")
     expected = F.coalesce("__mix_expected", F.lit(0.0))
-    kept = _copies(expected, F.col(f"`{id_col}`").cast("long"), seed) > 0
-    rows = df.withColumns(cell).join(rates.drop("ratio"), names, "left").filter(kept)
-    return rows.select(*[f"`{c}`" for c in df.columns])
+    copies = _copies(expected, F.col(f"`{id_col}`").cast("long"), seed)
+    rows = df.withColumns(cell).join(rates.drop("ratio"), names, "left")
+    each = rows.withColumn("__mix_copy", F.explode(F.array_repeat(F.lit(0), copies)))
+    return each.select(*[f"`{c}`" for c in df.columns])

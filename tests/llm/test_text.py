@@ -163,6 +163,29 @@ def test_mix(spark, odd_pairs):
     assert mixing.mix(df.limit(0), targets, marginals).collect() == []
 
 
+def test_sample_meets_the_marginals(spark):
+    pairs = [(i, "one two three four" + " five" * (i % 3)) for i in range(6000)]
+    df = rows_of(spark, pairs).withColumns(
+        {"source": F.when(F.col("doc_id") % 20 == 0, "rare").otherwise("web"), "lang": F.when(F.col("doc_id") % 7 == 0, "de").otherwise("en")}
+    )
+    targets = {"source": {"rare": 0.3}, "lang": {"de": 0.4}}
+    marginals = {"source": F.col("source"), "lang": F.col("lang")}
+    out = mixing.sample(df, targets, marginals)
+    assert out.columns == df.columns
+    wanted = {r.doc_id: r.copies for r in mixing.mix(df, targets, marginals).collect()}
+    assert max(wanted.values()) > 4
+    rows = out.select("doc_id", "source", "lang", "text").collect()
+    got: dict = {}
+    for r in rows:
+        got[r.doc_id] = got.get(r.doc_id, 0) + 1
+    assert got == {i: n for i, n in wanted.items() if n}
+    tokens = {i: len(t.split()) for i, t in pairs}
+    total = sum(tokens[r.doc_id] for r in rows)
+    assert total == pytest.approx(sum(tokens.values()), rel=0.02)
+    assert sum(tokens[r.doc_id] for r in rows if r.source == "rare") / total == pytest.approx(0.3, abs=0.01)
+    assert sum(tokens[r.doc_id] for r in rows if r.lang == "de") / total == pytest.approx(0.4, abs=0.01)
+
+
 def test_pipeline(spark, odd_pairs):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept = {}
