@@ -38,11 +38,17 @@ def topic(text: Column) -> Column:
     )
 
 
+#: Targets that add up to one but for rounding leave nothing over.
+NOTHING_LEFT = 1e-9
+
+
 def wanted_shares(cells: DataFrame, margin: str, targets: dict[str, float]) -> DataFrame:
     """(margin, want): the share of all tokens that each value of a marginal must get.
 
     Values that ``targets`` does not name share what it leaves over in
-    proportion to their tokens. Values that hold no tokens get nothing. The
+    proportion to their tokens. If it leaves nothing over, each keeps the share
+    it has, and the targets hold among the values named; a value is left out only by
+    a target of 0. Values that hold no tokens get nothing. The
     shares are then scaled to add up to one, which also spreads the targets of
     values that do not occur.
     """
@@ -51,10 +57,14 @@ def wanted_shares(cells: DataFrame, margin: str, targets: dict[str, float]) -> D
         target = F.when(F.col(margin) == value, F.lit(float(share))).otherwise(target)
     have = cells.groupBy(margin).agg(F.sum("tokens").alias("have")).filter("have > 0")
     have = have.withColumn("target", target)
-    free = have.filter("target IS NULL").agg(F.sum("have")).first()[0] or 1
-    rest = max(0.0, 1.0 - sum(targets.values()))
+    unnamed = F.when(F.col("target").isNull(), F.col("have"))
+    held, free, named = have.agg(F.sum("have"), F.sum(unnamed), F.sum("target")).first()
+    rest = 1.0 - sum(targets.values())
+    if rest <= NOTHING_LEFT and free:
+        # Once all is scaled to add up to one, the unnamed have free / held of it.
+        rest = named * free / (held - free) if named else 1.0
     have = have.withColumn(
-        "want", F.coalesce("target", F.lit(rest) * F.col("have") / F.lit(float(free)))
+        "want", F.coalesce("target", F.lit(rest) * F.col("have") / F.lit(float(free or 1)))
     )
     total = have.agg(F.sum("want")).first()[0] or 1.0
     return have.select(margin, (F.col("want") / F.lit(total)).alias("want"))

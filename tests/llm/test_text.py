@@ -186,6 +186,29 @@ def test_sample_meets_the_marginals(spark):
     assert sum(tokens[r.doc_id] for r in rows if r.lang == "de") / total == pytest.approx(0.4, abs=0.01)
 
 
+def test_unnamed_languages_keep_a_share(spark, tmp_path):
+    given = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    lang = F.when(F.col("doc_id") % 5 == 0, F.lit(None)).when(F.col("doc_id") % 5 == 1, F.lit("it")).otherwise(F.col("lang"))
+    docs = given.withColumn("lang", lang)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op1_source_mixing(spark, str(tmp_path)).toPandas()
+    other = found[~found.lang.isin(list(queries.TARGETS["lang"])) & (found.tokens > 0)]
+    assert set(other.lang) == {"(none)", "it"}
+    assert (other.probability > 0).all() and (other.weight > 0).all() and other.copies.sum() > 0
+    langs = corpus_pipeline.mixed(spark, docs, FOLDER).select("lang").distinct().collect()
+    assert {None, "it"} <= {r.lang for r in langs}
+
+
+def test_wanted_shares_with_nothing_left_over(spark):
+    cells = spark.createDataFrame([("en", 60), ("de", 20), ("it", 15), ("(none)", 5), ("x", 0)], "lang string, tokens long")
+    want = lambda targets: {r.lang: r.want for r in mixing.wanted_shares(cells, "lang", targets).collect()}
+    assert want({"en": 0.5, "de": 0.5}) == pytest.approx({"en": 0.4, "de": 0.4, "it": 0.15, "(none)": 0.05})
+    assert want({"en": 0.5, "de": 0.3, "fr": 0.2}) == pytest.approx({"en": 0.5, "de": 0.3, "it": 0.15, "(none)": 0.05})
+    assert want({"en": 1.0, "it": 0.0, "(none)": 0.0}) == pytest.approx({"en": 0.8, "de": 0.2, "it": 0, "(none)": 0})
+    assert want({"fr": 1.0, "en": 0.0, "de": 0.0}) == pytest.approx({"en": 0, "de": 0, "it": 0.75, "(none)": 0.25})
+    assert want({"en": 0.5, "de": 0.3}) == pytest.approx({"en": 0.5, "de": 0.3, "it": 0.15, "(none)": 0.05})
+
+
 def test_pipeline(spark, odd_pairs):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept = {}
