@@ -2,7 +2,8 @@
 
 A text is cut into sentences, each is normalised and looked up among known
 licence sentences, and the sequence of their identifiers is matched against
-ordered rules. All of it is one expression over the text: nothing is exploded,
+ordered rules. A known sentence may also run on over line feeds, colons and
+semicolons, as wrapped notices do. All of it is one expression over the text: nothing is exploded,
 shuffled or sent to Python.
 """
 
@@ -34,6 +35,9 @@ SENTENCES = {
     "the above copyright notice and this permission notice shall be included in all copies or "
     "substantial portions of the software": "mit_notice",
     "the software is provided as is without warranty of any kind": "no_warranty",
+    "the software is provided as is without warranty of any kind express or implied including but "
+    "not limited to the warranties of merchantability fitness for a particular purpose and "
+    "noninfringement": "no_warranty",
     "this work is licensed under the gnu general public license version 3": "gpl_3_named",
     "licensed under the gnu general public license version 3": "gpl_3_named",
     "licensed under the gnu general public license version 2": "gpl_2_named",
@@ -53,6 +57,9 @@ SENTENCES = {
     "redistributions in binary form must reproduce the above copyright notice this list of "
     "conditions and the following disclaimer in the documentation and or other materials provided "
     "with the distribution": "bsd_binary",
+    "neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written "
+    "permission": "bsd_no_endorsement",
     "licensed under cc by 4 0": "cc_by_4_named",
     "licensed under cc by sa 4 0": "cc_by_sa_4_named",
     "licensed under cc by nc 4 0": "cc_by_nc_4_named",
@@ -72,6 +79,7 @@ RULES = [
     ("MIT", ["mit_grant", "mit_notice"]),
     ("GPL-3.0-or-later", ["gpl_3_or_later_grant", "gpl_no_warranty"]),
     ("GPL-2.0-or-later", ["gpl_2_or_later_grant", "gpl_no_warranty"]),
+    ("BSD-3-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_no_endorsement"]),
     ("BSD-2-Clause", ["bsd_grant", "bsd_source", "bsd_binary"]),
     ("GPL-3.0-or-later", ["gpl_3_or_later_grant"]),
     ("GPL-2.0-or-later", ["gpl_2_or_later_grant"]),
@@ -88,7 +96,11 @@ RULES = [
 
 #: Where a sentence ends: a line's end, or a full stop, colon or like mark before white space.
 SENTENCE_END = "[.!?:;][ \\t\\r\\n]+|\\n+"
-#: A word that every known sentence holds one of; other sentences are not normalised.
+#: Where every sentence ends: a full stop or like mark before white space, or an empty line.
+HARD_END = "[.!?][ \\t\\r\\n]+|\\n[ \\t\\r]*\\n[ \\t\\r\\n]*"
+#: Where a sentence may end or run on.
+SOFT_END = "[:;][ \\t\\r\\n]+|\\n"
+#: A word that every known sentence holds one of; texts without are not normalised.
 HINT = "(?i)licen|permission|warranty|redistribut|rights"
 
 
@@ -98,13 +110,28 @@ def normalised(sentence: str) -> str:
 
 
 def sentence_ids(text: Column, sentences: dict[str, str]) -> Column:
-    """The identifiers of the text's known sentences, in order."""
+    """The identifiers of the text's known sentences, in order.
+
+    "~" stands for a soft end and "~~" for a hard one. A known sentence begins
+    and ends at either and may have soft ones between its words. Of several that
+    begin at one place the longest counts.
+    """
     known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    hinted = F.filter(F.split(text, SENTENCE_END), lambda s: s.rlike(HINT))
-    plain = F.transform(
-        hinted, lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
+    any_of = "|".join(
+        s.replace(" ", "[ ~]") for s in sorted(sentences, key=lambda s: (-len(s), s))
     )
-    return F.filter(F.transform(plain, lambda s: known[s]), lambda i: i.isNotNull())
+    plain = F.translate(F.lower(text), "~", " ")
+    for sought, put in (
+        (HARD_END, "~~"),
+        (SOFT_END, "~"),
+        ("[^a-z0-9~]+", " "),
+        (" ?~ ?", "~"),
+    ):
+        plain = F.regexp_replace(plain, sought, put)
+    marked = F.concat(F.lit("~"), F.trim(plain), F.lit("~"))
+    found = F.regexp_extract_all(marked, F.lit(f"~({any_of})(?=~)"), F.lit(1))
+    ids = F.transform(found, lambda s: known[F.translate(s, "~", " ")])
+    return F.when(text.rlike(HINT), ids).otherwise(F.array().cast("array<string>"))
 
 
 def scan(
@@ -116,7 +143,8 @@ def scan(
 ) -> DataFrame:
     """One row per input row: doc_id, n_sentences, sentence_ids, licences, n_unmatched.
 
-    Rules apply in their order; each takes every place where its sequence of
+    ``n_sentences`` counts the pieces between all ends (``SENTENCE_END``), so a wrapped sentence
+    counts once for each of its lines. Rules apply in their order; each takes every place where its sequence of
     identifiers stands unbroken by other known sentences, and what it took is
     gone for later rules. ``licences`` holds the licences found, sorted, each
     once, and is empty without any. ``n_unmatched`` counts known sentences that no

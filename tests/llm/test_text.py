@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import textwrap
 import zlib
 
 import numpy as np
@@ -51,6 +52,51 @@ def test_licences(spark, odd_pairs):
         licences.scan(df, sentences={"Not Normal license": "x"})
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE."""
+BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD_3 = BSD_2 + """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."""
+GPL = """This program is free software{0} you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation{1} either version {2} of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details."""
+NOTICES = [
+    ("MIT", MIT, 3),
+    ("BSD-2-Clause", BSD_2, 3),
+    ("BSD-3-Clause", BSD_3, 4),
+    ("GPL-3.0-or-later", GPL.format(":", ",", 3), 2),
+    ("GPL-2.0-or-later", GPL.format(";", ";", 2), 2),
+]
+
+
+def test_verbatim_notices_as_they_are_wrapped(spark):
+    def wrapped(text, width, before):
+        lines = [line for block in text.split("\n\n") for line in [*textwrap.wrap(block, width), ""]]
+        return "\n".join(before + line for line in lines)
+
+    cases = [(name, f"Some words.\n\n{wrapped(text, width, before)}\nint main;", n)
+             for name, text, n in NOTICES for width in (40, 72, 80, 10_000) for before in ("", "# ", " * ")]
+    df = rows_of(spark, [(i, text) for i, (_, text, _) in enumerate(cases)])
+    found = {r.doc_id: r for r in licences.scan(df).collect()}
+    for i, (name, _, n) in enumerate(cases):
+        r = found[i]
+        assert (r.licences, len(r.sentence_ids), r.n_unmatched) == ([name], n, 0), cases[i]
+
+
+def test_a_sentence_does_not_run_on_over_hard_ends(spark):
+    texts = ["Released under the\n\nMIT License", "Released under the. MIT License", "Released under the~MIT License", "Released under the MIT License, or not", "He released under the\nMIT License"]
+    found = licences.scan(rows_of(spark, list(enumerate(texts)))).collect()
+    assert sorted(r.doc_id for r in found if r.licences) == [2]
+
+
 def test_rules_keep_their_order():
     assert all(i in licences.SENTENCES.values() for _, ids in licences.RULES for i in ids)
     for k, (_, ids) in enumerate(licences.RULES):
