@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of ``docs``. The result of each is written to the shared
 folder and read again, so a lost executor costs one stage's tasks at most.
 
-Nulls, empty texts and repeated rows are handled as each operator states. A row
-without a doc_id passes the near-duplicate stage, which names rows by their id.
+Nulls, empty texts and repeated rows are handled as each operator states. The
+near-duplicate stage names rows by doc_id and text, so either may repeat.
 An empty table gives no rows; other columns are passed on up to the last stage.
 """
 
@@ -32,9 +32,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id."""
-    found = simhash.near_duplicates(docs, words=4, max_bits=4)
-    others = found.filter("doc_id <> component_id").select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    return simhash.without_near_duplicates(docs, words=4, max_bits=4)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import groups, partitions, saved, slices, texts
+from freightlens.llm.common import groups, importable, partitions, saved, slices, texts
 from freightlens.llm.components import components
+from freightlens.llm.exact_dedup import _row_key
 
 SEED = 42
 SEGMENT, SEGMENTS = 2, 32  # bits of a segment, segments of a fingerprint
@@ -56,19 +57,31 @@ def fingerprint(text: bytes, words: int = 4) -> int:
 
 
 def fingerprints(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 4,
+    more: str | None = None,
 ) -> DataFrame:
-    """(doc_id, fp) of every row; fp is the fingerprint as a signed 64-bit integer."""
-    docs = texts(df, id_col, text_col).withColumn("text", F.col("text").cast("binary"))
+    """(doc_id, fp) of every row; fp is the fingerprint as a signed 64-bit integer.
+
+    ``more`` names a column of strings to pass on.
+    """
+    docs = texts(df, id_col, text_col) if more is None else df.select("doc_id", "text", more)
+    docs = docs.withColumn("text", F.col("text").cast("binary"))
+    passed = [] if more is None else [more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 found = [fingerprint(t, words) for t in part.column("text").to_pylist()]
                 fp = pa.array(np.array(found, np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), fp], ["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), fp, *map(part.column, passed)],
+                    ["doc_id", "fp", *passed],
+                )
 
-    return docs.mapInArrow(run, "doc_id long, fp long")
+    return docs.mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{c} string" for c in passed)]))
 
 
 def popcounts(fps: np.ndarray) -> np.ndarray:
@@ -203,12 +216,47 @@ def near_duplicates(
     """
     rows = saved(fingerprints(df, id_col, text_col, words), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    roots = components(links(nodes, max_bits))
-    grouped = nodes.join(roots, nodes.fp == roots.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
+    grouped = _rooted(nodes, max_bits)
     smallest = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = grouped.join(smallest, "root").select("fp", "component_id")
     return rows.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def _rooted(nodes: DataFrame, max_bits: int) -> DataFrame:
+    """The distinct fingerprints (column fp) with ``root``, the same for all of a group."""
+    roots = components(links(nodes, max_bits))
+    return nodes.join(roots, nodes.fp == roots.node, "left").select(
+        *nodes.columns, F.coalesce("root", "fp").alias("root")
+    )
+
+
+def without_near_duplicates(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 4,
+    max_bits: int = 4,
+) -> DataFrame:
+    """The rows, with all their columns, that stay: exactly one of each group.
+
+    It is the one with the smallest doc_id, and of rows that repeat it the one with the
+    smallest digest of its text. A row is known by both, so rows of other groups
+    that repeat its doc_id stay or go by themselves. A null doc_id stays only if its
+    group has no other.
+    """
+    importable(df.sparkSession)
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    key = _row_key(F.col(f"`{id_col}`").cast("long"), F.sha2(F.encode(text, "UTF-8"), 256))
+    keyed = df.withColumn("__kept", key)
+    named = keyed.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.col("__kept").alias("key")
+    )
+    rows = saved(fingerprints(named, words=words, more="key"), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    nodes = rows.groupBy("fp").agg(first.alias("first"))
+    stay = _rooted(nodes, max_bits).groupBy("root").agg(F.min("first").alias("first"))
+    stay = stay.select(F.col("first.key").alias("__kept"))
+    # The join leaves the rows where dropDuplicates needs them.
+    return keyed.join(stay, "__kept", "left_semi").dropDuplicates(["__kept"]).drop("__kept")

@@ -255,6 +255,18 @@ def test_wanted_shares_with_nothing_left_over(spark):
     assert want({"en": 0.5, "de": 0.3}) == pytest.approx({"en": 0.5, "de": 0.3, "it": 0.15, "(none)": 0.05})
 
 
+def test_near_keeps_one_row_of_each_group(spark):
+    a, b = (" ".join(f"{p}{i}" for i in range(300)) for p in "xy")
+    alone = " ".join(f"z{i}" for i in range(300))
+    pairs = [(1, a), (7, a + " more"), (7, alone), (3, b), (3, b + " more"), (3, b), (None, b + " again"),
+             (None, "one text of few words"), (None, "One text of few words")]
+    found = corpus_pipeline.near(spark, rows_of(spark, pairs), FOLDER)
+    assert found.columns == rows_of(spark, []).columns
+    got = [(r.doc_id, r.text) for r in found.collect()]
+    assert sorted((i or 0, t[0].lower()) for i, t in got) == [(0, "o"), (1, "x"), (3, "y"), (7, "z")]
+    assert (7, alone) in got
+
+
 def test_pipeline(spark, odd_pairs):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     kept = {}
