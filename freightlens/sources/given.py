@@ -134,7 +134,7 @@ class GivenTables:
         seller = F.when(F.expr("l_orderkey % 3 = 0"), F.col("l_suppkey")).otherwise(by_order)
         columns = {
             "order_id": F.col("l_orderkey"),
-            "order_item_id": F.col("order_item_id"),
+            "order_item_id": F.col("order_item_id").cast("int"),
             "product_id": F.col("l_partkey"),
             "seller_id": seller,
             "shipping_limit_date": F.expr(_plus("purchase", "DAY", "3 + l_linenumber")),
