@@ -53,6 +53,60 @@ FROM t LEFT JOIN d USING (doc_id)
 """
 
 
+_SIZED = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+_LEAF = "sha256(" + " || ".join(_SIZED.format(f) for f in ("doc_id", "source", "lang", "{0}", "text")) + ")"
+#: CRC-32 of the decimal doc_id, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+      list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i::INTEGER, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, zero: xor(x >> 1, 3988292384::BIGINT * (x & 1)))))"""
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT doc_id, lang, {_LEAF.format("n_chars")} AS leaf,
+         {_LEAF.format(f"(n_chars + CASE WHEN {_CRC32} % 7 = 0 THEN 1 ELSE 0 END)")} AS shown
+  FROM documents),
+placed AS MATERIALIZED (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         row_number() OVER () AS rn
+  FROM leaves),
+tree(g, level, pos, h) AS (
+  SELECT g, 0, pos, leaf FROM placed
+  UNION ALL
+  SELECT g, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY g) AS nodes FROM tree) WHERE nodes > 1
+  GROUP BY g, level, pos // 2),
+subroots AS MATERIALIZED (
+  SELECT g, max(level) AS height, arg_max(h, level) AS subroot FROM tree GROUP BY g),
+top(level, pos, h) AS (
+  SELECT 0, g, subroot FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS nodes FROM top) WHERE nodes > 1
+  GROUP BY level, pos // 2),
+root AS (SELECT max(level) AS height, arg_max(h, level) AS root FROM top),
+steps AS MATERIALIZED (
+  SELECT p.rn, t.level, t.pos < (p.pos >> t.level) AS is_left, t.h
+  FROM placed p JOIN subroots s USING (g) JOIN tree t
+    ON t.g = p.g AND t.level < s.height AND t.pos = xor(p.pos >> t.level, 1)
+  UNION ALL
+  SELECT p.rn, s.height + t.level, t.pos < (p.g >> t.level), t.h
+  FROM placed p JOIN subroots s USING (g) CROSS JOIN root r JOIN top t
+    ON t.level < r.height AND t.pos = xor(p.g >> t.level, 1)),
+folded(rn, level, last, h) AS (
+  SELECT p.rn, 0, s.height + r.height, p.shown FROM placed p JOIN subroots s USING (g) CROSS JOIN root r
+  UNION ALL
+  SELECT f.rn, f.level + 1, f.last, sha256(CASE WHEN x.h IS NULL THEN f.h WHEN x.is_left THEN x.h || f.h ELSE f.h || x.h END)
+  FROM folded f LEFT JOIN steps x ON x.rn = f.rn AND x.level = f.level WHERE f.level < f.last),
+proofs AS (SELECT rn, sha256(string_agg(h, '' ORDER BY level)) AS proof_sha256 FROM steps GROUP BY rn)
+SELECT p.doc_id, p.leaf, s.subroot, r.root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256,
+       f.h AS folded_root, f.h = r.root AS verified
+FROM placed p JOIN subroots s USING (g) CROSS JOIN root r
+JOIN folded f ON f.rn = p.rn AND f.level = f.last LEFT JOIN proofs q ON q.rn = p.rn
+"""
+
+
 def _quoted(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
@@ -147,4 +201,5 @@ ORACLES = {
     "op5_licence_scan": _licences(),
     "op9_backoff_lm": BACKOFF,
     "op10_exact_dedup": EXACT_DEDUP,
+    "op13_merkle_manifest": MERKLE,
 }

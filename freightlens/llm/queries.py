@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, licences, mixing, multi_index, nbsvm
-from freightlens.llm import simhash, suffix_dedup, token_store
+from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, licences, merkle, mixing, multi_index
+from freightlens.llm import nbsvm, simhash, suffix_dedup, token_store
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -99,6 +99,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="largest")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, and what becomes of its proofs where a seventh of the rows is tampered with."""
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    n_chars = F.when(struck, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    found = merkle.manifest(documents(spark, sf_dir), tampered={"n_chars": n_chars})
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2("proof", 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -112,5 +128,6 @@ QUERIES = {
         op8_simhash,
         op9_backoff_lm,
         op10_exact_dedup,
+        op13_merkle_manifest,
     )
 }
