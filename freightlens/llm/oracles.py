@@ -53,6 +53,28 @@ FROM t LEFT JOIN d USING (doc_id)
 """
 
 
+HARD_NEGATIVES = """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS whole
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         list_inner_product(a.whole, b.whole)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 _SIZED = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
 _LEAF = "sha256(" + " || ".join(_SIZED.format(f) for f in ("doc_id", "source", "lang", "{0}", "text")) + ")"
 #: CRC-32 of the decimal doc_id, bit by bit.
@@ -201,5 +223,6 @@ ORACLES = {
     "op5_licence_scan": _licences(),
     "op9_backoff_lm": BACKOFF,
     "op10_exact_dedup": EXACT_DEDUP,
+    "op11_hard_negatives": HARD_NEGATIVES,
     "op13_merkle_manifest": MERKLE,
 }

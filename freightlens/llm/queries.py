@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, licences, merkle, mixing, multi_index
-from freightlens.llm import nbsvm, simhash, suffix_dedup, token_store
+from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, hard_negatives, licences, merkle
+from freightlens.llm import mixing, multi_index, nbsvm, simhash, suffix_dedup, token_store
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -99,6 +99,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir), keep="largest")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each fiftieth vector, with a seventh of the labels moved on by one."""
+    moved = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return hard_negatives.mine(vectors, anchor=F.expr("vec_id % 50 = 0"), label=moved)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest, and what becomes of its proofs where a seventh of the rows is tampered with."""
     struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -128,6 +135,7 @@ QUERIES = {
         op8_simhash,
         op9_backoff_lm,
         op10_exact_dedup,
+        op11_hard_negatives,
         op13_merkle_manifest,
     )
 }
