@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, hard_negatives, licences, merkle
-from freightlens.llm import mixing, multi_index, nbsvm, simhash, suffix_dedup, token_store
+from freightlens.llm import backoff_lm, byte_bpe, exact_dedup, hard_negatives, html_main
+from freightlens.llm import licences, merkle, mixing, multi_index, nbsvm, simhash, suffix_dedup
+from freightlens.llm import token_store
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -106,6 +107,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors, anchor=F.expr("vec_id % 50 = 0"), label=moved)
 
 
+def op12_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by a model learnt from some of them."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_main.extract(pages, html_main.train(pages))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The manifest, and what becomes of its proofs where a seventh of the rows is tampered with."""
     struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -136,6 +143,7 @@ QUERIES = {
         op9_backoff_lm,
         op10_exact_dedup,
         op11_hard_negatives,
+        op12_html_main_text,
         op13_merkle_manifest,
     )
 }
