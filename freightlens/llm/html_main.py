@@ -61,7 +61,7 @@ def boosted(
     """Gradient boosting for the log loss: trees of one depth, on histograms of each feature's quantiles."""
     n, width = x.shape
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS)[1:-1], method="lower")) for f in range(width)]
-    binned = np.stack([np.searchsorted(e, x[:, f]) for f, e in enumerate(edges)]) if n else np.zeros((width, 0), int)
+    binned = np.stack([np.searchsorted(e, x[:, f]) for f, e in enumerate(edges)])
     share = (y.sum() + 1) / (n + 2)
     base = float(np.log(share / (1 - share)))
     margin = np.full(n, base)
@@ -257,7 +257,8 @@ class Model:
 def fitted(pages: Sequence[Page]) -> Model:
     """The model learnt from pages whose main text is marked."""
     if not pages:
-        return Model({}, boosted(np.zeros((0, 1)), np.zeros(0)))
+        none = np.zeros((0, 1))
+        return Model({}, Trees(none, none, none, base=-1.0))
     weights = token_weights(pages)
     x = features(pages, Forest.of(pages), weights)
     y = np.array([good for page in pages for good in truth(page)], float)
@@ -273,18 +274,22 @@ def train(
 ) -> Model:
     """A model learnt from the ``most_pages`` pages with the lowest hash of their id.
 
-    The bound is on rows after the choice, so repeated ids do not raise it. The texts of
-    each are laid out ``layouts`` times anew (see page_samples.py). One task
+    Repeated rows count as one. The texts of each are laid out ``layouts`` times anew (see page_samples.py). One task
     learns from this bounded sample, and only the model reaches the driver. Null
     and empty pages are not chosen; without any page, a model that accepts nothing.
     """
     importable(df.sparkSession)
     html = F.col(f"`{html_col}`").cast("string")
+    # Only about four times the pages that are wanted leave their partitions.
+    last = -(2**63) + int(2**64 * min(1.0, 4 * most_pages / max(1, df.count()))) - 1
     chosen = (
         df.select(F.col(f"`{id_col}`").cast("string").alias("id"), html.alias("html"))
         .filter("html IS NOT NULL AND length(html) > 0")
         .select(F.xxhash64("id", F.xxhash64("html")).alias("place"), "html")
-        .orderBy("place", "html")
+        .filter(F.col("place") <= last)
+        .groupBy("place")
+        .agg(F.max("html").alias("html"))
+        .orderBy("place")
         .limit(most_pages)
     )
 
