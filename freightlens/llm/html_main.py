@@ -274,19 +274,22 @@ def train(
 ) -> Model:
     """A model learnt from the ``most_pages`` pages with the lowest hash of their id.
 
-    Repeated rows count as one. The texts of each are laid out ``layouts`` times anew (see page_samples.py). One task
+    Of rows with one id, one page counts; pages without an id go by their own hash. The texts of each are laid out ``layouts`` times anew (see page_samples.py). One task
     learns from this bounded sample, and only the model reaches the driver. Null
     and empty pages are not chosen; without any page, a model that accepts nothing.
     """
     importable(df.sparkSession)
     html = F.col(f"`{html_col}`").cast("string")
-    # Only about four times the pages that are wanted leave their partitions.
-    last = -(2**63) + int(2**64 * min(1.0, 4 * most_pages / max(1, df.count()))) - 1
-    chosen = (
+    placed = (
         df.select(F.col(f"`{id_col}`").cast("string").alias("id"), html.alias("html"))
         .filter("html IS NOT NULL AND length(html) > 0")
-        .select(F.xxhash64("id", F.xxhash64("html")).alias("place"), "html")
-        .filter(F.col("place") <= last)
+        .select(F.expr("if(id IS NULL, xxhash64(html), xxhash64(id))").alias("place"), "html")
+    )
+    # Only about four times the pages that are wanted leave their partitions.
+    pages = placed.agg(F.approx_count_distinct("place")).first()[0]
+    last = -(2**63) + int(2**64 * min(1.0, 4 * most_pages / max(1, pages))) - 1
+    chosen = (
+        placed.filter(F.col("place") <= last)
         .groupBy("place")
         .agg(F.max("html").alias("html"))
         .orderBy("place")
