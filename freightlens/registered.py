@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightlens.functions.aggregates import distinct_rows
+from freightlens.functions.keys import KEY_SEP, NULL_SENTINEL, canonical_key
 from freightlens.functions.status import STATUS_LABELS
 from freightlens.operators import quality, reconcile
 from freightlens.plans import core, explore, intermediate, views
@@ -21,7 +22,13 @@ from freightlens.sources.catalog import time_columns
 from freightlens.sources.csv_scan import scan_folder
 from freightlens.sources.given import GivenTables
 from freightlens.sources.registry import REGISTRY
-from freightlens.streaming.landing_stream import file_stream, land_stream
+from freightlens.streaming.landing_stream import (
+    file_stream,
+    land_stream,
+    land_stream_keyed,
+    land_stream_within,
+    state_session,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -824,6 +831,112 @@ def incremental_late_copies(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+@query
+def incremental_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads into a target with a key index: most events, three of the rest, then all of them later."""
+    events = _events(spark, folder)
+    target = f"{new_run_dir(spark, 'indexed')}/events"
+    later = events.withColumn("ts", F.expr("ts + INTERVAL 30 DAYS"))
+    few = events.filter("event_id IN (0, 10, 20)")
+    for batch in (events.filter("event_id % 10 > 0"), few, later):
+        incremental.append_new_indexed(batch, target, ["event_id"], "ts")
+    return incremental.read_indexed(spark, target)
+
+
+@query
+def incremental_indexed_two_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """``incremental_two_loads`` into a target with a key index."""
+    events = _events(spark, folder)
+    base = new_run_dir(spark, "indexed-loads")
+    target, state = f"{base}/events", f"{base}/state"
+    for end in (F.lit(EVENTS_UNTIL).cast("timestamp_ntz"), None):
+        incremental.load_increment(
+            events, "events", target, state, ["event_id"], "ts", end,
+            append=incremental.append_new_indexed,
+        )
+    return incremental.read_indexed(spark, target)
+
+
+@query
+def incremental_falling(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads that work their way back; the rows they landed and the marks they stored."""
+    events = _events(spark, folder)
+    base = new_run_dir(spark, "falling")
+    target, state = f"{base}/events", f"{base}/state"
+    ends = [F.lit(x).cast("timestamp_ntz") for x in (EVENTS_UNTIL, EVENTS_SINCE)]
+    marks = []
+    for end in (*ends, None):
+        marks.append(
+            incremental.load_increment(
+                events, "events", target, state, ["event_id"], "ts", end, newest=False
+            )
+        )
+    # A row's load is the first whose mark does not lie above it.
+    load = sum(F.when(F.col("ts") < F.lit(m), 1).otherwise(0) for m in marks) + 1
+    return spark.read.parquet(target).select("event_id", "ts", load.cast("int").alias("load"))
+
+
+@query
+def load_dispositions(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads of events, with options of the loader, in each way of writing."""
+    events = _events(spark, folder)
+    base = new_run_dir(spark, "loads")
+    found = []
+    for how in landing.DISPOSITIONS:
+        for at_least in (0, 300):
+            landing.load(
+                events.filter(F.col("event_id") % 1000 >= at_least),
+                f"{base}/{how}",
+                how,
+                where=[("event_type", "!=", "error")],
+                columns=["user_id"],
+                key=["event_id"],
+            )
+        landed = spark.read.parquet(f"{base}/{how}")
+        found.append(
+            landed.groupBy(F.lit(how).alias("disposition"), F.expr("event_id % 7").alias("part")).agg(
+                F.count("*").alias("rows"), F.sum(F.expr("event_id + user_id")).alias("total")
+            )
+        )
+    return reduce(DataFrame.unionAll, found)
+
+
+@query
+def filter_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Which conditions of a user's own the cursor's leave room for, and what then passes (I-12)."""
+    events = _events(spark, folder)
+    mark, end = (F.lit(x).cast("timestamp_ntz") for x in (EVENTS_SINCE, EVENTS_UNTIL))
+    cursors = {
+        "none yet": incremental.Cursor("ts"),
+        "rising": incremental.Cursor("ts", last=mark, end=end),
+        "falling": incremental.Cursor("ts", last=end, newest=False),
+    }
+    found = []
+    for name, cursor in cursors.items():
+        for op in ("<", "<=", ">", ">=", "!="):
+            said = F.lit(name).alias("cursor"), F.lit(op).alias("operator")
+            try:
+                rows = incremental.filtered(events, [("ts", op, end)], cursor)
+                passed = rows.agg(F.count("*").alias("rows"))
+            except ValueError:
+                passed = spark.range(1).select(F.lit(None).cast("long").alias("rows"))
+            found.append(passed.select(*said, F.col("rows").isNull().alias("conflict"), "rows"))
+    return reduce(DataFrame.unionAll, found)
+
+
+@query
+def canonical_float_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys with floating, null and NaN parts as text (F-23); separators made visible."""
+    lines = GivenTables(spark, folder).given("lineitem").select(
+        F.expr("if(l_orderkey % 11 = 0, double('NaN'), l_quantity)").alias("quantity"),
+        F.expr("if(l_orderkey % 13 = 0, NULL, l_linenumber)").alias("line"),
+        F.expr("CAST(l_suppkey AS FLOAT) + if(l_orderkey % 4 = 0, 0.5, 0)").alias("place"),
+    )
+    key = canonical_key(lines, ["quantity", "line", "place"])
+    visible = F.replace(F.replace(key, F.lit(NULL_SENTINEL), F.lit("<null>")), F.lit(KEY_SEP), F.lit("|"))
+    return lines.groupBy(visible.alias("key")).agg(F.count("*").alias("rows"))
+
+
 @query
 def dispositions(spark: SparkSession, folder: str) -> DataFrame:
     """Rows after two loads with each way of writing (I-13)."""
@@ -851,6 +964,46 @@ def stream_dedup_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+@query
+def stream_state_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Two starts from one checkpoint; the second delivers all events again, with what is new.
+
+    The keys are in the state store, so what has landed is not read.
+    """
+    events = _events(spark, folder)
+    base = new_run_dir(spark, "stream-state")
+    source, target = f"{base}/source", f"{base}/events"
+    own = state_session(spark)
+    for batch in (events.filter("event_id % 3 > 0"), events):
+        batch.write.mode("append").parquet(source)
+        stream = file_stream(own, source, events.schema)
+        land_stream_keyed(stream, target, f"{base}/checkpoint", ["event_id"]).awaitTermination()
+    return spark.read.parquet(target)
+
+
+@query
+def stream_within(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys remembered for ten days: two starts, copies in both, and rows that break the promise.
+
+    The first start brings what happened before ``EVENTS_UNTIL``, but for each
+    eleventh event. The second brings everything; of the held back events only those land that
+    are no more than ten days older than the latest of the first start.
+    """
+    events = _events(spark, folder)
+    base = new_run_dir(spark, "stream-within")
+    source, target = f"{base}/source", f"{base}/events"
+    own = state_session(spark)
+    until = F.lit(EVENTS_UNTIL).cast("timestamp_ntz")
+    first = events.filter(F.col("ts") < until).filter("event_id % 11 > 0")
+    for batch in (first.unionAll(first), events):
+        batch.write.mode("append").parquet(source)
+        stream = file_stream(own, source, events.schema)
+        land_stream_within(
+            stream, target, f"{base}/checkpoint", ["event_id"], "ts", "10 days"
+        ).awaitTermination()
+    return spark.read.parquet(target)
+
+
 @query
 def materialised_fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     """The fact as a table by order month, read back at order grain (I-14, P-6)."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import operator
 import warnings
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -169,10 +169,101 @@ def append_new(
     fresh.write.mode("append").parquet(target_dir)
 
 
-def read_mark(spark: SparkSession, state_dir: str, table: str) -> Any:
+#: Buckets of a new indexed target. An existing one keeps the number it was made with.
+BUCKETS = 64
+#: Up to so many keys are sought one by one, with the files' Bloom filters.
+FEW_KEYS = 10
+_BUCKET = "_bucket_of_"
+
+
+def _bucket_column(df: DataFrame) -> str:
+    """The column that names the bucket; its name says how many there are."""
+    found = [c for c in df.columns if c.startswith(_BUCKET)]
+    if not found:
+        raise ValueError("the target has no key index")
+    return found[0]
+
+
+def _in_bucket(df: DataFrame, key: Sequence[str], name: str) -> DataFrame:
+    n = int(name.removeprefix(_BUCKET))
+    return df.withColumn(name, F.pmod(F.xxhash64(*key), F.lit(n)).cast("int"))
+
+
+def read_indexed(spark: SparkSession, target_dir: str) -> DataFrame:
+    """An indexed target without its bucket column."""
+    landed = spark.read.parquet(target_dir)
+    return landed.drop(_bucket_column(landed))
+
+
+def new_to_indexed(
+    batch: DataFrame, target_dir: str, key: Sequence[str], cursor: str | None = None
+) -> tuple[DataFrame, str]:
+    """The batch's rows whose key the indexed target lacks, and the name of its bucket column.
+
+    One pass over the batch's keys finds the buckets they fall into, their range,
+    and, if they are very few, the keys themselves: a bounded number of values. They become
+    filters on the target: buckets that the batch does not touch are not listed,
+    row groups outside the range are skipped by their statistics, and those without any of a few
+    keys by their Bloom filters. Only the keys of what remains are read.
+    """
+    spark = batch.sparkSession
+    fresh = latest_per_key(batch, key, cursor)
+    try:
+        landed = spark.read.parquet(target_dir)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        name = f"{_BUCKET}{BUCKETS}"
+        return _in_bucket(fresh, key, name), name
+    name = _bucket_column(landed)
+    fresh = _in_bucket(fresh, key, name)
+    first = key[0]
+    asked = _in_bucket(batch.select(*key), key, name)
+    seen = asked.agg(
+        F.collect_set(name).alias("buckets"),
+        F.min(first).alias("low"),
+        F.max(first).alias("high"),
+        F.approx_count_distinct(first).alias("keys"),
+        F.count_if(F.col(first).isNull()).alias("nulls"),
+    ).first()
+    landed = landed.filter(F.col(name).isin(seen["buckets"]))
+    wanted = F.col(first).between(F.lit(seen["low"]), F.lit(seen["high"]))
+    if seen["keys"] <= FEW_KEYS:
+        few = asked.select(first).distinct().limit(FEW_KEYS + 1).collect()
+        if len(few) <= FEW_KEYS:
+            wanted = F.col(first).isin([r[0] for r in few if r[0] is not None])
+    if seen["nulls"]:
+        wanted = wanted | F.col(first).isNull()
+    landed = landed.filter(wanted)
+    keys = landed.select(name, *[F.col(k).alias(f"_landed_{k}") for k in key])
+    same = [fresh[name] == keys[name]]
+    same += [F.col(k).eqNullSafe(F.col(f"_landed_{k}")) for k in key]
+    return fresh.join(keys, same, "left_anti"), name
+
+
+def append_new_indexed(
+    batch: DataFrame, target_dir: str, key: Sequence[str], cursor: str | None = None
+) -> None:
+    """``append_new`` for a target that is laid out in hash buckets of its key.
+
+    A load reads the keys of the buckets that its batch touches, not of the whole target
+    (see ``new_to_indexed``). Each bucket is written by one task, sorted by the key, with
+    Bloom filters on the key columns.
+    """
+    fresh, name = new_to_indexed(batch, target_dir, key, cursor)
+    writer = fresh.repartition(name).sortWithinPartitions(name, *key).write
+    # As large as each file's keys need.
+    writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+    for k in key:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{k}", "true")
+    writer.mode("append").partitionBy(name).parquet(target_dir)
+
+
+def read_mark(spark: SparkSession, state_dir: str, table: str, newest: bool = True) -> Any:
     """The furthest stored mark of a table, or None before the first load.
 
-    Not the last stored one, which a clock that was set back would mistake.
+    Not the last stored one, which a clock that was set back would mistake. With
+    ``newest`` false the marks fall, and the furthest is the lowest.
     """
     try:
         state = spark.read.parquet(f"{state_dir}/{table}")
@@ -180,7 +271,8 @@ def read_mark(spark: SparkSession, state_dir: str, table: str) -> Any:
         if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
-    return state.agg(F.max("mark").alias("mark")).first()["mark"]
+    furthest = F.max("mark") if newest else F.min("mark")
+    return state.agg(furthest.alias("mark")).first()["mark"]
 
 
 def load_increment(
@@ -191,22 +283,29 @@ def load_increment(
     key: Sequence[str],
     cursor: str,
     end: Any = None,
+    newest: bool = True,
+    append: Callable[[DataFrame, str, Sequence[str], str], None] = append_new,
 ) -> Any:
-    """Append what arrived since the stored mark, then store the new mark (I-8).
+    """Append what lies beyond the stored mark, then store the new mark (I-8).
 
     Data first, mark second: a run lost in between is repeated from the old
-    mark and appends nothing twice.
+    mark and appends nothing twice. With ``newest`` false the load works its way
+    back: the mark is the lowest value so far, rows at or below it are loaded, and
+    ``end`` is the value above which they must stay. ``append`` may be ``append_new_indexed``.
     """
     spark = source.sparkSession
-    last = read_mark(spark, state_dir, table)
-    batch = filtered(source, cursor=Cursor(cursor, last=last, end=end))
+    last = read_mark(spark, state_dir, table, newest)
+    batch = filtered(source, cursor=Cursor(cursor, last=last, end=end, newest=newest))
     if last is None and end is not None:
-        batch = batch.filter(F.col(cursor) < end)
-    append_new(batch, target_dir, key, cursor)
+        batch = batch.filter(F.col(cursor) < end if newest else F.col(cursor) > end)
+    append(batch, target_dir, key, cursor)
     # From what has landed, not from the source, which may have grown meanwhile.
-    landed = filtered(spark.read.parquet(target_dir), cursor=Cursor(cursor, last=last))
-    mark = landed.agg(F.max(cursor).alias("mark")).filter("mark IS NOT NULL")
+    landed = filtered(
+        spark.read.parquet(target_dir), cursor=Cursor(cursor, last=last, newest=newest)
+    )
+    furthest = F.max(cursor) if newest else F.min(cursor)
+    mark = landed.agg(furthest.alias("mark")).filter("mark IS NOT NULL")
     mark.select("mark", F.current_timestamp().alias("loaded_at")).write.mode("append").parquet(
         f"{state_dir}/{table}"
     )
-    return read_mark(spark, state_dir, table)
+    return read_mark(spark, state_dir, table, newest)

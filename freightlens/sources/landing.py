@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freightlens.sources.incremental import append_new
+from freightlens.sources.incremental import Condition, Cursor, append_new, append_new_indexed, load_table
 from freightlens.sources.registry import REGISTRY
 
 
@@ -39,25 +39,40 @@ def normalise(df: DataFrame) -> DataFrame:
     return df.select([_normal_value(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
 
 
-#: Ways to write a table: in place of what is there, behind it, or its new keys behind it.
-DISPOSITIONS = ("replace", "append", "merge")
+#: Ways to write a table: in place of what is there, behind it, or its new keys behind it,
+#: also into a target with a key index.
+DISPOSITIONS = ("replace", "append", "merge", "merge_indexed")
 
 
 def write(
     df: DataFrame, path: str, disposition: str = "replace", key: Sequence[str] = ()
 ) -> None:
-    """Write a table in one of the ``DISPOSITIONS`` (I-13); ``merge`` keeps rows that have landed."""
+    """Write a table in one of the ``DISPOSITIONS`` (I-13); the merges keep rows that have landed."""
     if disposition not in DISPOSITIONS:
         raise ValueError(f"unknown disposition {disposition!r}")
-    if disposition == "merge":
+    if disposition.startswith("merge"):
         if not key:
             raise ValueError("merge needs a key")
-        append_new(df, path, key)
+        (append_new if disposition == "merge" else append_new_indexed)(df, path, key)
     else:
         mode = "overwrite" if disposition == "replace" else "append"
         df.write.mode(mode).parquet(path)
 
 
+def load(
+    source: DataFrame,
+    path: str,
+    disposition: str = "replace",
+    where: Sequence[Condition] = (),
+    columns: Iterable[str] | Mapping[str, int] | None = None,
+    limit: int | None = None,
+    cursor: Cursor | None = None,
+    key: Sequence[str] = (),
+) -> None:
+    """Load one table with every load option (I-6) and write it in one of the ``DISPOSITIONS`` (I-13)."""
+    write(load_table(source, where, columns, limit, cursor, key), path, disposition, key)
+
+
 def land(tables: Mapping[str, DataFrame], zone_dir: str) -> dict[str, int]:
     """Replace each table in a zone and return its row count (I-3).
 

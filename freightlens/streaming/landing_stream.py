@@ -47,6 +47,50 @@ def land_stream(
     )
 
 
+#: Provider of the state of streams: on local disk, with changes kept in the checkpoint.
+STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` whose streams keep their state in RocksDB; the caller's stays as it is.
+
+    A stream belongs to the session that made it, so read it with this one.
+    """
+    own = spark.newSession()
+    for name, value in {**spark.conf.getAll, **STATE_ON_DISK}.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return own
+
+
+def land_stream_keyed(
+    stream: DataFrame, target_dir: str, checkpoint_dir: str, key: Sequence[str]
+) -> StreamingQuery:
+    """Append each key once, however late or often it arrives, without reading what has landed.
+
+    All keys that ever came are in the state store, spread over the shuffle
+    partitions by their hash; a micro-batch looks up its own keys and touches no
+    others. The state grows with the keys, so ``stream`` should come from a
+    ``state_session``, which keeps it on disk. Null keys count as equal. Of rows that share a key
+    the first to arrive lands; within one micro-batch any of them may be first.
+    The file sink lists each micro-batch once, so a repeated one lands nothing twice.
+    """
+    return (
+        stream.dropDuplicates([*key])
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", target_dir)
+        .option("checkpointLocation", checkpoint_dir)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def land_stream_within(
     stream: DataFrame,
     target_dir: str,

@@ -851,10 +851,44 @@ ORACLES["incremental_two_loads"] = "SELECT * FROM events"
 ORACLES["incremental_late_copies"] = """SELECT * REPLACE (
     CASE WHEN event_id % 10 > 0 THEN ts
          WHEN event_id % 2 = 0 THEN ts + INTERVAL 30 DAY END AS ts) FROM events"""
+ORACLES["incremental_indexed"] = """SELECT * REPLACE (
+    CASE WHEN event_id % 10 > 0 OR event_id IN (0, 10, 20) THEN ts ELSE ts + INTERVAL 30 DAY END AS ts)
+    FROM events"""
+ORACLES["incremental_indexed_two_loads"] = "SELECT * FROM events"
+ORACLES["incremental_falling"] = """SELECT event_id, ts,
+    CASE WHEN ts > TIMESTAMP '2024-01-25' THEN 1 WHEN ts > TIMESTAMP '2024-01-10' THEN 2 ELSE 3 END AS load
+    FROM events"""
+ORACLES["load_dispositions"] = """WITH e AS (
+    SELECT event_id, user_id, event_id % 1000 >= 300 AS second FROM events WHERE event_type <> 'error'),
+  landed AS (
+    SELECT 'replace' AS disposition, * FROM e WHERE second UNION ALL
+    SELECT 'append', * FROM e UNION ALL SELECT 'append', * FROM e WHERE second UNION ALL
+    SELECT 'merge', * FROM e UNION ALL SELECT 'merge_indexed', * FROM e)
+  SELECT disposition, event_id % 7 AS part, count(*) AS rows, sum(event_id + user_id)::BIGINT AS total
+  FROM landed GROUP BY ALL"""
+ORACLES["filter_conflicts"] = """WITH o(operator) AS (VALUES ('<'), ('<='), ('>'), ('>='), ('!=')),
+  c("cursor", low, high, taken) AS (VALUES
+    ('none yet', TIMESTAMP '1900-01-01', TIMESTAMP '2900-01-01', []),
+    ('rising', TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-25' - INTERVAL 1 MICROSECOND, ['>=', '<']),
+    ('falling', TIMESTAMP '1900-01-01', TIMESTAMP '2024-01-25', ['<=']))
+  SELECT "cursor", operator, list_contains(taken, operator) AS conflict,
+    CASE WHEN NOT list_contains(taken, operator) THEN (
+      SELECT count(*) FROM events WHERE ts BETWEEN low AND high AND CASE operator
+        WHEN '<' THEN ts < TIMESTAMP '2024-01-25' WHEN '<=' THEN ts <= TIMESTAMP '2024-01-25'
+        WHEN '>' THEN ts > TIMESTAMP '2024-01-25' WHEN '>=' THEN ts >= TIMESTAMP '2024-01-25'
+        ELSE ts <> TIMESTAMP '2024-01-25' END) END AS rows
+  FROM o, c"""
+ORACLES["canonical_float_keys"] = """SELECT concat(
+    CASE WHEN l_orderkey % 11 = 0 THEN '<null>'
+         WHEN l_quantity = round(l_quantity) THEN l_quantity::BIGINT::VARCHAR ELSE l_quantity::VARCHAR END, '|',
+    CASE WHEN l_orderkey % 13 = 0 THEN '<null>' ELSE l_linenumber::VARCHAR END, '|',
+    CASE WHEN l_orderkey % 4 = 0 THEN l_suppkey::VARCHAR || '.5' ELSE l_suppkey::VARCHAR END) AS key,
+    count(*) AS rows FROM lineitem GROUP BY ALL"""
 ORACLES["dispositions"] = """SELECT * FROM (VALUES
     ('replace', (SELECT count(*) FROM nation WHERE n_nationkey % 2 >= 1)),
     ('append', (SELECT count(*) + count(*) FILTER (n_nationkey % 2 >= 1) FROM nation)),
-    ('merge', (SELECT count(DISTINCT n_nationkey) FROM nation))) f(disposition, row_count)"""
+    ('merge', (SELECT count(DISTINCT n_nationkey) FROM nation)),
+    ('merge_indexed', (SELECT count(DISTINCT n_nationkey) FROM nation))) f(disposition, row_count)"""
 ORACLES["normalised_values"] = """SELECT l_orderkey, l_linenumber, l_partkey,
     CASE WHEN l_orderkey % 5 <> 0 THEN l_tax END AS tax,
     CAST(l_quantity::DECIMAL(10,2) AS VARCHAR) AS quantity,
@@ -968,6 +1002,11 @@ ORACLES["csv_contents"] = sql(
     )
 )
 ORACLES["stream_dedup_events"] = "SELECT * FROM events"
+ORACLES["stream_state_dedup"] = "SELECT * FROM events"
+ORACLES["stream_within"] = """WITH f AS (
+    SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 DAY AS mark FROM events
+    WHERE ts < TIMESTAMP '2024-01-25' AND event_id % 11 > 0)
+  SELECT events.* FROM events, f WHERE ts > mark OR ts < TIMESTAMP '2024-01-25' AND event_id % 11 > 0"""
 ORACLES["materialised_fact_sales"] = sql(
     f"""SELECT strftime(order_purchase_at, '%Y-%m') AS order_month, count(*) AS order_count,
     {money('order_revenue')} AS revenue FROM header GROUP BY ALL"""

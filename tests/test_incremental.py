@@ -11,14 +11,24 @@ from pyspark.sql import functions as F
 from freightlens.sources.incremental import (
     Cursor,
     append_new,
+    append_new_indexed,
     filtered,
     limited,
     load_increment,
     load_table,
+    new_to_indexed,
     projected,
+    read_indexed,
     read_mark,
 )
-from freightlens.streaming.landing_stream import file_stream, land_stream, land_stream_within
+from freightlens.sources.landing import load
+from freightlens.streaming.landing_stream import (
+    file_stream,
+    land_stream,
+    land_stream_keyed,
+    land_stream_within,
+    state_session,
+)
 
 
 @pytest.fixture()
@@ -161,3 +171,112 @@ def test_stream_with_promised_lateness(spark, tmp_path, delivered_files):
     assert ids(landed) == [1, 2, 3, 4, 5]
     assert dict(landed.dtypes)["ts"] == "timestamp_ntz"
     assert landed.agg(F.min("ts")).first()[0] == datetime(2024, 1, 1, 5)
+
+
+def plan_of(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def test_stream_with_keys_in_the_state_store(spark, tmp_path, delivered_files):
+    """Three starts from one checkpoint, a key that comes again in each, null keys; no scan of the target."""
+    path, schema = delivered_files
+    target, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    own = state_session(spark)
+    assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    want = [1, 2, 3, 4, 5]
+    for keys in ([], [5, 6, None], [None, 6, 1, 7]):
+        if keys:
+            rows = [(k, datetime(2023, 1, 1, 7)) for k in keys]
+            more = spark.createDataFrame(rows, "id INT, ts TIMESTAMP_NTZ")
+            more.write.mode("append").parquet(path)
+            want = sorted({*want, *keys}, key=lambda k: (k is not None, k))
+        stream = file_stream(own, path, schema, files_per_trigger=1)
+        query = land_stream_keyed(stream, target, checkpoint, ["id"])
+        query.awaitTermination()
+        assert ids(spark.read.parquet(target)) == want
+    text = query._jsq.explainInternal(True)
+    scans = [x for x in text.splitlines() if "FileScan" in x]
+    assert "StreamingDeduplicate" in text and scans and all("/in" in x and "/out" not in x for x in scans)
+    assert "RocksDB" in str(query.lastProgress["stateOperators"][0]["customMetrics"].keys()).replace("rocksdb", "RocksDB")
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == before
+
+
+def test_an_indexed_target_reads_only_touched_buckets(spark, tmp_path):
+    target = str(tmp_path / "t")
+    df = spark.range(5000).selectExpr("CAST(id AS INT) AS id", "CAST(id AS INT) AS t", "CAST(id AS STRING) AS v")
+    append_new_indexed(df.filter("id < 4000"), target, ["id"], "t")
+    some = df.filter("id IN (17, 3999, 4000)")
+    fresh, name = new_to_indexed(some, target, ["id"], "t")
+    assert ids(fresh) == [4000]
+    text = plan_of(fresh)
+    (pruned,) = [x for x in text.splitlines() if "PartitionFilters" in x and name in x]
+    assert 1 <= pruned.count(",") <= 4 and "PushedFilters: [In(id, [17,3999,4000])" in text
+    assert "ReadSchema: struct<id:int>" in text
+    many, _ = new_to_indexed(df.filter("id >= 3000"), target, ["id"], "t")
+    assert "GreaterThanOrEqual(id,3000)" in plan_of(many) and many.count() == 1000
+    append_new_indexed(df, target, ["id"], "t")
+    append_new_indexed(df, target, ["id"], "t")
+    assert ids(read_indexed(spark, target)) == list(range(5000))
+    assert read_indexed(spark, target).columns == ["id", "t", "v"]
+    # One file a bucket and load at most.
+    assert spark.read.parquet(target).selectExpr("input_file_name() AS f").distinct().count() <= 2 * 64
+
+
+def test_an_indexed_target_has_bloom_filters(spark, tmp_path):
+    target = tmp_path / "t"
+    append_new_indexed(spark.range(100).withColumnRenamed("id", "k"), str(target), ["k"])
+    file = next(target.glob("*/*.parquet"))
+    assert file.stat().st_size < 100_000
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.parquet.hadoop
+    path = jvm.org.apache.hadoop.fs.Path(str(file))
+    reader = hadoop.ParquetFileReader.open(hadoop.util.HadoopInputFile.fromPath(path, conf))
+    assert reader.getFooter().getBlocks().get(0).getColumns().get(0).getBloomFilterOffset() > 0
+    reader.close()
+
+
+def test_composite_and_null_keys_in_an_indexed_target(spark, tmp_path):
+    target = str(tmp_path / "t")
+    schema = "a STRING, b INT, v STRING"
+    loads = [
+        [("x", 1, "1"), ("x", None, "2"), (None, 1, "3"), (None, None, "4")],
+        [("x", 1, "no"), ("x", None, "no"), (None, 1, "no"), (None, None, "no"), ("y", 1, "5"), (None, 2, "6")],
+        [(None, None, "no")],
+    ]
+    for rows in loads:
+        append_new_indexed(spark.createDataFrame(rows, schema), target, ["a", "b"])
+    assert sorted(r.v for r in read_indexed(spark, target).collect()) == list("123456")
+    append_new_indexed(spark.createDataFrame([], schema), target, ["a", "b"])
+    assert read_indexed(spark, target).count() == 6
+    append_new(spark.range(2), str(tmp_path / "plain"), ["id"])
+    with pytest.raises(ValueError, match="index"):
+        append_new_indexed(spark.range(3), str(tmp_path / "plain"), ["id"])
+
+
+@pytest.mark.parametrize("append", [append_new, append_new_indexed])
+def test_a_falling_mark_is_stored(spark, tmp_path, rows, append):
+    target, state = str(tmp_path / "t"), str(tmp_path / "s")
+
+    def back(source, end=None):
+        return load_increment(source, "x", target, state, ["id"], "t", end, newest=False, append=append)
+
+    assert back(rows.filter("id <> 5"), end=2) == 3
+    assert ids(spark.read.parquet(target)) == [6, 7, 8, 9]
+    assert back(rows, end=1) == 2  # id 5 came late, id 4 lies at the new mark
+    assert ids(spark.read.parquet(target)) == [4, 5, 6, 7, 8, 9]
+    assert back(rows) == 0 and back(rows) == 0
+    assert ids(spark.read.parquet(target)) == list(range(10))
+    assert read_mark(spark, state, "x", newest=False) == 0
+
+
+def test_loader_writes_in_a_disposition(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    load(rows, path, "merge_indexed", [("id", "<", 6)], ["v"], 4, key=["id"])
+    load(rows, path, "merge_indexed", [("id", "<", 6)], ["v"], key=["id"])
+    assert ids(read_indexed(spark, path)) == [0, 1, 2, 3, 4, 5]
+    load(rows, path, "replace", limit=2, key=["id"])
+    assert ids(spark.read.parquet(path)) == [0, 1]
+    with pytest.raises(ValueError, match="key"):
+        load(rows, path, "merge")
