@@ -8,22 +8,53 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_sql(amount: str) -> str:
-    """An amount of money as a decimal with all its digits, up to eight decimals.
+#: An exact amount is a struct of whole units and billionths, 0 to 999,999,999 of them.
+_PARTS = 1_000_000_000
+#: Sums of billionths go in two halves, so that no number of rows overflows them.
+_LOW = 31_250
+_HIGH = _PARTS // _LOW
 
-    Decimals add up exactly, in any order, and keep 38 digits when added.
+#: (below this, a double's neighbours are nearer than half of, one part in so many)
+_SCALES = ((2**22, 10**9), (2**32, 10**6), (2**42, 10**3), (2**45, 10**2))
+
+
+def exact_sql(amount: str, weight: str | None = None) -> str:
+    """An amount of money, times a whole weight, as two bigints: units and billionths (A-8).
+
+    Integers add up exactly, in any order, and in generated code, which wide decimals do
+    not. Amounts have up to 18 digits before the point and nine after it, or as many as
+    a double of that size can tell apart, so that cents stay cents.
     """
-    return f"CAST({amount} AS DECIMAL(26,8))"
+    amount = f"nanvl(CAST({amount} AS DOUBLE), NULL)"
+    units = f"floor({amount})"
+    told = " ".join(f"WHEN abs({amount}) < {size}D THEN {scale}" for size, scale in _SCALES)
+    scale = f"CASE {told} ELSE 1 END"
+    parts = f"CAST(rint(({amount} - {units}) * {scale}) AS BIGINT) * ({_PARTS}L div {scale})"
+    if weight is not None:
+        units, parts = f"({units}) * {weight}", f"({parts}) * {weight}"
+    carried = f"({units}) + ({parts}) div {_PARTS}L"
+    return f"named_struct('units', {carried}, 'parts', ({parts}) % {_PARTS}L)"
+
+
+def exact_sum_sql(exact: str, where: str = "true", over: str = "") -> str:
+    """Sum of exact amounts, exact again; rows outside ``where`` add zero. NULL without amounts."""
 
+    def added(part: str) -> str:
+        return f"sum({part if where == 'true' else f'if({where}, {part}, 0L)'}) {over}"
 
-def exact_sum_sql(exact: str, where: str = "true") -> str:
-    """Sum of exact amounts; rows outside ``where`` add zero."""
-    return f"sum(if({where}, {exact}, 0))"
+    units = added(f"({exact}).units")
+    low = added(f"({exact}).parts % {_LOW}L")
+    high = f"({added(f'({exact}).parts div {_LOW}L')} + ({low}) div {_LOW}L)"
+    return f"""named_struct('units', {units} + {high} div {_HIGH}L,
+        'parts', {high} % {_HIGH}L * {_LOW}L + ({low}) % {_LOW}L)"""
 
 
 def amount_sql(exact: str) -> str:
-    """An exact amount as the nearest double."""
-    return f"CAST({exact} AS DOUBLE)"
+    """An exact amount as a double: the nearest one wherever it is a number of cents."""
+    units, parts = f"({exact}).units", f"({exact}).parts"
+    cents = f"({units} * 100L + {parts} div {_PARTS // 100}L)"
+    return f"""if({parts} % {_PARTS // 100}L = 0 AND abs({units}) < {9 * 10**13}L,
+        {cents} / 100D, {units} + {parts} / {_PARTS}D)"""
 
 
 def money_sum(amount: str, where: str = "true") -> Column:

@@ -8,7 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.aggregates import exact_sql, mean_days, measures, ratio_sql
+from freightlens.functions.aggregates import (
+    amount_sql,
+    exact_sql,
+    exact_sum_sql,
+    mean_days,
+    measures,
+    ratio_sql,
+)
 from freightlens.functions.labels import rank_of, relabel
 from freightlens.functions.status import STATUS_LABELS
 from freightlens.functions.timing import hours_sql
@@ -83,7 +90,7 @@ def deadline_spread(items: DataFrame) -> DataFrame:
                 "n": "count(*)",
                 "first_limit": "min(shipping_limit_date)",
                 "last_limit": "max(shipping_limit_date)",
-                "freight": f"sum({exact_sql('freight_value')})",
+                "freight": exact_sum_sql(exact_sql("freight_value")),
                 "charged": "count(freight_value)",
             }
         )
@@ -94,7 +101,7 @@ def deadline_spread(items: DataFrame) -> DataFrame:
                 "n_items": "sum(n)",
                 "n_sellers": "count(seller_id)",
                 "spread": f"{hours_sql('min(first_limit)', 'max(last_limit)')} / 24D",
-                "freight_per_item": ratio_sql("sum(freight)", "sum(charged)"),
+                "freight_per_item": ratio_sql(amount_sql(exact_sum_sql("freight")), "sum(charged)"),
             }
         )
     )

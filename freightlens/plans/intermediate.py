@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.functions.aggregates import amount_sql, exact_sql, measures
+from freightlens.functions.aggregates import (
+    exact_sql,
+    exact_sum,
+    exact_sum_sql,
+    measures,
+    money_sum,
+)
 from freightlens.functions.geo import great_circle_metres
 from freightlens.functions.status import delivery_status
 from freightlens.functions.timing import days_between
@@ -52,8 +58,8 @@ def order_totals(items: DataFrame) -> DataFrame:
         *measures(
             {
                 "item_count": "count(*)",
-                "order_revenue": amount_sql(f"sum({exact_sql('price')})"),
-                "order_freight": amount_sql(f"sum({exact_sql('freight_value')})"),
+                "order_revenue": money_sum("price"),
+                "order_freight": money_sum("freight_value"),
             }
         )
     )
@@ -68,8 +74,8 @@ def seller_shares(items: DataFrame) -> DataFrame:
     """
     named = {
         "items": "count(*)",
-        "revenue": f"sum({exact_sql('price')})",
-        "freight": f"sum({exact_sql('freight_value')})",
+        "revenue": exact_sum_sql(exact_sql("price")),
+        "freight": exact_sum_sql(exact_sql("freight_value")),
         **_if_has(items, "shipping_limit_date", last_limit="max(shipping_limit_date)"),
         **_if_has(
             items,
@@ -89,13 +95,14 @@ def order_rollup(items: DataFrame) -> DataFrame:
     than by ranking the sellers of an order in a window.
     """
     shares = seller_shares(items)
-    top = "min(struct(revenue IS NULL, -revenue, seller_id)) FILTER (WHERE seller_id IS NOT NULL)"
+    falling = "revenue.units IS NULL, -revenue.units, -revenue.parts"
+    top = f"min(struct({falling}, seller_id)) FILTER (WHERE seller_id IS NOT NULL)"
     latest = "max(if(seller_id IS NULL, NULL, last_limit))"
     named = {
         "item_count": "sum(items)",
         "distinct_seller_count": "count(seller_id)",
-        "order_revenue": amount_sql("sum(revenue)"),
-        "order_freight": amount_sql("sum(freight)"),
+        "order_revenue": exact_sum("revenue"),
+        "order_freight": exact_sum("freight"),
         "main_seller_id": f"({top}).seller_id",
         **_if_has(shares, "last_limit", last_shipping_limit_at=latest),
         **_if_has(

@@ -14,6 +14,7 @@ from freightlens.functions.aggregates import (
     amount_sql,
     exact_sql,
     exact_sum,
+    exact_sum_sql,
     exact_quantile,
     mean_days,
     measures,
@@ -263,8 +264,8 @@ def mart_seller_performance(items: DataFrame, stages: DataFrame) -> DataFrame:
         *measures(
             {
                 "n": "count(*)",
-                "revenue": f"sum({exact_sql('price')})",
-                "freight": f"sum({exact_sql('freight_value')})",
+                "revenue": exact_sum_sql(exact_sql("price")),
+                "freight": exact_sum_sql(exact_sql("freight_value")),
             }
         )
     )
@@ -277,8 +278,8 @@ def mart_seller_performance(items: DataFrame, stages: DataFrame) -> DataFrame:
             *measures(
                 {
                     "n": "sum(n)",
-                    "revenue": "sum(revenue)",
-                    "freight": "sum(freight)",
+                    "revenue": exact_sum_sql("revenue"),
+                    "freight": exact_sum_sql("freight"),
                     "shipped": f"sum(if({handoff} IS NULL OR {limit} IS NULL, 0L, n))",
                     "shipped_late": f"sum(if({handoff} > {limit}, n, 0L))",
                 }
@@ -319,11 +320,11 @@ def _outcome_totals(
     """
     states = customers.select("customer_id", "customer_state")
     rows = "1L" if order_grain else "greatest(item_count, 1L)"
-    weighted = f"{exact_sql('order_revenue')} * CAST({rows} AS DECIMAL(11,0))"
+    weighted = exact_sum_sql(exact_sql("order_revenue", weight=rows))
     return (
         orders.join(states, "customer_id", how)
         .groupBy("customer_state", "delivery_status")
-        .agg(*measures({"order_count": f"sum({rows})", "revenue": f"sum({weighted})"}))
+        .agg(*measures({"order_count": f"sum({rows})", "revenue": weighted}))
     )
 
 
@@ -339,9 +340,9 @@ def mart_delivery_revenue_risk(
             *measures(
                 {
                     "total_orders": "sum(order_count)",
-                    "total_revenue": amount_sql("sum(revenue)"),
+                    "total_revenue": exact_sum("revenue"),
                     "late_orders": f"sum(if({LATE}, order_count, 0L))",
-                    "late_revenue": amount_sql(f"sum(if({LATE}, revenue, 0))"),
+                    "late_revenue": exact_sum("revenue", LATE),
                 }
             )
         )
@@ -368,7 +369,10 @@ def mart_delivery_sunburst(
     totals = _outcome_totals(orders, customers, "left", order_grain)
     leading = (
         totals.groupBy("customer_state")
-        .agg(F.sum("revenue").alias("exact"), F.sum("order_count").alias("order_count"))
+        .agg(
+            F.expr(exact_sum_sql("revenue")).alias("exact"),
+            F.sum("order_count").alias("order_count"),
+        )
         .orderBy(F.desc("exact"), F.desc("order_count"), "customer_state")
         .limit(top)
         .filter("customer_state IS NOT NULL")

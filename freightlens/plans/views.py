@@ -108,7 +108,7 @@ def revenue_by_outcome(sunburst: DataFrame) -> DataFrame:
         .groupBy("customer_state", "delivery_outcome")
         .agg(money_sum("revenue").alias("revenue"))
     )
-    whole = f"{exact_sum_sql(exact_sql('revenue'))} OVER (PARTITION BY customer_state)"
+    whole = exact_sum_sql(exact_sql("revenue"), over="OVER (PARTITION BY customer_state)")
     with_state = by_outcome.selectExpr("*", f"{amount_sql(whole)} AS state_revenue")
     return with_state.select("*", ratio("revenue", "state_revenue").alias("share_of_state"))
 
