@@ -8,6 +8,7 @@ one pass over the distinct natural keys. No keys leave the executors.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import PySparkException
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightlens.functions.keys import canonical_key, is_missing, numbers_match, without_nan
+from freightlens.session import new_run_dir
 from freightlens.sources.registry import ARTIFACT_COLUMNS
 
 Layer = DataFrame | Callable[[], DataFrame]
@@ -195,11 +197,113 @@ def report(findings: DataFrame) -> DataFrame:
     )
 
 
+#: Hex digits of a key's hash that name its coarse and its fine bucket.
+_COARSE, _FINE = 2, 4
+
+
+@dataclass(frozen=True)
+class KeyTree:
+    """The distinct keys of a layer as written, with two levels of digests over them.
+
+    ``keys`` holds (key, fine, coarse) in folders by coarse bucket; ``digests``
+    holds for each fine bucket how many keys it has and what their hashes add up to.
+    There are at most 256 coarse and 65,536 fine buckets, however many keys there are.
+    """
+
+    keys: DataFrame
+    digests: DataFrame
+
+    def coarse(self) -> DataFrame:
+        sums = [F.sum(c).alias(c) for c in self.digests.columns if c not in ("fine", "coarse")]
+        return self.digests.groupBy("coarse").agg(*sums)
+
+
+def key_tree(df: DataFrame, keys: Sequence[str], path: str | None = None) -> KeyTree:
+    """Write the key set of a layer and its digests, below ``path`` or the shared folder (R-7).
+
+    A layer's tree can be kept beside it and compared as often as wanted. The keys
+    are shuffled once to make them distinct, and once to be written by bucket,
+    in which AQE splits and joins buckets by their size.
+    """
+    spark = df.sparkSession
+    path = path or new_run_dir(spark, "key-tree")
+    digest = F.sha2("key", 256)
+    placed = key_set(df, keys).select(
+        "key", F.substring(digest, 1, _FINE).alias("fine"), F.substring(digest, 1, _COARSE).alias("coarse")
+    )
+    by_bucket = placed.hint("rebalance", "coarse").sortWithinPartitions("coarse", "fine")
+    by_bucket.write.partitionBy("coarse").parquet(f"{path}/keys")
+    schema = "key STRING, fine STRING, coarse STRING"
+    stored = spark.read.schema(schema).parquet(f"{path}/keys")
+    parts = [
+        F.conv(F.substring(digest, 1 + i * _HEX_DIGITS_PER_PART, _HEX_DIGITS_PER_PART), 16, 10)
+        for i in range(_HEX_DIGITS // _HEX_DIGITS_PER_PART)
+    ]
+    # Eight digits of 32 bits: sums of a bigint hold two thousand million keys a bucket.
+    sums = [F.sum(p.cast("bigint")).alias(f"part_{i}") for i, p in enumerate(parts)]
+    made = stored.groupBy("coarse", "fine").agg(F.count("*").alias("n"), *sums)
+    made.write.parquet(f"{path}/digests")
+    return KeyTree(stored, spark.read.schema(made.schema).parquet(f"{path}/digests"))
+
+
+def stored_key_tree(spark: SparkSession, path: str) -> KeyTree:
+    """A tree that ``key_tree`` has written."""
+    keys = spark.read.schema("key STRING, fine STRING, coarse STRING").parquet(f"{path}/keys")
+    return KeyTree(keys, spark.read.parquet(f"{path}/digests"))
+
+
+def _unlike(ours: DataFrame, theirs: DataFrame, bucket: str) -> DataFrame:
+    """Buckets whose digests differ, or that one side lacks, with the keys of both sides."""
+    sums = [c for c in ours.columns if c.startswith("part_")]
+    named = [F.struct("n", *sums).alias("theirs")]
+    both = ours.select(bucket, F.struct("n", *sums).alias("ours")).join(
+        theirs.select(bucket, *named), bucket, "full"
+    )
+    n = [F.coalesce(F.col(f"{side}.n"), F.lit(0)) for side in ("ours", "theirs")]
+    return both.filter("NOT ours <=> theirs").select(
+        bucket, n[0].alias("source_keys"), n[1].alias("layer_keys")
+    )
+
+
+def differing_buckets(source: KeyTree, other: KeyTree) -> DataFrame:
+    """Where two key sets differ: (bucket, source_keys, layer_keys) of the fine buckets (R-7).
+
+    The coarse digests are compared first; only fine ones below a difference are
+    read. The names of differing coarse buckets, 256 at most, pass the driver, so
+    that they prune files.
+    """
+    coarse = [r["coarse"] for r in _unlike(source.coarse(), other.coarse(), "coarse").collect()]
+    below = [x.digests.filter(F.col("coarse").isin(coarse)) for x in (source, other)]
+    return _unlike(*below, "fine").withColumnRenamed("fine", "bucket")
+
+
+def tree_differences(source: KeyTree, other: KeyTree) -> DataFrame:
+    """Keys that only one side has (U-3), joined within the buckets that differ, and read from no others."""
+    buckets = differing_buckets(source, other)
+    fine = [r["bucket"] for r in buckets.select("bucket").limit(_FEW_BUCKETS + 1).collect()]
+    coarse = sorted({x[:_COARSE] for x in fine})
+    if len(fine) > _FEW_BUCKETS:
+        whole = buckets.select(F.substring("bucket", 1, _COARSE).alias("c")).distinct()
+        coarse = sorted(r["c"] for r in whole.collect())
+
+    def within(tree: KeyTree) -> DataFrame:
+        keys = tree.keys.filter(F.col("coarse").isin(coarse))
+        if len(fine) <= _FEW_BUCKETS:
+            return keys.filter(F.col("fine").isin(fine)).select("fine", "key")
+        # One short row a bucket, 65,536 at most.
+        unlike = F.broadcast(buckets.select(F.col("bucket").alias("fine")))
+        return keys.join(unlike, "fine", "left_semi").select("fine", "key")
+
+    ours, theirs = within(source), within(other)
+    only_ours = ours.join(theirs, ["fine", "key"], "left_anti").select("key", F.lit("source").alias("side"))
+    only_theirs = theirs.join(ours, ["fine", "key"], "left_anti").select("key", F.lit("layer").alias("side"))
+    return only_ours.unionAll(only_theirs)
+
+
+#: Up to so many fine buckets are named in the filters on the files; more are joined.
+_FEW_BUCKETS = 500
+
+
 def key_differences(source: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that only one side has (U-3): the rows behind a differing digest."""
-    ours, theirs = key_set(source, keys), key_set(other, keys)
-    return (
-        ours.join(theirs, "key", "left_anti")
-        .withColumn("side", F.lit("source"))
-        .unionAll(theirs.join(ours, "key", "left_anti").withColumn("side", F.lit("layer")))
-    )
+    return tree_differences(key_tree(source, keys), key_tree(other, keys))

@@ -479,6 +479,34 @@ def reconcile_key_differences(spark: SparkSession, folder: str) -> DataFrame:
     return reconcile.key_differences(m.stg_orders, m.stg_order_items, ("order_id",))
 
 
+def _items_and_changed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Lines as given, and a copy with one order's lines renumbered and another's left out."""
+    lines = GivenTables(spark, folder).given("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    changed = lines.filter("l_orderkey <> 1234").withColumn(
+        "l_linenumber", F.expr("if(l_orderkey = 77, l_linenumber + 50, l_linenumber)")
+    )
+    return lines, changed
+
+
+@query
+def reconcile_key_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """Which buckets of the key set differ, from stored digests."""
+    keys = ("l_orderkey", "l_linenumber", "l_partkey")
+    base = new_run_dir(spark, "key-trees")
+    for i, df in enumerate(_items_and_changed(spark, folder)):
+        reconcile.key_tree(df, keys, f"{base}/{i}")
+    stored = (reconcile.stored_key_tree(spark, f"{base}/{i}") for i in range(2))
+    return reconcile.differing_buckets(*stored)
+
+
+@query
+def reconcile_changed_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The few keys in which two nearly equal layers differ."""
+    keys = ("l_orderkey", "l_linenumber", "l_partkey")
+    found = reconcile.key_differences(*_items_and_changed(spark, folder), keys)
+    return found.select(F.replace("key", F.lit(KEY_SEP), F.lit("|")).alias("key"), "side")
+
+
 @query
 def distinct_composite_keys(spark: SparkSession, folder: str) -> DataFrame:
     """Distinct keys with null parts (A-20)."""

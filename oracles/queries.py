@@ -851,6 +851,19 @@ ORACLES["incremental_two_loads"] = "SELECT * FROM events"
 ORACLES["incremental_late_copies"] = """SELECT * REPLACE (
     CASE WHEN event_id % 10 > 0 THEN ts
          WHEN event_id % 2 = 0 THEN ts + INTERVAL 30 DAY END AS ts) FROM events"""
+_CHANGED_LINES = """WITH a AS (
+    SELECT DISTINCT concat(l_orderkey, chr(1), l_linenumber, chr(1), l_partkey) AS key FROM lineitem),
+  b AS (SELECT DISTINCT concat(l_orderkey, chr(1), l_linenumber + CASE WHEN l_orderkey = 77 THEN 50 ELSE 0 END,
+      chr(1), l_partkey) AS key FROM lineitem WHERE l_orderkey <> 1234)"""
+ORACLES["reconcile_key_buckets"] = f"""{_CHANGED_LINES},
+  d AS (SELECT DISTINCT substr(sha256(key), 1, 4) AS bucket FROM (
+    (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)))
+  SELECT bucket, (SELECT count(*) FROM a WHERE substr(sha256(key), 1, 4) = bucket) AS source_keys,
+    (SELECT count(*) FROM b WHERE substr(sha256(key), 1, 4) = bucket) AS layer_keys FROM d"""
+ORACLES["reconcile_changed_keys"] = f"""{_CHANGED_LINES}
+  SELECT replace(key, chr(1), '|') AS key, 'source' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b)
+  UNION ALL
+  SELECT replace(key, chr(1), '|'), 'layer' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)"""
 ORACLES["incremental_indexed"] = """SELECT * REPLACE (
     CASE WHEN event_id % 10 > 0 OR event_id IN (0, 10, 20) THEN ts ELSE ts + INTERVAL 30 DAY END AS ts)
     FROM events"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from freightlens.functions.keys import canonical_key, numbers_match
 from freightlens.operators import quality
+from freightlens.operators import reconcile as trees
 from freightlens.operators.reconcile import key_differences, key_digest, reconcile, report
 
 
@@ -141,3 +142,37 @@ def test_tolerance(spark):
     )
     found = [r[0] for r in df.select(numbers_match(F.col("a"), F.col("b"))).collect()]
     assert found == [True, False, True, False, True]
+
+
+def test_one_changed_key_in_a_million(spark, tmp_path):
+    """It is found, and only the files of its buckets are read for it."""
+    a = spark.range(1_000_000)
+    b = a.withColumn("id", F.when(F.col("id") == 765_432, -5).otherwise(F.col("id")))
+    for name, df in (("a", a), ("b", b)):
+        trees.key_tree(df, ("id",), str(tmp_path / name))
+    both = [trees.stored_key_tree(spark, str(tmp_path / name)) for name in "ab"]
+    buckets = trees.differing_buckets(*both).collect()
+    assert len(buckets) == 2 and sum(r.source_keys - r.layer_keys for r in buckets) == 0
+    found = trees.tree_differences(*both)
+    assert sorted(map(tuple, found.collect())) == [("-5", "layer"), ("765432", "source")]
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = found._jdf.queryExecution().explainString(mode)
+    scans = [x for x in text.splitlines() if x.startswith("PartitionFilters")]
+    assert len(scans) == 4 and all("coarse" in x and x.count(",") <= 3 for x in scans)
+    assert len(list((tmp_path / "a" / "keys").glob("coarse=*"))) == 256
+    assert trees.tree_differences(both[0], both[0]).isEmpty()
+
+
+def test_trees_that_differ_everywhere_or_are_empty(spark, monkeypatch):
+    a, b = spark.range(300), spark.range(100, 500)
+    want = [(str(i), "source") for i in range(100)] + [(str(i), "layer") for i in range(300, 500)]
+    for few in (500, 3):
+        monkeypatch.setattr(trees, "_FEW_BUCKETS", few)
+        assert sorted(map(tuple, key_differences(a, b, ("id",)).collect())) == sorted(want)
+    assert key_differences(a.limit(0), b.limit(0), ("id",)).isEmpty()
+    assert key_differences(a.limit(0), a, ("id",)).count() == 300
+    # Repeated and null keys count once.
+    c = spark.createDataFrame([(1,), (1,), (None,), (None,)], "id BIGINT")
+    d = spark.createDataFrame([(1,), (2,)], "id BIGINT")
+    got = sorted(map(tuple, key_differences(c, d, ("id",)).collect()))
+    assert got == [("\x00NULL\x00", "source"), ("2", "layer")]
