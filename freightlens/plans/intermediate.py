@@ -188,6 +188,51 @@ def _located(df: DataFrame, role: str, geo: DataFrame) -> DataFrame:
     )
 
 
+def place_distances(
+    orders: DataFrame, items: DataFrame, sellers: DataFrame, customers: DataFrame, geo: DataFrame
+) -> DataFrame:
+    """(seller zip, customer zip, distance) of the places between which anything was sold (D-11).
+
+    The haversine is evaluated once for each pair of places. There are far fewer of them
+    than orders, and written as a table they serve every later use (``with_known_distance``).
+    """
+    seller_zip, customer_zip = "seller_zip_code_prefix", "customer_zip_code_prefix"
+    pairs = (
+        items.select("order_id", "seller_id")
+        .join(sellers.select("seller_id", seller_zip), "seller_id")
+        .join(orders.select("order_id", "customer_id"), "order_id")
+        .join(customers.select("customer_id", customer_zip), "customer_id")
+        .select(seller_zip, customer_zip)
+        .distinct()
+    )
+    for role in ("seller", "customer"):
+        points = geo.selectExpr(
+            f"zip_code_prefix AS {role}_zip_code_prefix",
+            f"centroid_lat AS {role}_lat",
+            f"centroid_lng AS {role}_lng",
+        )
+        pairs = pairs.join(points, f"{role}_zip_code_prefix")
+    distance = great_circle_metres("seller_lng", "seller_lat", "customer_lng", "customer_lat")
+    return pairs.select(seller_zip, customer_zip, distance.alias("distance_meters"))
+
+
+def with_known_distance(
+    rows: DataFrame, orders: DataFrame, sellers: DataFrame, customers: DataFrame, places: DataFrame
+) -> DataFrame:
+    """Rows that carry order_id and seller_id, with the distance of their two places (J-6).
+
+    Rows without one drop out. Nothing is computed here: the zip codes of both ends look it up.
+    """
+    ends = orders.select("order_id", "customer_id").join(
+        customers.select("customer_id", "customer_zip_code_prefix"), "customer_id"
+    )
+    return (
+        rows.join(sellers.select("seller_id", "seller_zip_code_prefix"), "seller_id")
+        .join(ends.drop("customer_id"), "order_id")
+        .join(places, ["seller_zip_code_prefix", "customer_zip_code_prefix"])
+    )
+
+
 def with_distance(
     rows: DataFrame,
     orders: DataFrame,

@@ -120,6 +120,14 @@ class Layers:
             self.zip_centroids,
         )
 
+    @cached_property
+    def place_distances(self) -> DataFrame:
+        """Written on first use, since later models only look distances up."""
+        found = intermediate.place_distances(
+            self.stg_orders, self.stg_order_items, self.dim_seller, self.dim_customer, self.zip_centroids
+        )
+        return written(found, "place-distances")
+
     @cached_property
     def mart_delivery_kpis(self) -> DataFrame:
         return marts.mart_delivery_kpis(self.order_amounts, self.dim_customer)

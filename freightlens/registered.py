@@ -11,14 +11,21 @@ from pyspark.sql import types as T
 
 from freightlens.functions.aggregates import distinct_rows
 from freightlens.functions.keys import KEY_SEP, NULL_SENTINEL, canonical_key
-from freightlens.functions.status import STATUS_LABELS
+from freightlens.functions.status import LATE, STATUS_LABELS
 from freightlens.operators import quality, reconcile
+from freightlens.operators.distinct import (
+    dense_ids,
+    distinct_cells,
+    distinct_counts,
+    with_dense_ids,
+)
+from freightlens.operators.quantiles import exact_quantiles
 from freightlens.plans import core, explore, intermediate, views
 from freightlens.plans.layers import Layers
 from freightlens.plans.marts import SIZES
 from freightlens.session import new_run_dir, written
 from freightlens.sources import incremental, landing
-from freightlens.sources.catalog import time_columns
+from freightlens.sources.catalog import footer_profile, time_columns
 from freightlens.sources.csv_scan import scan_folder
 from freightlens.sources.given import GivenTables
 from freightlens.sources.registry import REGISTRY
@@ -109,10 +116,28 @@ def order_transit_shape_strict(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def seller_customer_distance(spark: SparkSession, folder: str) -> DataFrame:
     found = layers(spark, folder).distances
-    points = [f"rint({c} * 1000) / 1000 AS {c}" for c in found.columns[2:]]
+    points = [f"round({c}, 6) AS {c}" for c in found.columns[2:-1]]
+    points.append("round(distance_meters, 3) AS distance_meters")
     return found.selectExpr("order_id", "seller_id", *points)
 
 
+@query
+def place_distances(spark: SparkSession, folder: str) -> DataFrame:
+    """Distances by pair of zip codes."""
+    return rounded(layers(spark, folder).place_distances, 3)
+
+
+@query
+def distance_by_place(spark: SparkSession, folder: str) -> DataFrame:
+    """The distance of each (order, seller), looked up by the zip codes of both ends."""
+    m = layers(spark, folder)
+    pairs = m.stg_order_items.select("order_id", "seller_id").distinct()
+    found = intermediate.with_known_distance(
+        pairs, m.stg_orders, m.dim_seller, m.dim_customer, m.place_distances
+    )
+    return rounded(found.select("order_id", "seller_id", "distance_meters"), 3)
+
+
 @query
 def items_with_distance(spark: SparkSession, folder: str) -> DataFrame:
     m = layers(spark, folder)
@@ -543,6 +568,65 @@ def n1_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def n1_footer_figures(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, values and extremes of the given tables, from the footers of their files."""
+    found = []
+    for table in ("orders", "lineitem", "customer", "part"):
+        profile = footer_profile(spark, f"{folder}/{table}.parquet")
+        found.append(profile.withColumn("table", F.lit(table)))
+    return reduce(DataFrame.unionAll, found)
+
+
+@query
+def price_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact quantiles of line prices by return flag, and of all lines."""
+    lines = GivenTables(spark, folder).given("lineitem")
+    shares = [0.01, 0.25, 0.5, 0.9, 0.99]
+    of_flag = exact_quantiles(lines, "l_extendedprice", shares, ["l_returnflag"])
+    of_all = exact_quantiles(lines, "l_extendedprice", shares)
+    return of_flag.unionByName(of_all.withColumn("l_returnflag", F.lit("all")))
+
+
+def _customer_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Bitmaps of the customers of each month and state, all and late ones, as a table."""
+    m = layers(spark, folder)
+    orders = m.stages.join(m.dim_customer.select("customer_id", "customer_state"), "customer_id")
+    month = F.date_format("order_purchase_at", "yyyy-MM").alias("order_month")
+    sold = orders.select(month, "customer_state", "customer_id", "delivery_status")
+    cells = distinct_cells(
+        sold, "customer_id", ["order_month", "customer_state"], {"customers": "true", "late_customers": LATE}
+    )
+    return written(cells, "customer-cells")
+
+
+@query
+def monthly_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct customers by month and state."""
+    return distinct_counts(_customer_cells(spark, folder), ["order_month", "customer_state"])
+
+
+@query
+def yearly_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct customers by year, rolled up from the stored months without the orders."""
+    year = F.substring("order_month", 1, 4).cast("int")
+    return distinct_counts(_customer_cells(spark, folder), ["order_year"], {"order_year": year})
+
+
+@query
+def distinct_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct (order, line) keys by return flag, and by status, from one set of bitmaps (A-20)."""
+    lines = GivenTables(spark, folder).given("lineitem")
+    key = ["l_orderkey", "l_linenumber"]
+    numbered = with_dense_ids(lines, dense_ids(lines, key), key)
+    cells = written(distinct_cells(numbered, "dense_id", ["l_returnflag", "l_linestatus"]), "line-cells")
+    by_flag = distinct_counts(cells, ["l_returnflag"]).withColumnRenamed("l_returnflag", "of")
+    by_status = distinct_counts(cells, ["l_linestatus"]).withColumnRenamed("l_linestatus", "of")
+    return by_flag.unionAll(by_status).unionAll(
+        distinct_counts(cells.withColumn("of", F.lit("all")), ["of"])
+    )
+
+
 @query
 def n2_null_profile(spark: SparkSession, folder: str) -> DataFrame:
     return explore.null_profile(layers(spark, folder, ids=True, limits=True).fact_orders)
@@ -1032,6 +1116,27 @@ def stream_within(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+@query
+def refreshed_fact_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """A fact by month that lacked a batch of orders, brought up to date in their months only (I-14)."""
+    m = layers(spark, folder, ids=True, limits=True)
+    month = F.date_format("order_purchase_at", "yyyy-MM")
+    fact = m.fact_orders.withColumn("order_month", month)
+    batch = F.expr("order_id % 2 = 1 AND order_month IN ('1996-03', '1997-07')")
+    zone = new_run_dir(spark, "warehouse")
+    landing.materialise("fact_orders", fact.filter(~batch), "table", zone, partition_by="order_month")
+    changed = m.stg_orders.withColumn("order_month", month).filter(batch)
+    fact = landing.refresh("fact_orders", fact, zone, "order_month", changed)
+    return rounded(
+        core.header_rows(fact)
+        .groupBy("order_month")
+        .agg(
+            F.count("*").alias("order_count"),
+            F.sum(F.col("order_revenue").cast("decimal(18,2)")).cast("double").alias("revenue"),
+        )
+    )
+
+
 @query
 def materialised_fact_sales(spark: SparkSession, folder: str) -> DataFrame:
     """The fact as a table by order month, read back at order grain (I-14, P-6)."""

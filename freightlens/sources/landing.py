@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightlens.sources.incremental import Condition, Cursor, append_new, append_new_indexed, load_table
+from freightlens.session import written
 from freightlens.sources.registry import REGISTRY
 
 
@@ -134,3 +135,36 @@ def materialise(
         raise ValueError(f"unknown kind {kind!r}")
     df.createOrReplaceTempView(name)
     return df
+
+
+def refresh(
+    name: str, df: DataFrame, zone_dir: str, partition_by: str, changed: DataFrame
+) -> DataFrame:
+    """Rewrite only those partitions of a materialised table that a batch has touched (I-14).
+
+    ``changed`` has the touched values of ``partition_by``, old and new ones; ``df`` is the model
+    over all data. Its other partitions are neither computed, as far as the
+    filter reaches its sources, nor written. A touched partition that has no rows any more
+    is removed. The touched values, at most as many as there are partitions, pass the driver.
+    """
+    spark, path = df.sparkSession, f"{zone_dir}/{name}"
+    touched = [r[0] for r in changed.select(partition_by).distinct().collect()]
+    column = F.col(partition_by)
+    mine = column.isin([x for x in touched if x is not None])
+    fresh = df.filter(mine | column.isNull() if None in touched else mine)
+    # Read the table's new state before the files that hold its old one are replaced.
+    fresh = written(fresh.hint("rebalance", partition_by), "refreshed")
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        partition_by
+    ).parquet(path)
+    left = {r[0] for r in fresh.select(partition_by).distinct().collect()}
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    names = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for value in touched:
+        if value not in left:
+            text = "__HIVE_DEFAULT_PARTITION__" if value is None else names.escapePathName(str(value))
+            folder = hadoop(f"{path}/{names.escapePathName(partition_by)}={text}")
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    df = spark.read.parquet(path)
+    df.createOrReplaceTempView(name)
+    return df

@@ -102,11 +102,20 @@ ORACLES["order_transit_shape"] = sql(_SHAPES)
 ORACLES["order_transit_shape_strict"] = sql(_SHAPES, slow=2, breach=1)
 
 ORACLES["seller_customer_distance"] = sql(
-    """SELECT order_id, seller_id, round(seller_lat, 3) AS seller_lat,
-    round(seller_lng, 3) AS seller_lng, round(customer_lat, 3) AS customer_lat,
-    round(customer_lng, 3) AS customer_lng, round(distance_meters, 3) AS distance_meters
+    """SELECT order_id, seller_id, round(seller_lat, 6) AS seller_lat,
+    round(seller_lng, 6) AS seller_lng, round(customer_lat, 6) AS customer_lat,
+    round(customer_lng, 6) AS customer_lng, round(distance_meters, 3) AS distance_meters
     FROM distances"""
 )
+ORACLES["place_distances"] = sql(
+    """SELECT DISTINCT s.seller_zip_code_prefix, c.customer_zip_code_prefix,
+    round(distance_meters, 3) AS distance_meters
+    FROM distances d JOIN dim_seller s USING (seller_id) JOIN stages o USING (order_id)
+    JOIN dim_customer c ON c.customer_id = o.customer_id"""
+)
+ORACLES["distance_by_place"] = sql(
+    "SELECT order_id, seller_id, round(distance_meters, 3) AS distance_meters FROM distances"
+)
 ORACLES["items_with_distance"] = sql(
     """SELECT seller_id, count(*) AS items, count(distance_meters) AS located_items,
     round(max(distance_meters), 3) AS farthest_meters
@@ -851,6 +860,44 @@ ORACLES["incremental_two_loads"] = "SELECT * FROM events"
 ORACLES["incremental_late_copies"] = """SELECT * REPLACE (
     CASE WHEN event_id % 10 > 0 THEN ts
          WHEN event_id % 2 = 0 THEN ts + INTERVAL 30 DAY END AS ts) FROM events"""
+def _footer(table: str, columns: str) -> str:
+    parts = [
+        f"""SELECT '{table}' AS "table", '{c}' AS "column", count(*) AS rows, count({c}) AS present,
+        min({c})::DOUBLE AS low, max({c})::DOUBLE AS high FROM {table}"""
+        for c in columns.split()
+    ]
+    return " UNION ALL ".join(parts)
+
+
+ORACLES["n1_footer_figures"] = " UNION ALL ".join(
+    _footer(*x)
+    for x in (
+        ("orders", "o_orderkey o_custkey o_totalprice"),
+        ("lineitem", "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax"),
+        ("customer", "c_custkey c_nationkey c_acctbal"),
+        ("part", "p_partkey p_size p_retailprice"),
+    )
+)
+ORACLES["price_quantiles"] = """WITH v AS (
+    SELECT l_returnflag, l_extendedprice AS value FROM lineitem UNION ALL
+    SELECT 'all', l_extendedprice FROM lineitem),
+  r AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY value) AS place,
+    count(*) OVER (PARTITION BY l_returnflag) AS n FROM v),
+  s(share, thousandths) AS (VALUES (0.01::DOUBLE, 10), (0.25, 250), (0.5, 500), (0.9, 900), (0.99, 990))
+  SELECT l_returnflag, share, value, n FROM r JOIN s ON place = greatest(1, (n * thousandths + 999) // 1000)"""
+_CUSTOMERS = """SELECT {0}, count(DISTINCT customer_id) AS customers,
+    count(DISTINCT customer_id) FILTER ({1}) AS late_customers
+    FROM stages JOIN dim_customer USING (customer_id) GROUP BY ALL"""
+ORACLES["monthly_customers"] = sql(
+    _CUSTOMERS.format("strftime(order_purchase_at, '%Y-%m') AS order_month, customer_state", LATE)
+)
+ORACLES["yearly_customers"] = sql(
+    _CUSTOMERS.format("year(order_purchase_at)::INTEGER AS order_year", LATE)
+)
+ORACLES["distinct_lines"] = """WITH l AS (SELECT * FROM lineitem)
+  SELECT l_returnflag AS of, count(DISTINCT (l_orderkey, l_linenumber)) AS ids FROM l GROUP BY 1 UNION ALL
+  SELECT l_linestatus, count(DISTINCT (l_orderkey, l_linenumber)) FROM l GROUP BY 1 UNION ALL
+  SELECT 'all', count(DISTINCT (l_orderkey, l_linenumber)) FROM l"""
 _CHANGED_LINES = """WITH a AS (
     SELECT DISTINCT concat(l_orderkey, chr(1), l_linenumber, chr(1), l_partkey) AS key FROM lineitem),
   b AS (SELECT DISTINCT concat(l_orderkey, chr(1), l_linenumber + CASE WHEN l_orderkey = 77 THEN 50 ELSE 0 END,
@@ -1024,3 +1071,4 @@ ORACLES["materialised_fact_sales"] = sql(
     f"""SELECT strftime(order_purchase_at, '%Y-%m') AS order_month, count(*) AS order_count,
     {money('order_revenue')} AS revenue FROM header GROUP BY ALL"""
 )
+ORACLES["refreshed_fact_sales"] = ORACLES["materialised_fact_sales"]

@@ -164,13 +164,13 @@ def test_one_changed_key_in_a_million(spark, tmp_path):
 
 
 def test_trees_that_differ_everywhere_or_are_empty(spark, monkeypatch):
-    a, b = spark.range(300), spark.range(100, 500)
+    a, b, none = (trees.key_tree(x, ("id",)) for x in (spark.range(300), spark.range(100, 500), spark.range(0)))
     want = [(str(i), "source") for i in range(100)] + [(str(i), "layer") for i in range(300, 500)]
     for few in (500, 3):
         monkeypatch.setattr(trees, "_FEW_BUCKETS", few)
-        assert sorted(map(tuple, key_differences(a, b, ("id",)).collect())) == sorted(want)
-    assert key_differences(a.limit(0), b.limit(0), ("id",)).isEmpty()
-    assert key_differences(a.limit(0), a, ("id",)).count() == 300
+        assert sorted(map(tuple, trees.tree_differences(a, b).collect())) == sorted(want)
+    assert trees.tree_differences(none, none).isEmpty()
+    assert trees.tree_differences(none, a).count() == 300
     # Repeated and null keys count once.
     c = spark.createDataFrame([(1,), (1,), (None,), (None,)], "id BIGINT")
     d = spark.createDataFrame([(1,), (2,)], "id BIGINT")
