@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from freightlens.llm.chunks import Memory, parts
+from freightlens.llm.chunks import LONGEST, Memory, parts
 from freightlens.llm.common import partitions, slices, texts
 from freightlens.session import new_run_dir
 
@@ -97,12 +97,31 @@ def _byte_letters() -> dict[int, str]:
 _SPELLED = _byte_letters()
 
 
+#: ASCII marks: behind letters they are a piece of their own for the pre-tokenizer.
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+
+
+class _Remembered(Memory):
+    """``Memory`` in one call for a piece that is not known yet, as most new words are."""
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            found = self.encode(piece)
+        if len(piece) <= LONGEST:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[piece] = found
+        return found
+
+
 @lru_cache(maxsize=4)
 def _encoder(file: str, id_bytes: int) -> Callable[[str], bytes]:
     """text → its ids as bytes; one encoder and its memories for each worker process.
 
     The library's pre-tokenizer and model encode each part of a text that is not
-    remembered. Names of special tokens in a text are ordinary text.
+    remembered. A text that holds an added token goes to the library whole.
     """
     from tokenizers import Tokenizer
 
@@ -110,31 +129,36 @@ def _encoder(file: str, id_bytes: int) -> Callable[[str], bytes]:
     split, merge = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
     code = {2: "<H", 4: "<I"}[id_bytes]
     one = {i: struct.pack(code, i) for i in tokenizer.get_vocab(with_added_tokens=True).values()}
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def of_word(word: str) -> bytes:
         return b"".join([one[t.id] for t in merge(word)])
 
-    words = Memory(of_word, 200_000)
+    words = _Remembered(of_word, 200_000)
 
     def of_any(part: str) -> bytes:
         return b"".join([words[w] for w, _ in split(part)])
 
     def after_space(part: str) -> bytes:
-        """Most parts are a word and perhaps a mark, which need no search for words."""
-        stem, mark = (part[:-1], part[-1]) if part[-1:] in (".", ",") else (part, "")
+        """Most parts are a word and perhaps some marks, which need no search for words."""
+        stem = part.rstrip(_MARKS)
         if stem.isalpha():
             if stem.isascii():
-                return words["Ġ" + stem] + (words[mark] if mark else b"")
-            if max(stem) < "\u0100":
-                spelled = stem.encode().decode("latin-1").translate(_SPELLED)
-                return words["Ġ" + spelled] + (words[mark] if mark else b"")
+                found = words["Ġ" + stem]
+            elif max(stem) < "\u0100":
+                found = words["Ġ" + stem.encode().decode("latin-1").translate(_SPELLED)]
+            else:
+                return of_any(" " + part)
+            return found if stem == part else found + words[part[len(stem) :]]
         return of_any(" " + part)
 
-    known = Memory(after_space)
+    known = _Remembered(after_space, 600_000)
 
     def encode(text: str) -> bytes:
         if not text:
             return b""
+        if any(x in text for x in added):
+            return b"".join([one[i] for i in tokenizer.encode(text, add_special_tokens=False).ids])
         first, *rest = parts(text)
         return of_any(first) + b"".join([known[p] for p in rest])
 
@@ -156,7 +180,8 @@ def write_shards(
     Each partition holds a range of doc_ids and is read, encoded and written as
     a stream of shards of about ``shard_bytes``. Texts are encoded at places where the byte-level
     pre-tokenizer must split them (see chunks.py), so ``tokenizer_file`` must
-    name a byte-level BPE with the usual pattern. Null and empty texts hold the
+    name a byte-level BPE with the usual pattern. A text that names an added token of the
+    tokenizer has that token's id, as from the library. Null and empty texts hold the
     end id alone. Null doc_ids come first; rows with the same doc_id follow each
     other in the order of their texts. Other columns are not read.
     """

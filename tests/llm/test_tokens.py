@@ -30,7 +30,6 @@ def reference():
 @lru_cache
 def library():
     tokenizer = Tokenizer.from_file(queries.TOKENIZER)
-    tokenizer.encode_special_tokens = True
     return tokenizer
 
 
@@ -76,6 +75,24 @@ def test_store_encodes_as_the_library(text):
     assert np.frombuffer(found, "<u4").tolist() == want
 
 
+_PIECES = st.sampled_from(
+    ["", " ", "a b", "word***", "é###, x", "it's'", "a'll.", "<|endoftext|>", "ab <|endoftext|> cd", "x<|endoftext|>\n", "<|endoftext"]
+)
+
+
+@settings(max_examples=400, deadline=None)
+@given(pieces=st.lists(_PIECES | st.text(st.sampled_from("ab.,'*#&é1 \n\t\u2003\x85漢"))))
+def test_store_encodes_odd_pieces_and_added_tokens_as_the_library(pieces):
+    text = "".join(pieces)
+    want = library().encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(token_store._encoder(queries.TOKENIZER, 2)(text), "<u2").tolist() == want
+
+
+def test_added_tokens_are_the_library_s():
+    found = token_store._encoder(queries.TOKENIZER, 2)("ab <|endoftext|> cd")
+    assert np.frombuffer(found, "<u2").tolist() == [397, 220, 50256, 22927]
+
+
 def test_encode_and_decode(spark, odd_pairs, reference):
     found = byte_bpe.encode_and_decode(rows_of(spark, odd_pairs), queries.RANKS, queries.PATTERN)
     got = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.ids, bytes(r.decoded)) for r in found.collect())
@@ -90,7 +107,6 @@ def test_encode_and_decode(spark, odd_pairs, reference):
 @pytest.mark.parametrize("id_bytes, shard_bytes", [(2, 1 << 20), (4, 300)])
 def test_token_store(spark, odd_pairs, id_bytes, shard_bytes):
     tokenizer = Tokenizer.from_file(queries.TOKENIZER)
-    tokenizer.encode_special_tokens = True
     found = token_store.stored(
         rows_of(spark, odd_pairs), queries.TOKENIZER, 2, id_bytes=id_bytes, shard_bytes=shard_bytes
     ).collect()
