@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import ascii_lower, texts
+from freightlens.llm.common import ascii_lower, free_name, texts
 
 KEY = ["text_sha256", "text_bytes", "text_check"]
 
@@ -98,15 +98,17 @@ def without_duplicates(
     """The rows, with all their columns, that stay: one for each distinct text.
 
     Of rows that repeat both doc_id and text one stays. Of texts that only rows
-    without a doc_id hold, one row stays too.
+    without a doc_id hold, one row stays too. Columns may have any name and are all
+    kept; a table without rows gives none.
     """
+    name = free_name(df, "__kept")
     kept = exact_groups(df, id_col, text_col, keep).select(
-        _row_key(F.col("keep_id"), F.col("text_sha256")).alias("__kept")
+        _row_key(F.col("keep_id"), F.col("text_sha256")).alias(name)
     )
     digest = F.sha2(F.encode(ascii_lower(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), "UTF-8"), 256)
-    keyed = df.withColumn("__kept", _row_key(F.col(f"`{id_col}`").cast("long"), digest))
+    keyed = df.withColumn(name, _row_key(F.col(f"`{id_col}`").cast("long"), digest))
     # The join leaves the rows where dropDuplicates needs them.
-    return keyed.join(kept, "__kept", "left_semi").dropDuplicates(["__kept"]).drop("__kept")
+    return keyed.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
 
 
 def _row_key(doc_id: Column, digest: Column) -> Column:

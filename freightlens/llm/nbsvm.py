@@ -151,7 +151,8 @@ def train(
     That bound also holds for what reaches the driver: the buckets of these rows,
     not their texts. Rows whose crc32(doc_id as text) mod 3 is 1 are never
     learned from. Null ids and labels other than 0 and 1 are left out; of several labels of an
-    id the largest counts.
+    id the largest counts, of several texts the last in order. Without labelled rows the model has no
+    opinion: every score is a half.
     """
     one_each = (
         labels.select(
@@ -165,7 +166,13 @@ def train(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most_rows)
     )
-    chosen = texts(df, id_col, text_col).join(F.broadcast(one_each), "doc_id")
+    # One row of each id, so that repeated ids do not raise the bound.
+    chosen = (
+        texts(df, id_col, text_col)
+        .join(F.broadcast(one_each), "doc_id")
+        .groupBy("doc_id")
+        .agg(F.max("label").alias("label"), F.max("text").alias("text"))
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = known_words()

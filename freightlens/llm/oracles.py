@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from freightlens.llm.licences import HINT, RULES, SENTENCE_END, SENTENCES
+from freightlens.llm.licences import HARD_END, HINT, RULES, SENTENCE_END, SENTENCES, SOFT_END
+from freightlens.llm.mixing import NOTHING_LEFT
 from freightlens.llm.queries import TARGETS
 
 EXACT_DEDUP = """
@@ -28,27 +29,37 @@ WITH t AS (
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
   FROM documents),
 w AS (SELECT doc_id, unnest(words) AS b, unnest(range(len(words))) AS i FROM t),
-p AS (SELECT *, lag(b) OVER (PARTITION BY doc_id ORDER BY i) AS a FROM w),
+p AS (SELECT *, lag(b) OVER d AS a, lag(b, 2) OVER d AS z FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
 one AS (SELECT b AS x, count(*) AS n FROM w GROUP BY b),
 one_own AS (SELECT doc_id, b AS x, count(*) AS n FROM w GROUP BY ALL),
 two AS (SELECT a, b, count(*) AS n FROM p WHERE a IS NOT NULL GROUP BY ALL),
 two_own AS (SELECT doc_id, a, b, count(*) AS n FROM p WHERE a IS NOT NULL GROUP BY ALL),
+three AS (SELECT z, a, b, count(*) AS n FROM p WHERE z IS NOT NULL GROUP BY ALL),
+three_own AS (SELECT doc_id, z, a, b, count(*) AS n FROM p WHERE z IS NOT NULL GROUP BY ALL),
 c AS (
-  SELECT p.doc_id, p.a, g.n - h.n AS pair, x.n - y.n AS context, u.n - v.n AS single,
+  SELECT p.doc_id, p.a, p.z, k.n - l.n AS triple, q.n - r.n AS before, g.n - h.n AS pair,
+         x.n - y.n AS context, u.n - v.n AS single,
          (SELECT count(*) FROM w) - len(t.words) AS others
   FROM p JOIN t USING (doc_id)
   JOIN one u ON u.x = p.b JOIN one_own v ON v.x = p.b AND v.doc_id = p.doc_id
   LEFT JOIN two g ON g.a = p.a AND g.b = p.b
   LEFT JOIN two_own h ON h.a = p.a AND h.b = p.b AND h.doc_id = p.doc_id
-  LEFT JOIN one x ON x.x = p.a LEFT JOIN one_own y ON y.x = p.a AND y.doc_id = p.doc_id),
+  LEFT JOIN one x ON x.x = p.a LEFT JOIN one_own y ON y.x = p.a AND y.doc_id = p.doc_id
+  LEFT JOIN three k ON k.z = p.z AND k.a = p.a AND k.b = p.b
+  LEFT JOIN three_own l ON l.z = p.z AND l.a = p.a AND l.b = p.b AND l.doc_id = p.doc_id
+  LEFT JOIN two q ON q.a = p.z AND q.b = p.a
+  LEFT JOIN two_own r ON r.a = p.z AND r.b = p.a AND r.doc_id = p.doc_id),
 s AS (
-  SELECT doc_id, (a IS NOT NULL AND pair = 0)::BIGINT AS back,
-         CASE WHEN a IS NOT NULL AND pair > 0 THEN ln(pair) - ln(context)
-              ELSE ln(greatest(single, 0.5::DOUBLE)) - ln(greatest(others, 1)) END AS z
+  SELECT doc_id,
+         CASE WHEN z IS NOT NULL AND triple > 0 THEN 0
+              ELSE (z IS NOT NULL)::BIGINT + (a IS NOT NULL AND pair = 0)::BIGINT END AS back,
+         CASE WHEN z IS NOT NULL AND triple > 0 THEN ln(triple) - ln(before)
+              WHEN a IS NOT NULL AND pair > 0 THEN ln(pair) - ln(context)
+              ELSE ln(greatest(single, 0.5::DOUBLE)) - ln(greatest(others, 1)) END AS score
   FROM c),
-d AS (SELECT doc_id, sum(back)::BIGINT AS n_backoffs, sum(z + back * ln(0.4::DOUBLE)) AS z FROM s GROUP BY doc_id)
+d AS (SELECT doc_id, sum(back)::BIGINT AS n_backoffs, sum(score + back * ln(0.4::DOUBLE)) AS score FROM s GROUP BY doc_id)
 SELECT t.doc_id, len(t.words)::BIGINT AS n_words, coalesce(n_backoffs, 0)::BIGINT AS n_backoffs,
-       round(coalesce(z, 0), 4) AS log_score, round(z / nullif(len(t.words), 0), 4) AS mean_log_score
+       round(coalesce(score, 0), 4) AS log_score, round(score / nullif(len(t.words), 0), 4) AS mean_log_score
 FROM t LEFT JOIN d USING (doc_id)
 """
 
@@ -138,12 +149,16 @@ def _raking(rounds: int = 12) -> str:
     steps = []
     for m, targets in TARGETS.items():
         target = " ".join(f"WHEN {_quoted(k)} THEN {v}::DOUBLE" for k, v in targets.items())
-        rest = max(0.0, 1.0 - sum(targets.values()))
+        # Where the targets leave nothing over, unnamed values keep the share they have.
+        rest = 1.0 - sum(targets.values())
+        rest = f"{rest!r}::DOUBLE" if rest > NOTHING_LEFT else """coalesce(
+      sum(target) OVER () * sum(have) FILTER (target IS NULL) OVER ()
+        / nullif(sum(have) FILTER (target IS NOT NULL) OVER (), 0), 1)"""
         steps.append(f"""have_{m} AS MATERIALIZED (
   SELECT {m}, sum(tokens)::DOUBLE AS have, CASE {m} {target} END AS target
   FROM cells GROUP BY {m} HAVING sum(tokens) > 0),
 part_{m} AS MATERIALIZED (
-  SELECT {m}, coalesce(target, {rest!r}::DOUBLE * have / sum(have) FILTER (target IS NULL) OVER ()) AS w
+  SELECT {m}, coalesce(target, {rest} * have / sum(have) FILTER (target IS NULL) OVER ()) AS w
   FROM have_{m}),
 want_{m} AS MATERIALIZED (SELECT {m}, w / sum(w) OVER () AS want FROM part_{m})""")
     last = "start"
@@ -190,18 +205,23 @@ def _licences() -> str:
     """The rules one after the other as common table expressions."""
     keys = ", ".join(map(_quoted, SENTENCES))
     ids = ", ".join(map(_quoted, SENTENCES.values()))
-    end = SENTENCE_END.replace("\\t", "\t").replace("\\r", "\r").replace("\\n", "\n")
+    # Borders of sentences are doubled, so that two neighbours each have their own.
+    any_of = "|".join(
+        x.replace(" ", "(?: |~~)") for x in sorted(SENTENCES, key=lambda x: (-len(x), x))
+    )
+    plain = "translate(lower(coalesce(text, '')), '~', ' ')"
+    for sought, put in ((HARD_END, "~~"), (SOFT_END, "~"), ("[^a-z0-9~]+", " "), (" ?~ ?", "~")):
+        plain = f"regexp_replace({plain}, {_quoted(sought)}, '{put}', 'g')"
     steps = [f"""cut AS (
-  SELECT doc_id, string_split_regex(coalesce(text, ''), {_quoted(end)}) AS parts FROM documents),
-plain AS (
-  SELECT doc_id, len(list_filter(parts, lambda x: trim(x) <> ''))::INTEGER AS n_sentences,
-    list_transform(list_filter(parts, lambda x: regexp_matches(x, {_quoted(HINT)})),
-      lambda x: trim(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'))) AS said
-  FROM cut),
+  SELECT doc_id, len(list_filter(string_split_regex(coalesce(text, ''), {_quoted(SENTENCE_END)}),
+           lambda x: regexp_replace(x, '[ \\t\\r\\n]+', '', 'g') <> ''))::INTEGER AS n_sentences,
+         CASE WHEN regexp_matches(coalesce(text, ''), {_quoted(HINT)})
+              THEN replace('~' || trim({plain}) || '~', '~', '~~') ELSE '' END AS said
+  FROM documents),
 known AS (
-  SELECT doc_id, n_sentences, list_filter(list_transform(said,
-      lambda x: [{ids}][list_position([{keys}], x)]), lambda x: x IS NOT NULL) AS ids
-  FROM plain),
+  SELECT doc_id, n_sentences, list_transform(regexp_extract_all(said, {_quoted(f"~({any_of})~")}, 1),
+    lambda x: [{ids}][list_position([{keys}], replace(x, '~~', ' '))]) AS ids
+  FROM cut),
 rule0 AS (
   SELECT *, coalesce(array_to_string(list_transform(ids, lambda x: '<' || x || '>'), ''), '') AS rest,
          []::VARCHAR[] AS names FROM known)"""]

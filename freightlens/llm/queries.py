@@ -92,7 +92,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_backoff_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = backoff_lm.score(documents(spark, sf_dir), order=2)
+    found = backoff_lm.score(documents(spark, sf_dir))
     return found.withColumns({c: F.round(c, 4) for c in ("log_score", "mean_log_score")})
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlens.llm.common import groups, importable, partitions, saved, slices, texts
+from freightlens.llm.common import free_name, groups, importable, partitions, saved, slices, texts
 from freightlens.llm.components import components
 from freightlens.llm.exact_dedup import _row_key
 
@@ -244,19 +244,20 @@ def without_near_duplicates(
     It is the one with the smallest doc_id, and of rows that repeat it the one with the
     smallest digest of its text. A row is known by both, so rows of other groups
     that repeat its doc_id stay or go by themselves. A null doc_id stays only if its
-    group has no other.
+    group has no other. Columns may have any name and are all kept; a table without rows gives none.
     """
+    name = free_name(df, "__kept")
     importable(df.sparkSession)
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     key = _row_key(F.col(f"`{id_col}`").cast("long"), F.sha2(F.encode(text, "UTF-8"), 256))
-    keyed = df.withColumn("__kept", key)
+    keyed = df.withColumn(name, key)
     named = keyed.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.col("__kept").alias("key")
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.col(name).alias("key")
     )
     rows = saved(fingerprints(named, words=words, more="key"), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
     nodes = rows.groupBy("fp").agg(first.alias("first"))
     stay = _rooted(nodes, max_bits).groupBy("root").agg(F.min("first").alias("first"))
-    stay = stay.select(F.col("first.key").alias("__kept"))
+    stay = stay.select(F.col("first.key").alias(name))
     # The join leaves the rows where dropDuplicates needs them.
-    return keyed.join(stay, "__kept", "left_semi").dropDuplicates(["__kept"]).drop("__kept")
+    return keyed.join(stay, name, "left_semi").dropDuplicates([name]).drop(name)
