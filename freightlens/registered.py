@@ -994,7 +994,7 @@ def load_dispositions(spark: SparkSession, folder: str) -> DataFrame:
     events = _events(spark, folder)
     base = new_run_dir(spark, "loads")
     found = []
-    for how in landing.DISPOSITIONS:
+    for how in (*landing.DISPOSITIONS, landing.MERGE_INDEXED):
         for at_least in (0, 300):
             landing.load(
                 events.filter(F.col("event_id") % 1000 >= at_least),

@@ -40,18 +40,22 @@ def normalise(df: DataFrame) -> DataFrame:
     return df.select([_normal_value(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
 
 
-#: Ways to write a table: in place of what is there, behind it, or its new keys behind it,
-#: also into a target with a key index.
-DISPOSITIONS = ("replace", "append", "merge", "merge_indexed")
+#: Ways to write a table: in place of what is there, behind it, or its new keys behind it.
+DISPOSITIONS = ("replace", "append", "merge")
+#: A merge into a target with a key index, which has a layout of its own.
+MERGE_INDEXED = "merge_indexed"
 
 
 def write(
     df: DataFrame, path: str, disposition: str = "replace", key: Sequence[str] = ()
 ) -> None:
-    """Write a table in one of the ``DISPOSITIONS`` (I-13); the merges keep rows that have landed."""
-    if disposition not in DISPOSITIONS:
+    """Write a table in one of the ``DISPOSITIONS`` or ``MERGE_INDEXED`` (I-13).
+
+    The merges keep rows that have landed.
+    """
+    if disposition not in (*DISPOSITIONS, MERGE_INDEXED):
         raise ValueError(f"unknown disposition {disposition!r}")
-    if disposition.startswith("merge"):
+    if disposition in ("merge", MERGE_INDEXED):
         if not key:
             raise ValueError("merge needs a key")
         (append_new if disposition == "merge" else append_new_indexed)(df, path, key)
@@ -70,7 +74,7 @@ def load(
     cursor: Cursor | None = None,
     key: Sequence[str] = (),
 ) -> None:
-    """Load one table with every load option (I-6) and write it in one of the ``DISPOSITIONS`` (I-13)."""
+    """Load one table with every load option (I-6) and ``write`` it (I-13)."""
     write(load_table(source, where, columns, limit, cursor, key), path, disposition, key)
 
 
