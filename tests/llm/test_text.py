@@ -161,7 +161,7 @@ def brute_scores(pairs, order, discount=0.4):
     return out
 
 
-@pytest.mark.parametrize("order, block_bytes", [(1, 1000), (2, 1000), (3, 100_000_000)])
+@pytest.mark.parametrize("order, block_bytes", [(1, 1000), (2, 1000), (3, 1000), (4, 1000), (3, 100_000_000)])
 def test_backoff(spark, odd_pairs, order, block_bytes):
     found = backoff_lm.score(rows_of(spark, odd_pairs), order=order, block_bytes=block_bytes, bucket_bytes=block_bytes).collect()
     got = sorted((r.n_words, round(r.log_score, 6)) for r in found)
