@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from freightlens.llm.blocks import Blocks, blocks, cuts
-from freightlens.llm.chunks import Memory
 from freightlens.llm.common import saved
 
 REQUEST = (
@@ -25,29 +24,49 @@ REQUEST = (
 ANSWER = "n int, bucket int, block int, size int, count_bytes int, counts binary"
 SCORED = "doc_id long, n_words long, log_sum double, n_single long, n_backoffs long"
 _LEFT, _RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_MIX = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+#: Words of up to this many bytes are hashed together, eight bytes of each at a time.
+SHORT = 64
 
 
-def _word_hash(word: bytes) -> int:
-    import xxhash
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for factor in _MIX:
+        x = (x ^ (x >> np.uint64(33))) * factor
+    return x ^ (x >> np.uint64(33))
 
-    return xxhash.xxh64_intdigest(word)
 
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each lower-cased word of all texts, in order, and the number of its text."""
+    import xxhash
 
-_HASHES = Memory(_word_hash, 200_000)
+    data = b" ".join(texts).lower() + b" " * 8
+    space = _IS_SPACE[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(np.diff(space, prepend=True))
+    starts, ends = edges[0::2], edges[1::2]
+    sizes = ends - starts
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    hashes = sizes.astype(np.uint64) * _LEFT
+    open_ = np.arange(len(starts))
+    for at in range(0, SHORT, 8):
+        left = sizes[open_] - at
+        unused = np.uint64(8) * np.maximum(8 - left, 0).astype(np.uint64)
+        hashes[open_] = _mixed(hashes[open_] ^ (eights[starts[open_] + at] << unused))
+        open_ = open_[left > 8]
+    for i in open_.tolist():
+        hashes[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]])
+    borders = np.cumsum([len(t) + 1 for t in texts])
+    return hashes, np.searchsorted(borders, starts, side="right")
 
 
 class Grams:
     """The n-grams of a block: for each n, their hashes and the document of each."""
 
     def __init__(self, texts: list[bytes], order: int) -> None:
-        words = [t.lower().split() for t in texts]
-        self.sizes = np.array([len(w) for w in words], np.int64)
-        docs = np.repeat(np.arange(len(texts)), self.sizes)
+        single, docs = hashed_words(texts)
+        self.sizes = np.bincount(docs, minlength=len(texts))
         starts = np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
         place = np.arange(len(docs)) - starts
-        single = np.fromiter(
-            (_HASHES[w] for ws in words for w in ws), np.uint64, int(self.sizes.sum())
-        )
         self.docs, self.place = docs, place
         self.hashes, self.ends = {1: single}, {1: np.arange(len(docs))}
         whole = single

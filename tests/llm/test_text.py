@@ -161,6 +161,16 @@ def brute_scores(pairs, order, discount=0.4):
     return out
 
 
+def test_hashed_words(odd_pairs):
+    texts = [(t or "").encode() for _, t in odd_pairs] + [b"x" * k + b" " + b"X" * k for k in (7, 8, 9, 63, 64, 65, 500)]
+    texts += [b"a\x0bB\x0cc\td\xa0e\r\n f", b"a\x00 a", b"a\x00", b"\x00", b"\x00\x00"]
+    hashes, place = backoff_lm.hashed_words(texts)
+    words = [w for t in texts for w in t.lower().split()]
+    assert np.bincount(place, minlength=len(texts)).tolist() == [len(t.split()) for t in texts]
+    assert len(set(words)) == len(set(hashes.tolist())) == len(set(zip(words, hashes.tolist(), strict=True)))
+    assert backoff_lm.hashed_words([])[0].size == backoff_lm.hashed_words([b"", b" "])[0].size == 0
+
+
 @pytest.mark.parametrize("order, block_bytes", [(1, 1000), (2, 1000), (3, 1000), (4, 1000), (3, 100_000_000)])
 def test_backoff(spark, odd_pairs, order, block_bytes):
     found = backoff_lm.score(rows_of(spark, odd_pairs), order=order, block_bytes=block_bytes, bucket_bytes=block_bytes).collect()
