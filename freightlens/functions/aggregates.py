@@ -15,7 +15,7 @@ _LOW = 31_250
 _HIGH = _PARTS // _LOW
 
 #: (below this, a double's neighbours are nearer than half of, one part in so many)
-_SCALES = ((2**22, 10**9), (2**32, 10**6), (2**42, 10**3), (2**45, 10**2))
+_SCALES = ((2**22, 10**9), (2**32, 10**6), (2**42, 10**3), (2**45, 10**2), (2**48, 10))
 
 
 def exact_sql(amount: str, weight: str | None = None) -> str:

@@ -23,7 +23,7 @@ from freightlens.operators.quantiles import exact_quantiles
 from freightlens.plans import core, explore, intermediate, views
 from freightlens.plans.layers import Layers
 from freightlens.plans.marts import SIZES
-from freightlens.session import new_run_dir, written
+from freightlens.session import fine_session, new_run_dir, written
 from freightlens.sources import incremental, landing
 from freightlens.sources.catalog import footer_profile, time_columns
 from freightlens.sources.csv_scan import scan_folder
@@ -64,8 +64,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def layers(spark: SparkSession, folder: str, ids: bool = False, limits: bool = False) -> Layers:
-    """The models, over items that carry only the costly columns a query needs."""
-    given = GivenTables(spark, folder)
+    """The models, over items that carry only the costly columns a query needs, in small tasks."""
+    given = GivenTables(fine_session(spark), folder)
     return Layers(given, given.items(ids=ids, limits=limits))
 
 

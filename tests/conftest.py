@@ -14,6 +14,8 @@ from freightlens.session import local_session, remove_run_dirs
 def spark():
     session = local_session("4", "tests")
     session.sparkContext.setLogLevel("ERROR")
+    # Plans name the whole path of a file, however long that of the temporary folder is.
+    session.conf.set("spark.sql.maxMetadataStringLength", "1000")
     yield session
     remove_run_dirs(session)
     session.stop()

@@ -74,3 +74,17 @@ def test_lines_are_numbered_once(spark, folder, name):
 def test_distances_need_points_only(spark, folder, name, most):
     """Names of places are not looked up for a distance."""
     assert len(re.findall(r"\) Scan parquet", plan(spark, folder, name))) <= most
+
+
+def test_tasks_of_the_models_stay_small(spark, folder):
+    """Reduce tasks read less than Spark's default; a lower setting and the caller's session are kept."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    df = QUERIES["mart_seller_performance"](spark, folder)
+    assert df.sparkSession.conf.get(name) == f"{16 << 20}b"
+    assert spark.conf.get(name) == before
+    spark.conf.set(name, "2KB")
+    try:
+        assert fine_session(spark).conf.get(name) == "2048b"
+    finally:
+        spark.conf.set(name, before)
