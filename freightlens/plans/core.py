@@ -83,6 +83,8 @@ def fact_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
     lowest item id, a null id before all others; the rollup already knows the
     id, and of rows that repeat it the first by their other columns is taken.
     That window is over (order_id, order_item_id), so a huge order is spread.
+    The empty lines are dealt out by order like the items, which the join therefore need not
+    shuffle again.
     """
     repeats = """row_number() OVER (PARTITION BY order_id, order_item_id
         ORDER BY product_id, seller_id, shipping_limit_date, price, freight_value) AS _repeat"""
@@ -97,7 +99,7 @@ def fact_orders(orders: DataFrame, items: DataFrame) -> DataFrame:
         "false AS _empty",
         repeats,
     )
-    empty = orders.selectExpr("order_id", "true AS _empty", "1 AS _repeat")
+    empty = orders.selectExpr("order_id", "true AS _empty", "1 AS _repeat").repartition("order_id")
     return (
         lines.unionByName(empty, allowMissingColumns=True)
         .join(orders, "order_id")

@@ -92,15 +92,9 @@ class GivenTables:
             )
         )
 
-    def items(self, ids: bool = False, limits: bool = False) -> DataFrame:
-        """Order items, with the two costly columns on demand.
-
-        ``ids`` adds ``order_item_id``, the place of a line within its order, and
-        ``limits`` adds ``shipping_limit_date``, which needs the order's date.
-        Without both this is a projection of the lines and shuffles nothing.
-        Numbering runs at once and returns what it has written.
-        """
-        lines = self.given("lineitem").select(
+    @cached_property
+    def _lines(self) -> DataFrame:
+        return self.given("lineitem").select(
             "l_orderkey",
             "l_partkey",
             "l_suppkey",
@@ -110,20 +104,38 @@ class GivenTables:
             "l_tax",
             "l_shipdate",
         )
-        if ids:
-            lines = number_rows(
-                lines,
-                key="l_orderkey",
-                order_by=[
-                    "l_linenumber",
-                    "l_partkey",
-                    "l_suppkey",
-                    "l_extendedprice",
-                    "l_quantity",
-                    "l_shipdate",
-                ],
-                name="order_item_id",
-            )
+
+    @cached_property
+    def _numbered_lines(self) -> DataFrame:
+        return number_rows(
+            self._lines,
+            key="l_orderkey",
+            order_by=[
+                "l_linenumber",
+                "l_partkey",
+                "l_suppkey",
+                "l_extendedprice",
+                "l_quantity",
+                "l_shipdate",
+            ],
+            name="order_item_id",
+        )
+
+    def items(
+        self, ids: bool = False, limits: bool = False, orders: DataFrame | None = None
+    ) -> DataFrame:
+        """Order items, with the two costly columns on demand.
+
+        ``ids`` adds ``order_item_id``, the place of a line within its order, and
+        ``limits`` adds ``shipping_limit_date``, which needs the order's date.
+        Without both this is a projection of the lines and shuffles nothing.
+        Numbering runs at once, on first use, and returns what it has written.
+        ``orders`` keeps the items whose order_id it has; they keep their places.
+        """
+        lines = self._numbered_lines if ids else self._lines
+        if orders is not None:
+            kept = orders.select(F.col("order_id").alias("l_orderkey"))
+            lines = lines.join(kept, "l_orderkey", "left_semi")
         if limits:
             dates = self.given("orders").selectExpr(
                 "o_orderkey AS l_orderkey", f"{_PURCHASE} AS purchase"

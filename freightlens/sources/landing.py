@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -142,7 +142,12 @@ def materialise(
 
 
 def refresh(
-    name: str, df: DataFrame, zone_dir: str, partition_by: str, changed: DataFrame
+    name: str,
+    df: DataFrame,
+    zone_dir: str,
+    partition_by: str,
+    changed: DataFrame,
+    of_touched: Callable[[Column], DataFrame] | None = None,
 ) -> DataFrame:
     """Rewrite only those partitions of a materialised table that a batch has touched (I-14).
 
@@ -150,12 +155,15 @@ def refresh(
     over all data. Its other partitions are neither computed, as far as the
     filter reaches its sources, nor written. A touched partition that has no rows any more
     is removed. The touched values, at most as many as there are partitions, pass the driver.
+    Where the filter reaches only some of the sources, ``of_touched`` is given the condition on
+    ``partition_by`` and returns the model over less of the others, complete where it holds.
     """
     spark, path = df.sparkSession, f"{zone_dir}/{name}"
     touched = [r[0] for r in changed.select(partition_by).distinct().collect()]
     column = F.col(partition_by)
     mine = column.isin([x for x in touched if x is not None])
-    fresh = df.filter(mine | column.isNull() if None in touched else mine)
+    mine = mine | column.isNull() if None in touched else mine
+    fresh = (df if of_touched is None else of_touched(mine)).filter(mine)
     # Read the table's new state before the files that hold its old one are replaced.
     fresh = written(fresh.hint("rebalance", partition_by), "refreshed")
     fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(

@@ -7,6 +7,8 @@ import re
 import pytest
 
 from freightlens.registered import QUERIES
+from freightlens.session import fine_session
+from freightlens.sources.given import GivenTables
 
 MARTS = [name for name in QUERIES if name.startswith(("mart_", "fact_", "order_", "seller_", "n6", "n8"))]
 
@@ -88,3 +90,29 @@ def test_tasks_of_the_models_stay_small(spark, folder):
         assert fine_session(spark).conf.get(name) == "2048b"
     finally:
         spark.conf.set(name, before)
+
+
+def test_empty_lines_do_not_make_the_items_shuffle_again(spark, folder):
+    """Lines and empty lines lie by order already when the fact joins them to the orders."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["fact_orders"](spark, folder)
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = text.splitlines()
+    (at,) = [i for i, x in enumerate(lines) if x.endswith("- Union")]
+    assert "Sort [order_id" in lines[at - 1]
+
+
+def test_items_of_some_orders_keep_their_places(spark, folder):
+    """What a refresh reads; null ids match nothing, repeated ones add no rows, and numbering runs once."""
+    given = GivenTables(spark, folder)
+    whole = given.items(ids=True, limits=True)
+    some = spark.createDataFrame([(1,), (1,), (6,), (None,)], "order_id BIGINT")
+    part = given.items(ids=True, limits=True, orders=some)
+    want = whole.filter("order_id IN (1, 6)")
+    assert part.count() > 0 and part.count() == want.count()
+    assert part.exceptAll(want).isEmpty()
+    numbered = [p for df in (whole, part) for p in df.inputFiles() if "numbered-" in p]
+    assert len({p.rsplit("/", 2)[-2] for p in numbered}) == 1
