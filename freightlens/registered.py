@@ -65,7 +65,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def layers(spark: SparkSession, folder: str, ids: bool = False, limits: bool = False) -> Layers:
     """The models, over items that carry only the costly columns a query needs, in small tasks."""
-    given = GivenTables(fine_session(spark), folder)
+    read = GivenTables(spark, folder).file_bytes("orders", "lineitem")
+    given = GivenTables(fine_session(spark, read), folder)
     return Layers(given, given.items(ids=ids, limits=limits))
 
 

@@ -67,6 +67,11 @@ class GivenTables:
         self.spark = spark
         self.given = cache(lambda name: spark.read.parquet(f"{folder}/{name}.parquet"))
 
+    def file_bytes(self, *names: str) -> int:
+        """The size of given tables as files."""
+        plans = [self.given(name)._jdf.queryExecution().optimizedPlan() for name in names]
+        return sum(int(str(p.stats().sizeInBytes())) for p in plans)
+
     @cached_property
     def orders(self) -> DataFrame:
         canceled, unhanded, lost = "o_orderkey % 31 = 0", "o_orderkey % 41 = 0", "o_orderkey % 43 = 0"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from pathlib import Path
 
 import pytest
 
@@ -85,6 +86,11 @@ def test_tasks_of_the_models_stay_small(spark, folder):
     df = QUERIES["mart_seller_performance"](spark, folder)
     assert df.sparkSession.conf.get(name) == f"{16 << 20}b"
     assert spark.conf.get(name) == before
+    number = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert df.sparkSession.conf.get(number) == spark.conf.get("spark.sql.shuffle.partitions")
+    assert int(fine_session(spark, 8 << 30).conf.get(number)) == 4096
+    read = GivenTables(spark, folder).file_bytes("orders", "lineitem")
+    assert read == sum(Path(f"{folder}/{t}.parquet").stat().st_size for t in ("orders", "lineitem"))
     spark.conf.set(name, "2KB")
     try:
         assert fine_session(spark).conf.get(name) == "2048b"
