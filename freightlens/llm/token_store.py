@@ -139,17 +139,34 @@ def _encoder(file: str, id_bytes: int) -> Callable[[str], bytes]:
     def of_any(part: str) -> bytes:
         return b"".join([words[w] for w, _ in split(part)])
 
-    def after_space(part: str) -> bytes:
-        """Most parts are a word and perhaps some marks, which need no search for words."""
-        stem = part.rstrip(_MARKS)
+    def spelled(stem: str) -> str | None:
+        """Letters as the vocabulary spells them; None for what needs a search for words."""
         if stem.isalpha():
             if stem.isascii():
-                found = words["Ġ" + stem]
-            elif max(stem) < "\u0100":
-                found = words["Ġ" + stem.encode().decode("latin-1").translate(_SPELLED)]
-            else:
-                return of_any(" " + part)
-            return found if stem == part else found + words[part[len(stem) :]]
+                return stem
+            if max(stem) < "\u0100":
+                return stem.encode().decode("latin-1").translate(_SPELLED)
+        return None
+
+    def of_line(line: str) -> bytes:
+        stem = line.rstrip(_MARKS)
+        word = spelled(stem)
+        if word is None:
+            return of_any(line)
+        return words[word] if stem == line else words[word] + words[line[len(stem) :]]
+
+    def after_space(part: str) -> bytes:
+        """Most parts are a word and perhaps some marks, which need no search for words.
+
+        A line feed without other white space beside it is a word of its own.
+        """
+        stem = part.rstrip(_MARKS)
+        word = spelled(stem)
+        if word is not None:
+            return of_word("Ġ" + word) if stem == part else known[stem] + words[part[len(stem) :]]
+        line, feed, more = part.partition("\n")
+        if line and more and not (line[-1].isspace() or more[0].isspace()):
+            return known[line] + words["Ċ"] + of_line(more)
         return of_any(" " + part)
 
     known = _Remembered(after_space, 600_000)

@@ -6,11 +6,13 @@ import base64
 import random
 import zlib
 from functools import lru_cache
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import tokenizers
 from odd_rows import rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -138,3 +140,40 @@ def test_elias_fano(sizes):
 
 def test_pattern_is_the_library_s():
     assert queries.PATTERN == public_tokenizers.PATTERN
+
+
+#: Words with marks and line feeds, for which no search for matches is needed.
+_LINES = "x thon, thon. thon!\nAneses thon;\ninwhé über, hé.\nÜber (x) ed"
+
+
+def test_store_needs_no_search_for_words_and_lines(monkeypatch):
+    tokenizer, searched = library(), []
+    split = tokenizer.pre_tokenizer.pre_tokenize_str
+
+    def counted(part):
+        searched.append(part)
+        return split(part)
+
+    proxy = SimpleNamespace(
+        pre_tokenizer=SimpleNamespace(pre_tokenize_str=counted),
+        model=tokenizer.model,
+        get_vocab=tokenizer.get_vocab,
+        get_added_tokens_decoder=tokenizer.get_added_tokens_decoder,
+    )
+    monkeypatch.setattr(tokenizers, "Tokenizer", SimpleNamespace(from_file=lambda file: proxy))
+    found = token_store._encoder.__wrapped__(queries.TOKENIZER, 2)(_LINES)
+    want = tokenizer.encode(_LINES, add_special_tokens=False).ids
+    assert np.frombuffer(found, "<u2").tolist() == want
+    assert searched == ["x", " (x)"]
+
+
+_LINE_PIECES = st.sampled_from(["a", "thon", "é", "漢", "ª", "'s", "'", ",", ".'", "\n", "\n", " ", " ", "\x1c", "\u3000", "1"])
+
+
+@settings(max_examples=600, deadline=None)
+@given(pieces=st.lists(_LINE_PIECES, max_size=14))
+def test_lines_with_marks_of_all_kinds(coder, reference, pieces):
+    text = "".join(pieces)
+    assert coder.encode(text) == reference.encode_ordinary(text)
+    want = library().encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(token_store._encoder(queries.TOKENIZER, 2)(text), "<u2").tolist() == want
