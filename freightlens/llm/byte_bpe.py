@@ -11,9 +11,9 @@ fails for good, and each place is visited a bounded number of times.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +24,16 @@ from freightlens.llm.common import slices, texts
 
 SCHEMA = "doc_id long, n_tokens long, ids array<int>, decoded binary"
 _NEVER = 1 << 31
+#: The pattern of byte-level vocabularies, for which a word and the marks behind it need no search.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Marks, all but the apostrophe, which may begin a match with letters.
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 
 
 class BytePairs:
     """The encoder of a rank file; ``pattern`` splits a text before the merges."""
 
-    def __init__(self, rank_file: str, pattern: str, remembered_pairs: int = 150_000) -> None:
+    def __init__(self, rank_file: str, pattern: str, remembered_pairs: int = 300_000) -> None:
         import ahocorasick
         import regex
 
@@ -38,6 +42,8 @@ class BytePairs:
         self.ranks = {base64.b64decode(a): int(b) for a, b in lines}
         self.tokens = {b: a for a, b in self.ranks.items()}
         self.find = regex.compile(pattern).findall
+        #: Whether a space with letters and a run of marks are matches of their own.
+        self.plain = pattern == _PATTERN
         self.parts: dict[int, tuple[int, int] | None] = {}
         self.edges: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
         self.automaton = ahocorasick.Automaton()
@@ -51,8 +57,10 @@ class BytePairs:
             for t, rank in self.ranks.items()
         }
         self.fits = Memory(self._compatible, remembered_pairs)
-        self.words = Memory(self.encode_word, 150_000)
-        self.known = Memory(lambda part: self._encode_piece(" " + part), 300_000)
+        self.words = Memory(self._packed, 150_000)
+        self.known = Memory(self._after_space, 600_000)
+        #: The tokens by rank, to gather the bytes of many ids at once.
+        self.by_rank = pa.array([self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)], pa.large_binary())
 
     def _split(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for a single byte."""
@@ -111,8 +119,10 @@ class BytePairs:
         if all([fits[pair] for pair in zip(greedy, greedy[1:])]):
             return tuple(greedy)
         failed = bytearray(len(data) + 1)
-        taken: list[int] = []
-        at, token = 0, greedy[0]
+        # Up to the first two that do not fit, the walk takes the longest matches.
+        good = next(i for i, pair in enumerate(zip(greedy, greedy[1:])) if not fits[pair])
+        taken = greedy[: good + 1]
+        at, token = sum([sizes[x] for x in taken]), greedy[good + 1]
         while True:
             after = at + sizes[token]
             if not failed[after] and (not taken or fits[taken[-1], token]):
@@ -129,20 +139,60 @@ class BytePairs:
                 at -= sizes[token]
                 token = shorter[token]
 
-    def _encode_piece(self, piece: str) -> tuple[int, ...]:
+    def _packed(self, word: str) -> bytes:
+        return array("i", self.encode_word(word)).tobytes()
+
+    def _encode_piece(self, piece: str) -> bytes:
         words = self.words
-        return tuple(chain.from_iterable([words[w] for w in self.find(piece)]))
+        return b"".join([words[w] for w in self.find(piece)])
 
-    def encode(self, text: str) -> list[int]:
+    def _simple(self, stem: str) -> bool:
+        return self.plain and stem.isalpha() and (stem.isascii() or max(stem) < "\u0100")
+
+    def _line(self, line: str) -> bytes:
+        stem = line.rstrip(_MARKS)
+        if not self._simple(stem):
+            return self._encode_piece(line)
+        found = self.words[stem]
+        return found if stem == line else found + self.words[line[len(stem) :]]
+
+    def _after_space(self, part: str) -> bytes:
+        """Most parts are a word and perhaps some marks, which need no search for matches.
+
+        A line feed without other white space beside it is a match of its own.
+        """
+        stem = part.rstrip(_MARKS)
+        if self._simple(stem):
+            if stem == part:
+                return self._packed(" " + part)
+            return self.known[stem] + self.words[part[len(stem) :]]
+        line, feed, more = part.partition("\n")
+        if self.plain and line and more and not (line[-1].isspace() or more[0].isspace()):
+            return self.known[line] + self.words[feed] + self._line(more)
+        return self._encode_piece(" " + part)
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as 32-bit integers of this machine."""
         if not text:
-            return []
+            return b""
         known = self.known
         first, *rest = parts(text)
-        return list(chain(self._encode_piece(first), chain.from_iterable([known[p] for p in rest])))
+        return self._encode_piece(first) + b"".join([known[p] for p in rest])
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
 
+    def decode_all(self, flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The bytes of each row of ids; ``ends`` has a 0 and the end of each row in ``flat``."""
+        taken = self.by_rank.take(pa.array(flat))
+        _, offsets, data = taken.buffers()
+        starts = np.frombuffer(offsets, np.int64)[: len(flat) + 1] if offsets else np.zeros(1, np.int64)
+        rows = pa.py_buffer(starts[ends].astype(np.int32))
+        return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, rows, data])
+
 
 @lru_cache(maxsize=2)
 def encoder(rank_file: str, pattern: str) -> BytePairs:
@@ -167,16 +217,16 @@ def encode_and_decode(
         coder = encoder(rank_file, pattern)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [coder.encode(t) for t in part.column("text").to_pylist()]
-                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                ids = [coder.packed(t) for t in part.column("text").to_pylist()]
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))
+                flat = np.frombuffer(b"".join(ids), np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         pa.array(sizes),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                        pa.array([coder.decode(x) for x in ids], pa.binary()),
+                        coder.decode_all(flat, ends),
                     ],
                     names=["doc_id", "n_tokens", "ids", "decoded"],
                 )

@@ -146,6 +146,14 @@ def test_pattern_is_the_library_s():
 _LINES = "x thon, thon. thon!\nAneses thon;\ninwhé über, hé.\nÜber (x) ed"
 
 
+def test_words_and_lines_need_no_search_for_matches(reference):
+    coder = byte_bpe.BytePairs(queries.RANKS, queries.PATTERN)
+    searched, find = [], coder.find
+    coder.find = lambda piece: searched.append(piece) or find(piece)
+    assert coder.encode(_LINES) == reference.encode_ordinary(_LINES)
+    assert searched == ["x", " (x)"]
+
+
 def test_store_needs_no_search_for_words_and_lines(monkeypatch):
     tokenizer, searched = library(), []
     split = tokenizer.pre_tokenizer.pre_tokenize_str
@@ -177,3 +185,10 @@ def test_lines_with_marks_of_all_kinds(coder, reference, pieces):
     assert coder.encode(text) == reference.encode_ordinary(text)
     want = library().encode(text, add_special_tokens=False).ids
     assert np.frombuffer(token_store._encoder(queries.TOKENIZER, 2)(text), "<u2").tolist() == want
+
+
+@given(rows=st.lists(st.lists(st.integers(0, 40_000), max_size=5), max_size=6))
+def test_bytes_of_many_rows_of_ids(coder, rows):
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    flat = np.array([i for row in rows for i in row], np.int32)
+    assert coder.decode_all(flat, ends).to_pylist() == [coder.decode(row) for row in rows]
